@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from beaconflow.functions.text import literal_regex
-from beaconflow.operators.skew import CARRY, DEFAULT_SKEW, HOT, SLICE, Skew, with_slices
+from beaconflow.operators.skew import CARRY, DEFAULT_SKEW, HOT, SLICE, HotKeys, Skew, find_cuts, with_slices
 
 
 def merge_distinct(incoming: DataFrame, existing: DataFrame | None = None, sep: str = ",") -> DataFrame:
@@ -99,7 +99,7 @@ def accumulate_to_table(
     seq: str,
     measures: list[str],
     table: DataFrame | None = None,
-    skew: Skew | None = DEFAULT_SKEW,
+    skew: Skew | HotKeys | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """Pass rows on with the stored counters after adding their measures (``total_<measure>``).
 
@@ -111,8 +111,9 @@ def accumulate_to_table(
         # The stored counters are a first row of their key: no seq, so slice 0.
         stored = [F.col(m).alias(c) for c, m in zip(sums, measures)]
         full = full.unionByName(table.select(key, *stored, F.lit(-1).alias(CARRY)), allowMissingColumns=True)
-    full = with_slices(full, key, F.col(seq), skew)
-    if skew is not None:
+    cuts = find_cuts(rows, key, F.col(seq), skew)
+    full = with_slices(full, key, F.col(seq), cuts)
+    if cuts:
         full = full.unionByName(_carry_sums(full, key, sums), allowMissingColumns=True)
     w = Window.partitionBy(key, SLICE).orderBy(CARRY, seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = {f"total_{m}": F.sum(c).over(w) for m, c in zip(measures, sums)}

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from beaconflow.constants import COOLDOWN_MS
-from beaconflow.operators.skew import CARRY, DEFAULT_SKEW, HOT, SLICE, Skew, with_slices
+from beaconflow.operators.skew import CARRY, DEFAULT_SKEW, HOT, SLICE, HotKeys, Skew, find_cuts, with_slices
 
 _UNTIL = "__until"
 _FREE = "__free"
@@ -48,7 +48,7 @@ def cooldown(
     ts: str = "ts_ms",
     seq: str = "seq",
     free: str | None = None,
-    skew: Skew | None = DEFAULT_SKEW,
+    skew: Skew | HotKeys | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """The rows that fire. A row exactly ``interval`` after the last fired one fires again.
 
@@ -57,7 +57,9 @@ def cooldown(
     """
     if interval_ms <= 0:
         return rows
-    sliced = with_slices(rows, user, F.pmod(F.col(ts), F.lit(interval_ms)), skew)
+    offset = F.pmod(F.col(ts), F.lit(interval_ms))
+    cuts = find_cuts(rows, user, offset, skew)
+    sliced = with_slices(rows, user, offset, cuts)
     full = sliced.withColumns(
         {
             CARRY: F.lit(False),
@@ -65,7 +67,7 @@ def cooldown(
             _FREE: F.coalesce(F.col(free), F.lit(False)) if free else F.lit(False),
         }
     )
-    if skew is not None:
+    if cuts:
         hot = full.where(HOT).where(~F.col(_FREE)).select(user, SLICE, F.col(ts).cast("long").alias("entry"))
         full = full.unionByName(
             _entries(hot, interval_ms, user).select(

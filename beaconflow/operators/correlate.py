@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from beaconflow.constants import COOLDOWN_MS, CORRELATION_DELAY_MS
 from beaconflow.operators.cooldown import cooldown
-from beaconflow.operators.skew import CARRY, DEFAULT_SKEW, HOT, SLICE, Skew, with_slices
+from beaconflow.operators.skew import CARRY, DEFAULT_SKEW, HOT, SLICE, HotKeys, Skew, find_cuts, with_slices
 
 
 def tag_sources(frames: dict[str, DataFrame], source: str = "source") -> DataFrame:
@@ -52,15 +52,16 @@ def with_presence(
     ts: str = "ts_ms",
     seq: str = "seq",
     source: str = "source",
-    skew: Skew | None = DEFAULT_SKEW,
+    skew: Skew | HotKeys | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """Add ``complete``: all sources were seen within ``delay`` up to this row or an earlier one."""
-    sliced = with_slices(rows, user, F.col(ts), skew)
+    cuts = find_cuts(rows, user, F.col(ts), skew)
+    sliced = with_slices(rows, user, F.col(ts), cuts)
     seen = [f"__seen{i}" for i in range(len(sources))]
     full = sliced.withColumns(
         {**{c: _seen(source, ts, s) for c, s in zip(seen, sources)}, CARRY: F.lit(False)}
     )
-    if skew is not None:
+    if cuts:
         full = full.unionByName(_carry_rows(sliced, user, ts, source, sources), allowMissingColumns=True)
     w = Window.partitionBy(user, SLICE).orderBy(ts, F.col(CARRY).desc(), seq)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -68,7 +69,7 @@ def with_presence(
     alive = [F.coalesce(F.max(c).over(upto) >= F.col(ts) - delay_ms, F.lit(False)) for c in seen]
     full = full.withColumn("__now", reduce(lambda a, b: a & b, alive)).where(~F.col(CARRY))
     full = full.withColumn("complete", F.max("__now").over(upto))
-    if skew is not None:
+    if cuts:
         # A hot user's first complete row may lie in an earlier slice: one row per hot user.
         opened = full.where(F.col(HOT) & F.col("__now")).groupBy(user).agg(F.min(ts).alias("__opened"))
         full = full.join(F.broadcast(opened), user, "left").withColumn(
@@ -88,7 +89,7 @@ def correlate_sources(
     ts: str = "ts_ms",
     seq: str = "seq",
     source: str = "source",
-    skew: Skew | None = DEFAULT_SKEW,
+    skew: Skew | HotKeys | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """The rows that fire for a business event over several sources.
 
@@ -98,6 +99,8 @@ def correlate_sources(
     """
     if len(sources) == 1:
         return cooldown(rows, interval_ms, user, ts, seq, skew=skew)
+    if isinstance(skew, Skew):
+        skew = HotKeys(rows, user, skew)
     marked = with_presence(rows, sources, delay_ms, user, ts, seq, source, skew)
     if require_all:
         return cooldown(marked.where("complete").drop("complete"), interval_ms, user, ts, seq, skew=skew)

@@ -7,14 +7,21 @@ is cut at its quantiles, and every (user, slice) is processed on its own. What
 an operator must know from the earlier slices enters as one *carry row* per
 slice. The result does not depend on which keys are found hot or where they are
 cut, so the sketches only affect speed.
+
+The detection runs when an operator is called, because its outcome decides the
+plan: without hot keys, the usual case, nothing is added to it. An operator far
+down a plan should be given the :class:`HotKeys` of the raw records, so that the
+detection does not compute everything in between.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLICE = "__slice"
 HOT = "__hot"
@@ -38,65 +45,96 @@ class Skew:
 DEFAULT_SKEW = Skew()
 
 
-def hot_keys(df: DataFrame, key: str, skew: Skew = DEFAULT_SKEW) -> DataFrame:
-    """``(key, pieces)`` for each hot key: at most ``skew.share`` rows whatever the input size."""
-    top = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {skew.share}, {10 * skew.share})").alias("top"),
-        F.count(F.lit(1)).alias("total"),
-    ).select("total", F.inline("top"))
-    threshold = F.greatest(F.col("total") / skew.share, F.lit(skew.min_rows))
-    piece = F.greatest(F.col("total") / (10 * skew.share), F.lit(skew.min_rows))
-    return top.where((F.col("count") > threshold) & F.col("item").isNotNull()).select(
-        F.col("item").alias(key),
-        F.least(F.lit(_QUANTILES), F.ceil(F.col("count") / piece)).cast("int").alias("pieces"),
-    )
+@dataclass(frozen=True)
+class Cuts:
+    """Where the hot keys are cut: key -> ascending order values.
 
+    At most ``11 * share`` values over all keys whatever the size of the data,
+    which is why they may be held by the driver and broadcast.
+    """
 
-def cut_points(df: DataFrame, key: str, order: Column, skew: Skew = DEFAULT_SKEW) -> DataFrame:
-    """``(key, cuts)``: ascending values of ``order`` at which a hot key is cut.
+    points: dict[object, list[int]]
 
-    The cuts of all keys together number at most ``11 * skew.share``, the proven
-    bound that allows broadcasting them.
-    """
-    grid = ",".join(f"{i / _QUANTILES}D" for i in range(1, _QUANTILES))
-    rows = df.select(F.col(key), order.alias("__order"))
-    return (
-        rows.join(F.broadcast(hot_keys(rows, key, skew)), key)
-        .groupBy(key)
-        .agg(
-            F.expr(f"percentile_approx(__order, array({grid}), {10 * _QUANTILES})").alias("q"),
-            F.max("pieces").alias("pieces"),
+    def __bool__(self) -> bool:
+        return bool(self.points)
+
+    def frame(self, spark: SparkSession, like: DataFrame, key: str) -> DataFrame:
+        return _local(spark, like, key, "cuts", T.ArrayType(T.LongType()), self.points)
+
+
+NO_CUTS = Cuts({})
+
+
+def _local(spark: SparkSession, like: DataFrame, key: str, name: str, kind: T.DataType, values: dict) -> DataFrame:
+    schema = T.StructType([T.StructField(key, like.schema[key].dataType), T.StructField(name, kind)])
+    return spark.createDataFrame(list(values.items()), schema)
+
+
+class HotKeys:
+    """The hot keys of a frame, found once; ``skew`` arguments accept this in place of a :class:`Skew`."""
+
+    def __init__(self, df: DataFrame, key: str, skew: Skew = DEFAULT_SKEW) -> None:
+        self._df, self._key, self._skew = df, key, skew
+
+    @cached_property
+    def pieces(self) -> dict[object, int]:
+        """Hot key -> number of pieces: at most ``skew.share`` entries."""
+        skew = self._skew
+        top = self._df.agg(
+            F.expr(f"approx_top_k(`{self._key}`, {skew.share}, {10 * skew.share})").alias("top"),
+            F.count(F.lit(1)).alias("total"),
+        ).select("total", F.inline("top"))
+        threshold = F.greatest(F.col("total") / skew.share, F.lit(skew.min_rows))
+        piece = F.greatest(F.col("total") / (10 * skew.share), F.lit(skew.min_rows))
+        rows = top.where((F.col("count") > threshold) & F.col("item").isNotNull()).select(
+            "item", F.least(F.lit(_QUANTILES), F.ceil(F.col("count") / piece)).cast("int").alias("pieces")
         )
-        .where("pieces > 1")
-        .select(
-            key,
-            F.expr(
-                f"array_distinct(transform(sequence(1, pieces - 1), "
-                f"i -> q[cast(i * {_QUANTILES} / pieces as int) - 1]))"
-            ).alias("cuts"),
+        return {r["item"]: r["pieces"] for r in rows.collect()}
+
+    def cuts(self, order: Column) -> Cuts:
+        """The hot keys cut at quantiles of ``order``."""
+        hot = {k: n for k, n in self.pieces.items() if n > 1}
+        if not hot:
+            return NO_CUTS
+        key = self._key
+        rows = self._df.select(F.col(key), order.cast("long").alias("__order"))
+        pieces = F.broadcast(_local(self._df.sparkSession, rows, key, "pieces", T.IntegerType(), hot))
+        grid = ",".join(f"{i / _QUANTILES}D" for i in range(1, _QUANTILES))
+        found = (
+            rows.join(pieces, key)
+            .groupBy(key, "pieces")
+            .agg(F.expr(f"percentile_approx(__order, array({grid}), {10 * _QUANTILES})").alias("q"))
+            .select(
+                key,
+                F.expr(
+                    f"array_distinct(transform(sequence(1, pieces - 1), "
+                    f"i -> q[cast(i * {_QUANTILES} / pieces as int) - 1]))"
+                ).alias("cuts"),
+            )
         )
-    )
+        return Cuts({r[0]: r[1] for r in found.collect()})
 
 
-def with_slices(df: DataFrame, key: str, order: Column, skew: Skew | None, cuts: DataFrame | None = None) -> DataFrame:
-    """Add the slice number (0 for ordinary keys) and the hot flag.
+def find_cuts(df: DataFrame, key: str, order: Column, skew: Skew | HotKeys | None = DEFAULT_SKEW) -> Cuts:
+    """Cuts of the hot keys of ``df``, or of those already known; ``None`` leaves every key whole."""
+    if skew is None or df.isStreaming:
+        return NO_CUTS
+    return (skew if isinstance(skew, HotKeys) else HotKeys(df, key, skew)).cuts(order)
 
-    ``skew=None`` leaves every key whole. ``cuts`` may be passed to share one
-    detection between operators.
-    """
-    if skew is None:
+
+def with_slices(df: DataFrame, key: str, order: Column, cuts: Cuts) -> DataFrame:
+    """Add the slice number (0 for ordinary keys) and the hot flag."""
+    if not cuts:
         return df.withColumns({SLICE: F.lit(0), HOT: F.lit(False)})
-    if cuts is None:
-        cuts = cut_points(df, key, order, skew)
     # Two short scans (block ends, then one block) instead of one over all cuts.
-    ends = F.filter(F.col("cuts"), lambda _, i: i % _BLOCK == _BLOCK - 1)
-    cuts = cuts.select(F.col(key), F.col("cuts").alias("__cuts"), ends.alias("__ends"))
     # A row without an order value belongs before all others, into slice 0.
+    ends = F.filter(F.col("cuts"), lambda _, i: i % _BLOCK == _BLOCK - 1)
+    side = cuts.frame(df.sparkSession, df, key).select(key, F.col("cuts").alias("__cuts"), ends.alias("__ends"))
     full = F.size(F.filter("__ends", lambda c: c <= order))
     rest = F.size(F.filter(F.slice("__cuts", full * _BLOCK + 1, F.lit(_BLOCK)), lambda c: c <= order))
     hot = F.col("__cuts").isNotNull()
     return (
-        df.join(F.broadcast(cuts), key, "left")
+        df.join(F.broadcast(side), key, "left")
         .withColumns({SLICE: F.when(hot, full * _BLOCK + rest).otherwise(0), HOT: hot})
         .drop("__cuts", "__ends")
     )
@@ -134,7 +172,7 @@ def lookup_join(
     how: str = "left",
     *,
     small: bool | None = None,
-    skew: Skew | None = DEFAULT_SKEW,
+    skew: Skew | HotKeys | None = DEFAULT_SKEW,
     fanout: int = 64,
 ) -> DataFrame:
     """Equi lookup join (``left``, ``inner``, ``left_semi`` or ``left_anti``) that survives hot keys.
@@ -151,9 +189,15 @@ def lookup_join(
         return left.join(F.broadcast(right), on, how)
     if left.isStreaming or skew is None:
         return left.join(right, on, how)
-    hot = F.broadcast(hot_keys(left.select(on), on, skew).select(on, F.lit(True).alias("__h")))
     hashable = [c for c, kind in left.dtypes if "map<" not in kind and kind != "variant"]
     spread = F.pmod(F.xxhash64(*hashable), F.lit(fanout)).cast("int")
+    found = (skew if isinstance(skew, HotKeys) else HotKeys(left, on, skew)).pieces
+    if not found:
+        salted = left.withColumn("__salt", F.when(F.col(on).isNull(), spread).otherwise(0))
+        return salted.join(right.withColumn("__salt", F.lit(0)), [on, "__salt"], how).drop("__salt")
+    hot = F.broadcast(
+        _local(left.sparkSession, left, on, "__h", T.BooleanType(), dict.fromkeys(found, True))
+    )
     salted_left = left.join(hot, on, "left").withColumn(
         "__salt", F.when(F.col("__h") | F.col(on).isNull(), spread).otherwise(0)
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beaconflow.constants import AREA_ONSITE, AREA_ONSITE_STAY, STAY_TIMEOUT_MS
-from beaconflow.operators.skew import CARRY, DEFAULT_SKEW, HOT, SLICE, Skew, with_slices
+from beaconflow.operators.skew import CARRY, DEFAULT_SKEW, HOT, SLICE, Cuts, HotKeys, Skew, find_cuts, with_slices
 
 
 @dataclass(frozen=True)
@@ -82,20 +82,20 @@ def dwell(
     user: str = "imsi",
     ts: str = "ts_ms",
     seq: str = "seq",
-    skew: Skew | None = DEFAULT_SKEW,
+    skew: Skew | HotKeys | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """Add ``stay_start``, ``stay_ms`` and the label ``stay`` to rows of (user, area, time).
 
     One shuffle by user; the windows per area run inside it.
     """
-    return _dwell_sliced(with_slices(visits, user, F.col(ts), skew), config, user, ts, seq, skew).drop(SLICE, HOT)
+    cuts = find_cuts(visits, user, F.col(ts), skew)
+    sliced = with_slices(visits, user, F.col(ts), cuts)
+    return _dwell_sliced(sliced, config, user, ts, seq, cuts).drop(SLICE, HOT)
 
 
-def _dwell_sliced(
-    visits: DataFrame, config: StayConfig, user: str, ts: str, seq: str, skew: Skew | None
-) -> DataFrame:
+def _dwell_sliced(visits: DataFrame, config: StayConfig, user: str, ts: str, seq: str, cuts: Cuts) -> DataFrame:
     rows = visits.withColumns({"__start": F.lit(None).cast("long"), CARRY: F.lit(False)})
-    if skew is not None:
+    if cuts:
         rows = rows.unionByName(_carry_rows(visits, user, ts, seq, config), allowMissingColumns=True)
     # A carry row comes first in its slice whatever else happened at its time.
     w = Window.partitionBy(user, SLICE, "area").orderBy(ts, F.col(CARRY).desc(), seq)
@@ -120,8 +120,7 @@ def label_stay(
     user: str = "imsi",
     ts: str = "ts_ms",
     seq: str = "seq",
-    skew: Skew | None = DEFAULT_SKEW,
-    cuts: DataFrame | None = None,
+    skew: Skew | HotKeys | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """Add the map area -> stay label (text) for the areas flagged on each record.
 
@@ -129,7 +128,8 @@ def label_stay(
     all happen within the one shuffle by user.
     """
     payload = [c for c in records.columns if c not in (user, seq)]
-    sliced = with_slices(records, user, F.col(ts), skew, cuts)
+    cuts = find_cuts(records, user, F.col(ts), skew)
+    sliced = with_slices(records, user, F.col(ts), cuts)
     visits = sliced.select(
         user,
         seq,
@@ -140,7 +140,7 @@ def label_stay(
         F.explode_outer(F.map_keys(AREA_ONSITE)).alias("area"),
     )
     # Only the visits themselves take part in the carry computation.
-    labelled = _dwell_sliced(visits, config, user, ts, seq, skew)
+    labelled = _dwell_sliced(visits, config, user, ts, seq, cuts)
     entry = F.when(F.col("area").isNotNull(), F.struct("area", F.col("stay").cast("string")))
     return (
         labelled.groupBy(user, SLICE, seq)

@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from beaconflow.functions.geo import haversine_km
-from beaconflow.operators.skew import CARRY, DEFAULT_SKEW, SLICE, HOT, Skew, carry_last_rows, with_slices
+from beaconflow.operators.skew import (
+    CARRY, DEFAULT_SKEW, HOT, SLICE, HotKeys, Skew, carry_last_rows, find_cuts, with_slices,
+)
 
 
 def _with_previous(
-    rows: DataFrame, columns: dict[str, str], user: str, ts: str, seq: str, skew: Skew | None, cuts: DataFrame | None
+    rows: DataFrame, columns: dict[str, str], user: str, ts: str, seq: str, skew: Skew | HotKeys | None
 ) -> DataFrame:
     """Add the previous record's value of each column under its new name."""
-    sliced = with_slices(rows, user, F.col(ts), skew, cuts)
+    cuts = find_cuts(rows, user, F.col(ts), skew)
+    sliced = with_slices(rows, user, F.col(ts), cuts)
     full = sliced.withColumn(CARRY, F.lit(False))
-    if skew is not None:
+    if cuts:
         slim = sliced.select(*dict.fromkeys([user, ts, seq, SLICE, HOT, *columns]))
         full = full.unionByName(carry_last_rows(slim, user, [ts, seq]), allowMissingColumns=True)
     w = Window.partitionBy(user, SLICE).orderBy(ts, seq)
@@ -32,11 +35,10 @@ def last_device(
     ts: str = "ts_ms",
     seq: str = "seq",
     imei: str = "imei",
-    skew: Skew | None = DEFAULT_SKEW,
-    cuts: DataFrame | None = None,
+    skew: Skew | HotKeys | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """Add ``last_imei``, the device of the user's previous record, "" at first."""
-    out = _with_previous(rows, {imei: "last_imei"}, user, ts, seq, skew, cuts)
+    out = _with_previous(rows, {imei: "last_imei"}, user, ts, seq, skew)
     return out.withColumn("last_imei", F.coalesce("last_imei", F.lit("")))
 
 
@@ -48,11 +50,10 @@ def movement(
     user: str = "imsi",
     ts: str = "ts_ms",
     seq: str = "seq",
-    skew: Skew | None = DEFAULT_SKEW,
-    cuts: DataFrame | None = None,
+    skew: Skew | HotKeys | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """Add distance (km), elapsed time (ms), speed (km/h) and previous cell; null on the first record."""
-    return _moved(_with_previous(rows, {**_MOVES, ts: "__prev_ts"}, user, ts, seq, skew, cuts), ts)
+    return _moved(_with_previous(rows, {**_MOVES, ts: "__prev_ts"}, user, ts, seq, skew), ts)
 
 
 def track(
@@ -60,12 +61,11 @@ def track(
     user: str = "imsi",
     ts: str = "ts_ms",
     seq: str = "seq",
-    skew: Skew | None = DEFAULT_SKEW,
-    cuts: DataFrame | None = None,
+    skew: Skew | HotKeys | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """:func:`last_device` and :func:`movement` in one pass."""
     columns = {"imei": "last_imei", **_MOVES, ts: "__prev_ts"}
-    out = _moved(_with_previous(rows, columns, user, ts, seq, skew, cuts), ts)
+    out = _moved(_with_previous(rows, columns, user, ts, seq, skew), ts)
     return out.withColumn("last_imei", F.coalesce("last_imei", F.lit("")))
 
 

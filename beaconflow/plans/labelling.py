@@ -12,7 +12,7 @@ from beaconflow.constants import (
 )
 from beaconflow.functions.maps import present_entries
 from beaconflow.operators.lookups import label_geo, label_profile, label_site
-from beaconflow.operators.skew import DEFAULT_SKEW, Skew, cut_points
+from beaconflow.operators.skew import DEFAULT_SKEW, HotKeys, Skew
 from beaconflow.operators.stay import StayConfig, label_stay
 from beaconflow.operators.track import last_device, movement, track
 from beaconflow.plans.plugins import LabelRule, Lookups
@@ -59,19 +59,20 @@ class LabelPlan:
             records = rule.apply(records, lookups)
         return records
 
-    def label(self, records: DataFrame, lookups: Lookups, skew: Skew | None = DEFAULT_SKEW) -> DataFrame:
+    def label(self, records: DataFrame, lookups: Lookups, skew: Skew | HotKeys | None = DEFAULT_SKEW) -> DataFrame:
         """Batch: records in time order per user."""
         # One detection, on the bare records, serves all per-user steps.
-        cuts = None if skew is None else cut_points(records, "imsi", F.col("ts_ms"), skew)
+        if isinstance(skew, Skew):
+            skew = HotKeys(records, "imsi", skew)
         out = self.stateless(records, lookups)
         if self.device and self.movement:
-            out = track(out, skew=skew, cuts=cuts)
+            out = track(out, skew=skew)
         elif self.device:
-            out = last_device(out, skew=skew, cuts=cuts)
+            out = last_device(out, skew=skew)
         elif self.movement:
-            out = movement(out, skew=skew, cuts=cuts)
+            out = movement(out, skew=skew)
         if self.stay:
-            out = label_stay(out, self.stay, skew=skew, cuts=cuts)
+            out = label_stay(out, self.stay, skew=skew)
         return with_labels(out)
 
     def label_stream(self, records: DataFrame, lookups: Lookups) -> DataFrame:

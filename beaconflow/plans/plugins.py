@@ -13,7 +13,7 @@ from beaconflow.constants import COOLDOWN_MS, CORRELATION_DELAY_MS
 from beaconflow.operators.cooldown import cooldown
 from beaconflow.operators.correlate import correlate_sources
 from beaconflow.operators.rules import business_projection
-from beaconflow.operators.skew import DEFAULT_SKEW, Skew
+from beaconflow.operators.skew import DEFAULT_SKEW, HotKeys, Skew
 from beaconflow.sources.signals import parse_signals
 from beaconflow.sources.sinks import event_messages
 
@@ -70,7 +70,7 @@ class BusinessEvent:
             out = out.unionByName(frame)
         return out
 
-    def fired(self, events: dict[str, dict[str, DataFrame]], skew: Skew | None = DEFAULT_SKEW) -> DataFrame:
+    def fired(self, events: dict[str, dict[str, DataFrame]], skew: Skew | HotKeys | None = DEFAULT_SKEW) -> DataFrame:
         rows = self.rows(events)
         if len(self.rules) == 1:
             return cooldown(rows.drop("source"), self.interval_ms, self.user, self.ts, self.seq, skew=skew)

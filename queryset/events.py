@@ -9,6 +9,7 @@ from beaconflow.operators import correlate as W
 from beaconflow.operators import rules as P
 from beaconflow.operators.cooldown import cooldown
 from beaconflow.operators.lookups import label_site
+from beaconflow.operators.skew import HotKeys
 from beaconflow.operators.stay import dwell
 from beaconflow.plans.labelling import with_labels
 from beaconflow.sources.sinks import event_messages
@@ -216,14 +217,15 @@ def publish(spark, sf_dir):
 def stay_event_messages(spark, sf_dir):
     """Records -> areas -> stay in ASIA -> projection -> one per user and three days -> messages."""
     slim = signals(spark, sf_dir).select("seq", "imsi", "ts", "ts_ms", "lac", "ci")
+    hot = HotKeys(slim, "imsi")
     flagged = label_site(slim, sites(spark, sf_dir))
     # The rule only looks at one area, so only its visits need a stay.
     asia = flagged.where("area_onsite['ASIA'] = 'true'").withColumn("area", F.lit("ASIA"))
-    staying = P.event_rule(dwell(asia, STAY), "stay > 0")
+    staying = P.event_rule(dwell(asia, STAY, skew=hot), "stay > 0")
     projected = P.business_projection(
         staying, ["imsi", "date_format(ts, 'yyyyMMdd HH:mm:ss.SSS') as time", "stay", "ts_ms", "seq"]
     )
-    fired = cooldown(projected, 3 * DAY)
+    fired = cooldown(projected, 3 * DAY, skew=hot)
     return event_messages(fired, ["imsi", "time", "stay"], "imsi", ",", F.to_timestamp(F.lit("2024-02-01 00:00:00")))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from beaconflow.operators import lookups as J
-from beaconflow.operators.skew import lookup_join
+from beaconflow.operators.skew import HotKeys, lookup_join
 from beaconflow.operators.stay import StayConfig, dwell
 from beaconflow.operators.track import last_device, movement
 from queryset import query
@@ -144,7 +144,7 @@ stays AS (SELECT seq, imsi, area, st, new_stay, CASE WHEN brk OR prev = ts_ms OR
 
 def _dwell(config):
     def run(spark, sf_dir):
-        out = dwell(visits(spark, sf_dir), config)
+        out = dwell(visits(spark, sf_dir), config, skew=HotKeys(signals(spark, sf_dir), "imsi"))
         return out.select("seq", "imsi", "area", "stay")
 
     return run
@@ -166,7 +166,7 @@ query(
     _stay_sql("list_max(m)") + "SELECT seq, area, st AS stay_start, new_stay AS stay_ms FROM stays",
 )
 def dwell_session_starts(spark, sf_dir):
-    return dwell(visits(spark, sf_dir), STAY).select("seq", "area", "stay_start", "stay_ms")
+    return dwell(visits(spark, sf_dir), STAY, skew=HotKeys(signals(spark, sf_dir), "imsi")).select("seq", "area", "stay_start", "stay_ms")
 
 
 @query("last_device", """
@@ -194,6 +194,6 @@ FROM d"""
 def movement_query(spark, sf_dir):
     s = signals(spark, sf_dir).select("seq", "imsi", "ts_ms", "lac", "ci")
     placed = J.label_geo(s, cells(spark, sf_dir)).withColumn("lac_ci", F.concat("lac", "ci"))
-    return movement(placed).select(
+    return movement(placed, skew=HotKeys(s, "imsi")).select(
         "seq", "imsi", "distance_km", "elapsed_ms", "last_lac_ci", F.round("speed_kmh", 3).alias("speed_kmh")
     )
