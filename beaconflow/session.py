@@ -36,9 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    root = os.path.join(os.getcwd(), "spark-warehouse", "shared")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return os.path.join(os.getcwd(), "spark-warehouse", "shared")
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:
