@@ -14,4 +14,4 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
     a1, a2 = F.radians(lat1), F.radians(lat2)
     dlat, dlng = a1 - a2, F.radians(lng1) - F.radians(lng2)
     h = F.pow(F.sin(dlat / 2), F.lit(2)) + F.cos(a1) * F.cos(a2) * F.pow(F.sin(dlng / 2), F.lit(2))
-    return F.round(F.asin(F.sqrt(F.least(h, F.lit(1.0)))) * 2 * EARTH_RADIUS_KM, 4)
+    return F.round(F.asin(F.sqrt(F.when(h > 1, 1.0).otherwise(h))) * 2 * EARTH_RADIUS_KM, 4)

@@ -182,9 +182,9 @@ MOVEMENT_SQL = """
   FROM s JOIN cells USING (cell)),
 q AS (SELECT *, lag(lat) OVER w AS lat0, lag(lng) OVER w AS lng0, lag(ts_ms) OVER w AS ts0, lag(cell_id) OVER w AS last_lac_ci
       FROM p WINDOW w AS (PARTITION BY imsi ORDER BY ts_ms, seq)),
-d AS (SELECT *, round(asin(sqrt(least(power(sin((radians(lat0) - radians(lat)) / 2), 2)
+d AS (SELECT *, CASE WHEN lat0 IS NOT NULL THEN round(asin(sqrt(least(power(sin((radians(lat0) - radians(lat)) / 2), 2)
                 + cos(radians(lat0)) * cos(radians(lat)) * power(sin((radians(lng0) - radians(lng)) / 2), 2), 1.0)))
-                * 2 * 6378.137, 4) AS distance_km, ts_ms - ts0 AS elapsed_ms FROM q)
+                * 2 * 6378.137, 4) END AS distance_km, ts_ms - ts0 AS elapsed_ms FROM q)
 SELECT seq, imsi, distance_km, elapsed_ms, last_lac_ci,
        round(distance_km * 3600000 / nullif(elapsed_ms, 0), 3) AS speed_kmh
 FROM d"""
