@@ -7,11 +7,16 @@ from pyspark.sql import functions as F
 
 from beaconflow.functions.text import split_fields
 
+# The encodings Spark reads without further permission.
+_PLAIN_ENCODINGS = ("US-ASCII", "ISO-8859-1", "UTF-8", "UTF-16BE", "UTF-16LE", "UTF-16", "UTF-32")
+
 
 def read_file(
     spark: SparkSession, path: str, columns: dict[str, int], delim: str = ",", encoding: str = "UTF-8"
 ) -> DataFrame:
     """Chosen positions of a delimited file as trimmed strings; short lines are skipped."""
+    if encoding.upper() not in _PLAIN_ENCODINGS:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     # Each line is read whole (an unused separator, no quoting) so that the
     # delimiter may have any length and any encoding is decoded.
     lines = spark.read.schema("value string").csv(path, sep="\u0001", quote="", escape="", encoding=encoding)

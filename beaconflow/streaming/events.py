@@ -137,7 +137,7 @@ def running_count_stream(rows: DataFrame, key: str, value: str, seq: str, drop_i
 
     By default an idle key keeps its count (a plain aggregate). ``drop_idle``
     forgets keys absent from a batch, as the state of a key without new rows
-    times out at the next one.
+    times out at the next one; it needs a continuously triggered query.
     """
     if not drop_idle:
         return rows.groupBy(key).agg(F.min_by(value, seq).alias("first_value"), F.count(F.lit(1)).alias("n"))

@@ -56,7 +56,7 @@ def test_application_from_lines_to_messages(spark):
     def line(minute, lac="21278", ci="1102"):
         return f"1,20150401 08:{minute:02}:00.000,{lac},{ci},d,e,A,B,0,0,0,1,0,0,2"
 
-    lines = [line(0), line(4), line(6), "junk", line(7, "1", "1"), line(12), line(40), line(46)]
+    lines = [line(0), line(4), line(6), "junk", line(7, "1", "1"), line(12), line(43), line(46)]
     df = spark.createDataFrame(list(enumerate(lines)), "seq long, value string")
     for skew in (Skew(), Skew(4, 2), None):
         fired = app.fired({"1": df}, lookups, skew=skew)["1"]
@@ -64,7 +64,7 @@ def test_application_from_lines_to_messages(spark):
         got = [tuple(r) for r in event.messages(fired, sent).orderBy("value").collect()]
         assert got == [
             ("139", "A,20150401 08:04:00.000,139,180000,20150401 09:00:00.000"),
-            ("139", "A,20150401 08:40:00.000,139,600000,20150401 09:00:00.000"),
+            ("139", "A,20150401 08:46:00.000,139,180000,20150401 09:00:00.000"),
         ]
 
 
