@@ -21,7 +21,11 @@ def split_fields(line: Column, delim: str) -> Column:
 
 def strict_int(text: Column) -> Column:
     """Digits with an optional sign as int; blanks, letters and overflow give null."""
-    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("int"))
+    # The cast itself only forgives blanks and control characters at the ends,
+    # so looking at the first and last character settles it without a regex.
+    first = (text >= "+") & (text < ":")
+    last = F.substring(text, -1, 1).between("0", "9")
+    return F.when(first & last, text.try_cast("int"))
 
 
 def wildcard_regex(prefix: str | None = None, mid: str | None = None, suffix: str | None = None) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from beaconflow.constants import ANONYMOUS_ID, AREA_INFO, AREA_ONSITE, USER_INFO
 from beaconflow.functions.maps import empty_map, map_union, present_entries
-from beaconflow.operators.skew import lookup_join
+from beaconflow.operators.skew import fits_broadcast, lookup_join
 
 
 def site_key(lac: Column, ci: Column) -> Column:
@@ -30,20 +30,18 @@ def label_site(records: DataFrame, sites: DataFrame, small: bool | None = None)
     which become the area information together with ``lac_ci``.
     """
     others = [c for c in sites.columns if c not in ("lac", "ci", "areas")]
+    own = F.create_map(F.lit("lac_ci"), F.concat("lac", "ci"))
+    # Both maps are made once per cell rather than once per record.
     table = sites.select(
         site_key(F.col("lac"), F.col("ci")).alias("__cell"),
         area_flags(F.col("areas")).alias("__flags"),
-        present_entries({c: F.col(c) for c in others}).alias("__info"),
+        map_union(present_entries({c: F.col(c) for c in others}), own).alias("__info"),
     )
     joined = lookup_join(
         records.withColumn("__cell", site_key(F.col("lac"), F.col("ci"))), table, "__cell", small=small
     )
-    own = F.create_map(F.lit("lac_ci"), F.concat("lac", "ci"))
     return joined.withColumns(
-        {
-            AREA_ONSITE: F.coalesce("__flags", empty_map()),
-            AREA_INFO: map_union(F.coalesce("__info", empty_map()), own),
-        }
+        {AREA_ONSITE: F.coalesce("__flags", empty_map()), AREA_INFO: F.coalesce("__info", own)}
     ).drop("__cell", "__flags", "__info")
 
 
@@ -58,23 +56,22 @@ def label_profile(
     usable = (calling != ANONYMOUS_ID) & (called != ANONYMOUS_ID) & (calling != called)
     other = F.when(usable, F.when(subject == calling, called).otherwise(calling))
 
+    if small is None:
+        small = fits_broadcast(profiles.select(key, *columns))
+
     def side(alias: str) -> DataFrame:
-        return profiles.select(
-            F.col(key).alias(f"__{alias}"), F.struct(*columns).alias(f"__{alias}_row")
-        )
+        entries = present_entries({c: F.col(c) for c in columns})
+        return profiles.select(F.col(key).alias(f"__{alias}"), entries.alias(f"__{alias}_map"))
 
     keyed = records.withColumns(
         {"__own": F.when(subject != ANONYMOUS_ID, subject), "__other": other}
     )
     joined = lookup_join(keyed, side("own"), "__own", small=small)
     joined = lookup_join(joined, side("other"), "__other", small=small)
-    called_side = F.col("__other") == called
-    entries: dict[str, Column] = {c: F.col(f"__own_row.{c}") for c in columns}
-    entries |= {f"called_{c}": F.when(called_side, F.col(f"__other_row.{c}")) for c in columns}
-    entries |= {f"calling_{c}": F.when(~called_side, F.col(f"__other_row.{c}")) for c in columns}
-    return joined.withColumn(USER_INFO, present_entries(entries)).drop(
-        "__own", "__other", "__own_row", "__other_row"
-    )
+    prefix = F.when(F.col("__other") == called, "called_").otherwise("calling_")
+    prefixed = F.transform_keys("__other_map", lambda name, _: F.concat(prefix, name))
+    info = F.map_concat(F.coalesce("__own_map", empty_map()), F.coalesce(prefixed, empty_map()))
+    return joined.withColumn(USER_INFO, info).drop("__own", "__other", "__own_map", "__other_map")
 
 
 def label_geo(records: DataFrame, sites: DataFrame, small: bool | None = None) -> DataFrame:

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconflow.constants import COOLDOWN_MS, CORRELATION_DELAY_MS, STAY_TIMEOUT_MS
-from beaconflow.operators.rules import EventRule, event_rule_tree, ordered_rules, split_expressions
+from beaconflow.functions.text import joined_message
+from beaconflow.functions.times import SIGNAL_TIME
+from beaconflow.operators.rules import EventRule, event_rule_flags, event_rule_tree, ordered_rules, split_expressions
 from beaconflow.operators.skew import DEFAULT_SKEW, Skew
 from beaconflow.operators.stay import StayConfig
 from beaconflow.plans.catalogue import Catalogue
 from beaconflow.plans.labelling import GeoLabels, LabelPlan, ProfileLabels, SiteLabels
-from beaconflow.plans.plugins import PARSERS, BusinessEvent, Lookups
+from beaconflow.plans.plugins import PARSERS, BusinessEvent, Lookups, alias_of
 from beaconflow.sources.streams import open_stream
+from beaconflow.streaming.events import EventTerms, business_events_stream
 
 
 @dataclass(frozen=True)
@@ -47,6 +51,35 @@ class SourcePlan:
         """Rows of each rule, lazily; ``lines`` needs a ``seq`` column for per-user labels."""
         return event_rule_tree(self.labels.label(self.records(lines, now), lookups, skew), self.rules)
 
+    def event_rows(
+        self, lines: DataFrame, lookups: Lookups, subscribers: list[BusinessEvent], now: Column | None = None
+    ) -> DataFrame:
+        """Stream: one row per record and subscribed business event, all from one pass."""
+        labelled = self.labels.label_stream(self.records(lines, now), lookups)
+        flagged = event_rule_flags(labelled, self.rules, "__rule_")
+        offers = []
+        for b in subscribers:
+            row = F.struct(F.lit(b.id).alias("event"), *_message(b))
+            offers.append(F.when(F.col(f"__rule_{b.rules[self.id]}"), row))
+        return flagged.select(
+            F.inline(F.filter(F.array(*offers), lambda o: o.isNotNull())),
+            "ts_ms",
+            "seq",
+            F.lit(self.id).alias("source"),
+        )
+
+
+def _message(event: BusinessEvent) -> list[Column]:
+    """User, message key and message body of a business event, straight from a record."""
+    by_name = {alias_of(e): F.expr(e) for e in event.select}
+    body = joined_message([by_name[c] for c in event.columns()], event.delim)
+    return [
+        by_name[event.user].cast("string").alias("user"),
+        by_name[event.key or event.user].cast("string").alias("key"),
+        body.alias("body"),
+        F.lit(event.topic).alias("topic"),
+    ]
+
 
 @dataclass(frozen=True)
 class Application:
@@ -64,6 +97,23 @@ class Application:
         events = {s.id: s.events(lines[s.id], lookups, now, skew) for s in self.sources if s.id in lines}
         return {b.id: b.fired(events, skew) for b in self.business_events}
 
+    def messages_stream(
+        self, lines: dict[str, DataFrame], lookups: Lookups, now: Column | None = None, sent_at: Column | None = None
+    ) -> DataFrame:
+        """Stream: topic, key and value of everything that fires, over all sources and business events."""
+        frames = []
+        for source in self.sources:
+            subscribers = [b for b in self.business_events if source.id in b.rules]
+            if source.id in lines and subscribers:
+                frames.append(source.event_rows(lines[source.id], lookups, subscribers, now))
+        rows = reduce(DataFrame.unionByName, frames)
+        terms = {
+            b.id: EventTerms(tuple(b.rules), b.interval_ms, b.delay_ms, b.require_all) for b in self.business_events
+        }
+        fired = business_events_stream(rows, terms)
+        moment = F.date_format(F.current_timestamp() if sent_at is None else sent_at, SIGNAL_TIME)
+        return fired.select("event", "topic", "key", F.concat("body", F.lit(","), moment).alias("value"))
+
 
 def build_application(catalogue: Catalogue, rule_kinds: dict[str, str], parsers: dict[str, str]) -> Application:
     """The application a catalogue describes.

@@ -24,7 +24,7 @@ class SiteLabels:
     """Areas of the record's cell, from the lookup ``sites``."""
 
     def apply(self, records: DataFrame, lookups: Lookups) -> DataFrame:
-        return label_site(records, lookups["sites"])
+        return label_site(records, lookups["sites"], lookups.small("sites"))
 
 
 @dataclass(frozen=True)
@@ -34,7 +34,7 @@ class ProfileLabels:
     columns: tuple[str, ...]
 
     def apply(self, records: DataFrame, lookups: Lookups) -> DataFrame:
-        return label_profile(records, lookups["profiles"], list(self.columns))
+        return label_profile(records, lookups["profiles"], list(self.columns), small=lookups.small("profiles"))
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,8 @@ class GeoLabels:
     """Coordinates of the record's cell, from the lookup ``sites``; needed for movement."""
 
     def apply(self, records: DataFrame, lookups: Lookups) -> DataFrame:
-        return label_geo(records, lookups["sites"]).withColumn("lac_ci", F.concat("lac", "ci"))
+        placed = label_geo(records, lookups["sites"], lookups.small("sites"))
+        return placed.withColumn("lac_ci", F.concat("lac", "ci"))
 
 
 @dataclass(frozen=True)
@@ -54,12 +55,13 @@ class LabelPlan:
     device: bool = False
     movement: bool = False
 
-    def stateless(self, records: DataFrame, lookups: Lookups) -> DataFrame:
+    def stateless(self, records: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
+        lookups = lookups if isinstance(lookups, Lookups) else Lookups(lookups)
         for rule in self.rules:
             records = rule.apply(records, lookups)
         return records
 
-    def label(self, records: DataFrame, lookups: Lookups, skew: Skew | HotKeys | None = DEFAULT_SKEW) -> DataFrame:
+    def label(self, records: DataFrame, lookups: dict[str, DataFrame], skew: Skew | HotKeys | None = DEFAULT_SKEW) -> DataFrame:
         """Batch: records in time order per user."""
         # One detection, on the bare records, serves all per-user steps.
         if isinstance(skew, Skew):
@@ -75,7 +77,7 @@ class LabelPlan:
             out = label_stay(out, self.stay, skew=skew)
         return with_labels(out)
 
-    def label_stream(self, records: DataFrame, lookups: Lookups) -> DataFrame:
+    def label_stream(self, records: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
         """Stream: records in arrival order per user, state carried across micro-batches."""
         out = self.stateless(records, lookups)
         if self.stay or self.device or self.movement:

@@ -13,11 +13,24 @@ from beaconflow.constants import COOLDOWN_MS, CORRELATION_DELAY_MS
 from beaconflow.operators.cooldown import cooldown
 from beaconflow.operators.correlate import correlate_sources
 from beaconflow.operators.rules import business_projection
-from beaconflow.operators.skew import DEFAULT_SKEW, HotKeys, Skew
+from beaconflow.operators.skew import DEFAULT_SKEW, HotKeys, Skew, fits_broadcast
 from beaconflow.sources.signals import parse_signals
 from beaconflow.sources.sinks import event_messages
 
-Lookups = dict[str, DataFrame]
+
+class Lookups(dict[str, DataFrame]):
+    """Lookup tables by name; each is measured for broadcasting at most once per plan."""
+
+    def __init__(self, tables: dict[str, DataFrame]) -> None:
+        super().__init__(tables)
+        self._small: dict[str, bool] = {}
+
+    def small(self, name: str) -> bool:
+        if name not in self._small:
+            self._small[name] = fits_broadcast(self[name])
+        return self._small[name]
+
+
 Parser = Callable[..., DataFrame]
 
 # Parsers by name: lines in, typed records with ``reject_reason`` out.
@@ -79,6 +92,14 @@ class BusinessEvent:
             self.user, self.ts, self.seq, skew=skew,
         )
 
+    def columns(self) -> list[str]:
+        """Names of the projected columns that go into a message."""
+        return self.message_columns or [alias_of(e) for e in self.select]
+
     def messages(self, fired: DataFrame, sent_at: Column | None = None) -> DataFrame:
-        columns = self.message_columns or [c for c in fired.columns if c != "source"]
-        return event_messages(fired, columns, self.key or self.user, self.delim, sent_at)
+        return event_messages(fired, self.columns(), self.key or self.user, self.delim, sent_at)
+
+
+def alias_of(expression: str) -> str:
+    """The column name a projection expression ends in (``... as name`` or a plain column)."""
+    return expression.strip().split()[-1].strip("`")

@@ -123,7 +123,8 @@ def route_feed(lines: DataFrame, delim: str = ",", received_at: Column | None =
     ``received_at`` (text) is appended to the line first, as one more field.
     """
     value = F.col("value") if received_at is None else F.concat("value", F.lit(delim), received_at)
-    f = split_fields(value, delim)
+    kept = [c for c in lines.columns if c != "value"]
+    lines = lines.select(*kept, value.alias("value"))
 
     def field(i: int) -> Column:
         return F.trim(F.get("__f", F.lit(i)))
@@ -132,9 +133,10 @@ def route_feed(lines: DataFrame, delim: str = ",", received_at: Column | None =
     other_party = field(0).isin(*map(str, CALLED_EVENTS)) | (
         (field(14) == "2") & field(0).isin(*map(str, MESSAGE_EVENTS))
     )
+    # The generator keeps the split from being copied into filters and key.
+    split = lines.select(*kept, "value", F.explode(F.array(split_fields(F.col("value"), delim))).alias("__f"))
     return (
-        lines.withColumns({"value": value, "__f": f})
-        .where((F.trim("value") != "") & (F.size("__f") >= 15))
+        split.where((F.trim("value") != "") & (F.size("__f") >= 15))
         .where(~is_anonymous(calling, called) & ~((calling == "") & (called == "")))
         .withColumn("key", F.when(other_party, called).otherwise(calling))
         .drop("__f")

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from beaconflow.constants import COOLDOWN_MS, CORRELATION_DELAY_MS
 
+# Fixed value: the state store that stateful processors need.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 STATE = T.StructType(
     [
         T.StructField("lock", T.LongType()),
@@ -42,8 +47,19 @@ class EventLock:
         return complete or not require_all
 
 
-def _update(sources: list[str], interval: int, delay: int, require_all: bool, ts: str, seq: str, source: str | None,
-            expire: bool) -> Callable:
+@dataclass(frozen=True)
+class EventTerms:
+    """When a business event fires: its sources, rest and correlation delay."""
+
+    sources: tuple[str, ...]
+    interval_ms: int = COOLDOWN_MS
+    delay_ms: int = CORRELATION_DELAY_MS
+    require_all: bool = False
+
+
+def _update(term: EventTerms, ts: str, seq: str, source: str | None, expire: bool) -> Callable:
+    sources, interval, delay = list(term.sources), term.interval_ms, term.delay_ms
+
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
@@ -53,7 +69,7 @@ def _update(sources: list[str], interval: int, delay: int, require_all: bool, ts
         rows = pd.concat(list(frames)).sort_values([ts, seq], kind="stable")
         tags = rows[source] if source else [sources[0]] * len(rows)
         fired = [
-            lock.fires(int(t), s, sources, interval, delay, require_all) for t, s in zip(rows[ts], tags)
+            lock.fires(int(t), s, sources, interval, delay, term.require_all) for t, s in zip(rows[ts], tags)
         ]
         state.update((lock.lock, list(lock.seen), list(lock.seen.values())))
         if expire:
@@ -83,8 +99,8 @@ def cooldown_stream(
     ``expire`` frees a user's state once the watermark, which the frame must
     then carry, has passed the end of the rest.
     """
-    update = _update(["-"], interval_ms, 0, False, ts, seq, None, expire)
-    return _stateful(rows, update, user, expire)
+    term = EventTerms(("-",), interval_ms, 0)
+    return _stateful(rows, _update(term, ts, seq, None, expire), user, expire)
 
 
 def correlate_stream(
@@ -103,8 +119,56 @@ def correlate_stream(
     Once a user's sources were complete the state only serves the rest, but a
     later activity may still need it, so it is kept.
     """
-    update = _update(sources, interval_ms, delay_ms, require_all, ts, seq, source, False)
-    return _stateful(rows, update, user, False)
+    term = EventTerms(tuple(sources), interval_ms, delay_ms, require_all)
+    return _stateful(rows, _update(term, ts, seq, source, False), user, False)
+
+
+class _EventProcessor(StatefulProcessor):
+    """State of one (event, user); unlike the functions above it may follow other stateful steps."""
+
+    def __init__(self, terms: dict[str, EventTerms], ts: str, seq: str, source: str) -> None:
+        self._terms, self._ts, self._seq, self._source = terms, ts, seq, source
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._lock = handle.getValueState("lock", "lock long")
+        self._seen = handle.getMapState("seen", "source string", "ts long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        term = self._terms[key[0]]
+        saved = self._lock.get() if self._lock.exists() else None
+        before = {k[0]: int(v[0]) for k, v in self._seen.iterator()}
+        lock = EventLock(None if saved is None else int(saved[0]), dict(before))
+        batch = pd.concat(list(rows)).sort_values([self._ts, self._seq], kind="stable")
+        fired = [
+            lock.fires(int(t), s, list(term.sources), term.interval_ms, term.delay_ms, term.require_all)
+            for t, s in zip(batch[self._ts], batch[self._source])
+        ]
+        if lock.lock is not None:
+            self._lock.update((lock.lock,))
+        for name, t in lock.seen.items():
+            if before.get(name) != t:
+                self._seen.updateValue((name,), (t,))
+        for name in before.keys() - lock.seen.keys():
+            self._seen.removeKey((name,))
+        yield batch[fired]
+
+    def close(self) -> None:
+        pass
+
+
+def business_events_stream(
+    rows: DataFrame,
+    terms: dict[str, EventTerms],
+    event: str = "event",
+    user: str = "user",
+    ts: str = "ts_ms",
+    seq: str = "seq",
+    source: str = "source",
+) -> DataFrame:
+    """The firing rows of many business events at once: one state per (event, user)."""
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    processor = _EventProcessor(dict(terms), ts, seq, source)
+    return rows.groupBy(event, user).transformWithStateInPandas(processor, rows.schema, "Append", "None")
 
 
 def last_active_stream(

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from beaconflow.operators.correlate import tag_sources
 from beaconflow.operators.lookups import label_geo, label_site
+from beaconflow.operators.rules import EventRule
+from beaconflow.plans.application import Application, SourcePlan
 from beaconflow.plans.labelling import GeoLabels, LabelPlan, ProfileLabels, SiteLabels
+from beaconflow.plans.plugins import BusinessEvent
 from beaconflow.session import new_shared_path
 from beaconflow.sources import sinks
 from beaconflow.sources.signals import ingest_signals
@@ -16,10 +19,12 @@ from beaconflow.streaming import runner as R
 from beaconflow.streaming.labels import UserLabels, label_users
 from beaconflow.streaming.refresh import RefreshingLookup
 from queryset import ORACLES, query
-from queryset.events import CORRELATED
+from queryset.events import CORRELATED, _greedy_sql
 from queryset.labels import MOVEMENT_SQL, STAY, _stay_sql
 from queryset.records import _PARSED, VALIDITY, _now
-from queryset.views import DAY, HOUR, SQL_VIEWS, cells, profiles, signal_lines, signal_stream, signals, sites, table
+from queryset.views import (
+    DAY, HOUR, SQL_VIEWS, as_lines, as_signals, cells, profiles, signal_lines, signal_stream, signals, sites, table,
+)
 
 
 def _body(name: str) -> str:
@@ -235,3 +240,55 @@ def archive_matching(spark, sf_dir):
         F.count(F.lit(1)).alias("archived"),
         F.sum(F.length("value")).alias("chars"),
     )
+
+
+def _application():
+    rules = [
+        EventRule("1", "labels['area_onsite']['ASIA'] = 'true'"),
+        EventRule("2", "cast(labels['area_onsite_stay']['ASIA'] as bigint) > 0", "1"),
+    ]
+    event = BusinessEvent(
+        "stay", {"feed": "2"}, ["imsi", "time", "labels['area_onsite_stay']['ASIA'] as stay", "ts_ms", "seq"],
+        interval_ms=3 * DAY, topic="out", message_columns=["imsi", "time", "stay"],
+    )
+    source = SourcePlan("feed", "hdfs", {}, labels=LabelPlan([SiteLabels()], stay=STAY), rules=rules)
+    return Application([source], [event])
+
+
+_APPLICATION = (
+    _PARSED
+    + """
+, records AS (SELECT j.seq AS seq, j.imsi AS imsi, epoch_us(j.ts) // 1000 AS ts_ms, f[2] AS time, region
+              FROM judged j JOIN cells ON lac_n = 20000 + cell * 37
+              WHERE reject_reason IS NULL OR reject_reason = 'expired'
+                AND list_count(st) = 7 AND j.imsi IS NOT NULL AND lac_n >= 0),
+gvisits AS (SELECT seq, imsi, ts_ms, region AS area FROM records)
+"""
+    + _stay_sql("list_max(m)").replace("FROM visits)", "FROM gvisits)")
+    + """, hits AS (SELECT r.imsi AS imsi, r.ts_ms AS ts_ms, r.seq AS seq, time, stay FROM stays JOIN records r USING (seq)
+                   WHERE area = 'ASIA' AND stay > 0)"""
+    + _greedy_sql("hits", 3 * DAY)
+    + """SELECT h.imsi AS key, h.imsi || ',' || time || ',' || CAST(stay AS VARCHAR) || ',20240201 00:00:00.000' AS value
+       FROM fired f2 JOIN hits h ON h.seq = f2.seq"""
+)
+
+
+def _sent():
+    return F.to_timestamp(F.lit("2024-02-01 00:00:00"))
+
+
+@query("application", _APPLICATION)
+def application(spark, sf_dir):
+    """Lines -> records -> labels -> rules -> business event -> messages."""
+    app = _application()
+    fired = app.fired({"feed": signal_lines(spark, sf_dir)}, _lookups(spark, sf_dir))
+    return app.business_events[0].messages(fired["stay"], _sent())
+
+
+@query("application_stream", _APPLICATION)
+def application_stream(spark, sf_dir):
+    schema = table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+    lines = as_lines(as_signals(events))
+    messages = _application().messages_stream({"feed": lines}, _lookups(spark, sf_dir), sent_at=_sent())
+    return R.run_to_table(messages.select("key", "value"), "application").drop("batch")

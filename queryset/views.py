@@ -58,8 +58,11 @@ def signal_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def signal_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records as delimited lines of 17 fields, some of them spoilt in various ways."""
-    s = signals(spark, sf_dir)
-    return s.selectExpr("seq", f"{_LINE_SPARK} as value")
+    return as_lines(signals(spark, sf_dir))
+
+
+def as_lines(records: DataFrame) -> DataFrame:
+    return records.selectExpr("seq", f"{_LINE_SPARK} as value")
 
 
 def _line(time: str, device: str) -> str:
