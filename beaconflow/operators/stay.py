@@ -147,3 +147,8 @@ def label_stay(
         .agg(F.first("__row").alias("__row"), F.map_from_entries(F.collect_list(entry)).alias(AREA_ONSITE_STAY))
         .select(user, seq, "__row.*", AREA_ONSITE_STAY)
     )
+
+
+def last_activity(visits: DataFrame, user: str = "imsi", ts: str = "ts_ms") -> DataFrame:
+    """The user's newest visit over all areas."""
+    return visits.groupBy(user).agg(F.max(ts).alias("last_activity_ms"))

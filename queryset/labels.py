@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from beaconflow.operators import lookups as J
 from beaconflow.operators.skew import HotKeys, lookup_join
-from beaconflow.operators.stay import StayConfig, dwell
+from beaconflow.operators.stay import StayConfig, dwell, last_activity
 from beaconflow.operators.track import last_device, movement
 from queryset import query
 from queryset.views import HOUR, cells, profiles, signals, sites, table
@@ -169,6 +169,11 @@ def dwell_session_starts(spark, sf_dir):
     return dwell(visits(spark, sf_dir), STAY, skew=HotKeys(signals(spark, sf_dir), "imsi")).select("seq", "area", "stay_start", "stay_ms")
 
 
+@query("last_activity", "SELECT imsi, max(ts_ms) AS last_activity_ms FROM visits GROUP BY imsi")
+def last_activity_query(spark, sf_dir):
+    return last_activity(visits(spark, sf_dir))
+
+
 @query("last_device", """
 SELECT seq, imsi, coalesce(lag(imei) OVER (PARTITION BY imsi ORDER BY ts_ms, seq), '') AS last_imei FROM s""")
 def last_device_query(spark, sf_dir):
