@@ -31,7 +31,7 @@ def test_label_pipeline_shuffles_once(spark):
 
 
 def test_plain_data_gets_a_plain_plan_and_hot_data_is_cut(spark):
-    rows = spark.range(2000).selectExpr("id as seq", "'u' imsi", "id * 7 as ts_ms")
+    rows = spark.range(2000).selectExpr("id as seq", "if(id >= 0, 'u', 'v') as imsi", "id * 7 as ts_ms")
     plain = cooldown(rows, 1000)._jdf.queryExecution().executedPlan().toString()
     assert plain.count("Exchange hashpartitioning") == 1 and "Union" not in plain
     cut = cooldown(rows, 1000, skew=Skew(10, 50))
