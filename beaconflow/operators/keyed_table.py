@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from beaconflow.functions.cells import hex_code
 from beaconflow.functions.text import strict_int
 from beaconflow.operators.aggregates import merge_distinct
+from beaconflow.operators.skew import fits_broadcast
 
 KEY = ["hash_key", "field"]
 
@@ -73,17 +74,48 @@ def multihash_rows(
 
 
 def merge_rows(
-    existing: DataFrame | None, incoming: DataFrame, overwrite: bool = True, append_sep: str = ","
+    existing: DataFrame | None,
+    incoming: DataFrame,
+    overwrite: bool = True,
+    append_sep: str = ",",
+    small: bool | None = None,
 ) -> DataFrame:
-    """The table after writing (hash_key, field, value, seq) rows."""
+    """The table after writing (hash_key, field, value, seq) rows.
+
+    When the written keys are few (measured unless ``small`` says so) the table
+    is only filtered against them and not shuffled; otherwise old and new rows
+    meet in one shuffle.
+    """
+    incoming = incoming.select(*KEY, "value", F.col("seq").cast("long").alias("seq"))
+    if existing is None:
+        return _latest(incoming) if overwrite else merge_distinct(incoming, None, append_sep)
+    keys = incoming.select(*KEY).distinct()
+    if small is None:
+        small = fits_broadcast(keys)
+    if small:
+        untouched = existing.join(F.broadcast(keys), KEY, "left_anti").select(*KEY, "value")
+        if overwrite:
+            return untouched.unionByName(_latest(incoming))
+        touched = existing.join(F.broadcast(keys), KEY, "left_semi")
+        return untouched.unionByName(merge_distinct(incoming, touched, append_sep))
     if not overwrite:
         return merge_distinct(incoming, existing, append_sep)
-    ranked = incoming.select(*KEY, "value", F.struct(F.lit(1).alias("g"), F.col("seq").cast("long")).alias("at"))
-    if existing is not None:
-        before = F.struct(F.lit(0).alias("g"), F.lit(0).cast("long").alias("seq"))
-        ranked = existing.select(*KEY, "value", before.alias("at")).union(ranked)
-    # One shuffle, combined map-side, for old and new rows together.
-    return ranked.groupBy(*KEY).agg(F.max_by("value", "at").alias("value"))
+    before = existing.select(*KEY, "value", F.lit(None).cast("long").alias("seq"))
+    return _latest(before.unionByName(incoming))
+
+
+def _latest(rows: DataFrame) -> DataFrame:
+    """The value with the greatest ``seq`` per key; rows without one, the old values, come last."""
+    at = F.struct(F.col("seq").isNotNull().alias("new"), F.col("seq"))
+    return rows.groupBy(*KEY).agg(F.max_by("value", at).alias("value"))
+
+
+def _without(existing: DataFrame, targets: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose key is not among ``targets``; the table is shuffled only if those are many."""
+    targets = targets.select(*on).distinct()
+    if fits_broadcast(targets):
+        targets = F.broadcast(targets)
+    return existing.join(targets, on, "left_anti").select(*KEY, "value")
 
 
 def upsert_multihash(
@@ -153,14 +185,12 @@ def upsert_area_map(
 
 def delete_keys(existing: DataFrame, keys: DataFrame, column: str = "hash_key") -> DataFrame:
     """Remove whole records; ``keys`` may name a record more than once."""
-    return existing.join(keys.select(F.col(column).alias("hash_key")).distinct(), "hash_key", "left_anti").select(
-        *KEY, "value"
-    )
+    return _without(existing, keys.select(F.col(column).alias("hash_key")), ["hash_key"])
 
 
 def delete_fields(existing: DataFrame, targets: DataFrame) -> DataFrame:
     """Remove (hash_key, field) pairs; a record without fields is gone."""
-    return existing.join(targets.select(*KEY).distinct(), KEY, "left_anti").select(*KEY, "value")
+    return _without(existing, targets, KEY)
 
 
 @dataclass(frozen=True)

@@ -96,7 +96,7 @@ def needed_keys(records: DataFrame, keys: list[Column], dimension: DataFrame, di
         .where(F.col(dimension_key).isNotNull())
         .distinct()
     )
-    return dimension.join(wanted, dimension_key, "left_semi")
+    return lookup_join(dimension, wanted, dimension_key, "left_semi", skew=None)
 
 
 @dataclass(frozen=True)
@@ -140,18 +140,24 @@ def not_yet_processed(rows: DataFrame, processed: DataFrame, key: str, seq: str)
     """(first row of each key absent from ``processed``, the enlarged processed table)."""
     # One row per key first, so no hot key reaches the join.
     first = rows.groupBy(key).agg(F.min_by(F.struct(*rows.columns), seq).alias("row")).select("row.*")
-    fresh = first.join(processed.select(key).distinct(), key, "left_anti").select(*rows.columns)
+    known = processed.select(key).distinct()
+    fresh = lookup_join(first, known, key, "left_anti", skew=None).select(*rows.columns)
     return fresh, processed.select(key).unionByName(fresh.select(key))
 
 
-def data_driven_filter(rows: DataFrame, rules: DataFrame, on: str, condition: str) -> DataFrame:
+def data_driven_filter(
+    rows: DataFrame, rules: DataFrame, on: str, condition: str, max_texts: int = 1000
+) -> DataFrame:
     """Keep a row if the predicate stored for its key in ``rules`` holds.
 
     The distinct predicate texts become the branches of one CASE, so the rows
     are read once however many predicates there are. Keys without a rule, like
     rules that are not true, keep nothing.
     """
-    texts = [r[0] for r in rules.select(condition).where(F.col(condition).isNotNull()).distinct().collect()]
+    distinct = rules.select(condition).where(F.col(condition).isNotNull()).distinct()
+    texts = [r[0] for r in distinct.limit(max_texts + 1).collect()]
+    if len(texts) > max_texts:
+        raise ValueError(f"more than {max_texts} different predicates: not a table of rules")
     if not texts:
         return rows.limit(0)
     side = rules.select(on, F.col(condition).alias("__rule"))

@@ -17,6 +17,7 @@ from beaconflow.operators.stay import StayConfig
 from beaconflow.plans.catalogue import Catalogue
 from beaconflow.plans.labelling import GeoLabels, LabelPlan, ProfileLabels, SiteLabels
 from beaconflow.plans.plugins import PARSERS, BusinessEvent, Lookups, alias_of
+from beaconflow.session import shared_table
 from beaconflow.sources.streams import open_stream
 from beaconflow.streaming.events import EventTerms, business_events_stream
 
@@ -45,11 +46,11 @@ class SourcePlan:
         good = parsed.where("reject_reason is null").drop("reject_reason", "value")
         return good.withColumn("ts_ms", F.unix_millis("ts"))
 
-    def events(
+    def labelled(
         self, lines: DataFrame, lookups: Lookups, now: Column | None = None, skew: Skew | None = DEFAULT_SKEW
-    ) -> dict[str, DataFrame]:
-        """Rows of each rule, lazily; ``lines`` needs a ``seq`` column for per-user labels."""
-        return event_rule_tree(self.labels.label(self.records(lines, now), lookups, skew), self.rules)
+    ) -> DataFrame:
+        """Labelled records; ``lines`` needs a ``seq`` column for per-user labels."""
+        return self.labels.label(self.records(lines, now), lookups, skew)
 
     def event_rows(
         self, lines: DataFrame, lookups: Lookups, subscribers: list[BusinessEvent], now: Column | None = None
@@ -93,8 +94,19 @@ class Application:
         now: Column | None = None,
         skew: Skew | None = DEFAULT_SKEW,
     ) -> dict[str, DataFrame]:
-        """Batch: the rows each business event fires, by its id."""
-        events = {s.id: s.events(lines[s.id], lookups, now, skew) for s in self.sources if s.id in lines}
+        """Batch: the rows each business event fires, by its id.
+
+        Labels that several business events read are computed once and kept as
+        a table in the shared folder.
+        """
+        events = {}
+        for source in self.sources:
+            subscribers = [b for b in self.business_events if source.id in b.rules]
+            if source.id in lines and subscribers:
+                labelled = source.labelled(lines[source.id], lookups, now, skew)
+                if len(subscribers) > 1:
+                    labelled = shared_table(labelled, "labelled")
+                events[source.id] = event_rule_tree(labelled, source.rules)
         return {b.id: b.fired(events, skew) for b in self.business_events}
 
     def messages_stream(

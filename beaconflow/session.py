@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "beaconflow") -> SparkSession:
@@ -42,3 +42,13 @@ def shared_dir(spark: SparkSession) -> str:
 def new_shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below :func:`shared_dir`; never reused, so retries cannot mix."""
     return f"{shared_dir(spark)}/beaconflow/{name}-{uuid.uuid4().hex}"
+
+
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for several consumers.
+
+    Unlike a cached frame it survives the loss of any executor.
+    """
+    path = new_shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -54,9 +54,17 @@ def archive_stream(lines: DataFrame, path: str, checkpoint: str, prefix: str = "
     )
 
 
-def archive_batch(lines: DataFrame, path: str, moment: Column, prefix: str = "", suffix: str = "") -> None:
-    """Batch form: ``moment`` is the batch time of each line."""
+def archive_batch(
+    lines: DataFrame, path: str, moment: Column, prefix: str = "", suffix: str = "", files: int | None = None
+) -> None:
+    """Batch form: ``moment`` is the batch time of each line.
+
+    By default each task writes its own file per archive. ``files`` gathers an
+    archive's lines into about that many files, which costs a shuffle.
+    """
     named = lines.select("value", archive_name(prefix, suffix, moment).alias("archive"))
+    if files is not None:
+        named = named.repartition(F.col("archive"), F.pmod(F.xxhash64("value"), F.lit(files)))
     named.write.mode("append").partitionBy("archive").text(path)
 
 

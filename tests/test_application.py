@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 from beaconflow.operators.skew import Skew
 from beaconflow.plans.application import build_application
 from beaconflow.plans.catalogue import rule_catalogue
+from beaconflow.session import new_shared_path
+from beaconflow.streaming import runner as R
 
 KINDS = {"UserBaseInfoRule": "profile", "SiteRule": "site", "LocationStayRule": "stay", "LastImei": "device", "Track": "movement"}
 PARSERS = {"MCEventSource": "signals"}
@@ -68,6 +70,37 @@ def test_application_from_lines_to_messages(spark):
         ]
 
 
+def test_several_business_events_share_the_labels(spark):
+    c = tables(
+        spark,
+        BusenessEvents=([(1, "one", 1), (2, "two", 1)], "id int, name string, enabled int"),
+        BusenessEventsMapEventRules=([(1, 2), (2, 1)], "beid int, erid int"),
+        BusenessEventsMapEventSources=([(1, 1), (2, 1)], "beid int, esid int"),
+        BusenessEventsProp=(
+            [(n, v, b) for b in (1, 2) for n, v in [("selectExp", "imsi,time"), ("delim", ","), ("outputtype", "kafka"),
+             ("kafkakeycol", "0"), ("output_topic", f"t{b}"), ("interval", "600000"), ("userKeyIdx", "0")]],
+            "name string, pvalue string, beid int",
+        ),
+    )
+    app = build_application(rule_catalogue(c), KINDS, PARSERS)
+    lookups = {
+        "sites": spark.createDataFrame([("531E", "044E", "X")], "lac string, ci string, areas string"),
+        "profiles": spark.createDataFrame([("A", "139", "c1")], "imsi string, product_no string, city_id string"),
+    }
+    lines = [f"1,20150401 08:{m:02}:00.000,21278,1102,d,e,A,B,0,0,0,1,0,0,2" for m in (0, 4, 11)]
+    df = spark.createDataFrame(list(enumerate(lines)), "seq long, value string")
+    fired = app.fired({"1": df}, lookups)
+    assert sorted(r.c1[9:14] for r in fired["1"].collect()) == ["08:04"]
+    assert sorted(r.c1[9:14] for r in fired["2"].collect()) == ["08:00", "08:11"]
+    # The same as one stream over both events.
+    path = new_shared_path(spark, "lines")
+    df.write.parquet(path)
+    stream = spark.readStream.schema(df.schema).parquet(path)
+    out = R.run_to_table(app.messages_stream({"1": stream}, lookups), "app")
+    assert sorted((r.event, r.topic, r.value[11:16]) for r in out.collect()) == [
+        ("1", "t1", "08:04"), ("2", "t2", "08:00"), ("2", "t2", "08:11")]
+
+
 def test_two_rules_on_one_source_are_an_error(spark):
     changed = tables(spark, BusenessEventsMapEventRules=([(1, 1), (1, 2)], "beid int, erid int"))
     with pytest.raises(ValueError):

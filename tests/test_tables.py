@@ -46,6 +46,16 @@ def test_onehash(spark):
     assert len(got) == 100 and got["2:3"] == "value1-test-2#value2-test-3"
 
 
+@pytest.mark.parametrize("overwrite", [True, False])
+def test_filtering_and_shuffling_merges_agree(spark, overwrite):
+    existing = load(spark).where("hash_key <> 'load2hashes:5:5'")
+    rows = U.multihash_rows(values(spark, "2").where("i < 6"), U.key_of(["i", "j"], prefix="load2hashes:"), FIELDS)
+    filtered, shuffled = (
+        sorted(map(tuple, U.merge_rows(existing, rows, overwrite, small=small).collect())) for small in (True, False)
+    )
+    assert filtered == shuffled and len(filtered) == 200
+
+
 def areas(spark):
     return pairs(
         spark, ["lac", "ci", "area", "flag"],
