@@ -12,7 +12,7 @@ from beaconflow.constants import COOLDOWN_MS, CORRELATION_DELAY_MS, STAY_TIMEOUT
 from beaconflow.functions.text import joined_message
 from beaconflow.functions.times import SIGNAL_TIME
 from beaconflow.operators.rules import EventRule, event_rule_flags, event_rule_tree, ordered_rules, split_expressions
-from beaconflow.operators.skew import DEFAULT_SKEW, Skew
+from beaconflow.operators.skew import DEFAULT_SKEW, HotKeys, Skew
 from beaconflow.operators.stay import StayConfig
 from beaconflow.plans.catalogue import Catalogue
 from beaconflow.plans.labelling import GeoLabels, LabelPlan, ProfileLabels, SiteLabels
@@ -46,12 +46,6 @@ class SourcePlan:
         good = parsed.where("reject_reason is null").drop("reject_reason", "value")
         return good.withColumn("ts_ms", F.unix_millis("ts"))
 
-    def labelled(
-        self, lines: DataFrame, lookups: Lookups, now: Column | None = None, skew: Skew | None = DEFAULT_SKEW
-    ) -> DataFrame:
-        """Labelled records; ``lines`` needs a ``seq`` column for per-user labels."""
-        return self.labels.label(self.records(lines, now), lookups, skew)
-
     def event_rows(
         self, lines: DataFrame, lookups: Lookups, subscribers: list[BusinessEvent], now: Column | None = None
     ) -> DataFrame:
@@ -96,18 +90,39 @@ class Application:
     ) -> dict[str, DataFrame]:
         """Batch: the rows each business event fires, by its id.
 
-        Labels that several business events read are computed once and kept as
-        a table in the shared folder.
+        ``lines`` need a ``seq`` column. Labels read more than once, by several
+        business events or to find hot keys other than the record's own, are
+        computed once and kept as a table in the shared folder.
         """
-        events = {}
+        events, records = {}, {}
+        hot: dict[str, Skew | HotKeys | None] = {}
         for source in self.sources:
             subscribers = [b for b in self.business_events if source.id in b.rules]
-            if source.id in lines and subscribers:
-                labelled = source.labelled(lines[source.id], lookups, now, skew)
-                if len(subscribers) > 1:
-                    labelled = shared_table(labelled, "labelled")
-                events[source.id] = event_rule_tree(labelled, source.rules)
-        return {b.id: b.fired(events, skew) for b in self.business_events}
+            if source.id not in lines or not subscribers:
+                continue
+            records[source.id] = bare = source.records(lines[source.id], now)
+            hot[source.id] = None if skew is None else HotKeys(bare, "imsi", skew)
+            labelled = source.labels.label(bare, lookups, hot[source.id])
+            own_keys = all(b.keyed_by("imsi") for b in subscribers)
+            if len(subscribers) > 1 or not (own_keys or skew is None):
+                labelled = shared_table(labelled, "labelled")
+            events[source.id] = event_rule_tree(labelled, source.rules)
+        return {b.id: b.fired(events, self._hot_users(b, records, hot, skew)) for b in self.business_events}
+
+    @staticmethod
+    def _hot_users(
+        event: BusinessEvent,
+        records: dict[str, DataFrame],
+        hot: dict[str, Skew | HotKeys | None],
+        skew: Skew | None,
+    ) -> Skew | HotKeys | None:
+        """Hot users known from the bare records, where the event's user is the record's."""
+        if skew is None or not event.keyed_by("imsi"):
+            return skew
+        if len(event.rules) == 1:
+            return hot.get(*event.rules)
+        slim = [records[s].select("imsi", "ts_ms") for s in event.rules if s in records]
+        return HotKeys(reduce(DataFrame.unionByName, slim), "imsi", skew)
 
     def messages_stream(
         self, lines: dict[str, DataFrame], lookups: Lookups, now: Column | None = None, sent_at: Column | None = None

@@ -92,6 +92,11 @@ class BusinessEvent:
             self.user, self.ts, self.seq, skew=skew,
         )
 
+    def keyed_by(self, column: str) -> bool:
+        """Whether the event's user and time are simply that record column and ``ts_ms``."""
+        user = next((e for e in self.select if alias_of(e) == self.user), "")
+        return user.split()[:1] == [column] and len(user.split()) in (1, 3) and self.ts == "ts_ms"
+
     def columns(self) -> list[str]:
         """Names of the projected columns that go into a message."""
         return self.message_columns or [alias_of(e) for e in self.select]

@@ -68,8 +68,15 @@ def archive_batch(
     named.write.mode("append").partitionBy("archive").text(path)
 
 
-def matching_lines(lines: DataFrame, text: str) -> tuple[DataFrame, Observation]:
-    """Lines containing ``text`` and an observation counting them once they are written."""
-    count = Observation()
+def matching_lines(lines: DataFrame, text: str, name: str = "matching") -> tuple[DataFrame, Observation | None]:
+    """Lines containing ``text`` and an observation counting them once they are written.
+
+    A stream reports the count per micro-batch under ``name`` in its progress
+    (``observedMetrics``) instead.
+    """
     kept = lines.where(F.col("value").contains(text))
-    return kept.observe(count, F.count(F.lit(1)).alias("matched")), count
+    matched = F.count(F.lit(1)).alias("matched")
+    if lines.isStreaming:
+        return kept.observe(name, matched), None
+    count = Observation(name)
+    return kept.observe(count, matched), count

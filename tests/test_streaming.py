@@ -191,6 +191,16 @@ def test_archive_names_one_folder_per_batch(spark):
     assert all(r.archive.startswith("p-2") and r.archive.endswith(".log") for r in got.select("archive").collect())
 
 
+def test_matches_are_counted_per_batch(spark):
+    df = records(spark, n=30).selectExpr("seq", "concat(imei, if(seq % 3 = 0, 'x', '')) as value")
+    kept, count = sinks.matching_lines(as_stream(spark, df, ["seq < 15", "seq >= 15"]).select("value"), "x")
+    path = new_shared_path(spark, "matching")
+    run = R.start_batches(kept, R.write_batches_to(f"{path}/out"), f"{path}/checkpoint")
+    run.awaitTermination()
+    assert count is None
+    assert [p["observedMetrics"]["matching"]["matched"] for p in run.recentProgress] == [5, 5]
+
+
 def test_refreshing_lookup(spark):
     now, loads = [0.0], []
 
