@@ -57,8 +57,18 @@ def links_between(links: DataFrame, left: DataFrame, left_key: str, right: DataF
     )
 
 
+# The names of the administration tables.
+TABLES = (
+    "EventSource", "EventSourceProp", "LabelRules", "LabelRulesProp", "EventRules", "EventRulesProp", "BusenessEvents",
+    "BusenessEventsProp", "BusenessEventsMapEventRules", "BusenessEventsMapEventSources",
+)
+
+
 def rule_catalogue(tables: dict[str, DataFrame]) -> Catalogue:
-    """All parts of the catalogue in numeric order of their ids."""
+    """All parts of the catalogue in numeric order of their ids, from the tables named in ``TABLES``."""
+    missing = [name for name in TABLES if name not in tables]
+    if missing:
+        raise ValueError(f"the catalogue lacks the tables {missing}")
     t = tables
     return Catalogue(
         sources=enabled_sources(t["EventSource"], t["EventSourceProp"]).orderBy("id"),

@@ -7,21 +7,21 @@ from beaconflow.plans.catalogue import rule_catalogue
 from beaconflow.session import new_shared_path
 from beaconflow.streaming import runner as R
 
-KINDS = {"UserBaseInfoRule": "profile", "SiteRule": "site", "LocationStayRule": "stay", "LastImei": "device", "Track": "movement"}
-PARSERS = {"MCEventSource": "signals"}
+KINDS = {"profile-rule": "profile", "site-rule": "site", "stay-rule": "stay", "device-rule": "device", "movement-rule": "movement"}
+PARSERS = {"feed-parser": "signals"}
 
 
 def tables(spark, **changes):
     """A catalogue like the seed rows: one live source, one switched off."""
     raw = {
-        "EventSource": ([(1, "MC", "kafka_direct", ",", 15, "MCEventSource", 1, -1), (2, "OFF", "hdfs", ",", 15, "MCEventSource", 0, -1)],
+        "EventSource": ([(1, "MC", "kafka_direct", ",", 15, "feed-parser", 1, -1), (2, "OFF", "hdfs", ",", 15, "feed-parser", 0, -1)],
                         "id int, name string, type string, delim string, formatlength int, classname string, enabled int, validWindowsTimeMs int"),
         "EventSourceProp": ([("topic", "t1", 1), ("brokers", "b:1", 1)], "name string, pvalue string, esourceid int"),
-        "LabelRules": ([(10, 1, "LocationStayRule", 1), (2, 1, "SiteRule", 1), (1, 1, "UserBaseInfoRule", 1), (3, 2, "SiteRule", 1),
-                        (4, 1, "LastImei", 0)], "id int, esourceid int, classname string, enabled int"),
+        "LabelRules": ([(10, 1, "stay-rule", 1), (2, 1, "site-rule", 1), (1, 1, "profile-rule", 1), (3, 2, "site-rule", 1),
+                        (4, 1, "device-rule", 0)], "id int, esourceid int, classname string, enabled int"),
         "LabelRulesProp": ([("user_info_cols", "product_no,city_id", 1), ("stay.limits", "600000, 300000, 180000", 10),
                             ("stay.timeout", "1800000", 10)], "name string, pvalue string, lrid int"),
-        "EventRules": ([(1, 1, "MCEventRule", 1, -1), (2, 1, "MCEventRule", 1, 1), (3, 1, "MCEventRule", 0, -1)],
+        "EventRules": ([(1, 1, "rule", 1, -1), (2, 1, "rule", 1, 1), (3, 1, "rule", 0, -1)],
                        "id int, esourceid int, classname string, enabled int, parentEventRuleId int"),
         "EventRulesProp": ([("filterExp", "labels['area_onsite']['X']='true'", 1),
                             ("filterExp", "cast(labels['area_onsite_stay']['X'] as bigint) > 0", 2)], "name string, pvalue string, erid int"),

@@ -26,18 +26,18 @@ FIELDS = {"field1": "v1", "field2": "v2"}
 
 
 def load(spark, existing=None, tag="", **options):
-    return U.upsert_multihash(existing, values(spark, tag), ["i", "j"], FIELDS, prefix="load2hashes:", **options)
+    return U.upsert_multihash(existing, values(spark, tag), ["i", "j"], FIELDS, prefix="records:", **options)
 
 
 def test_multihash_overwrite_and_append(spark):
     first = load(spark)
-    assert record(first, "load2hashes:2:3") == {"field1": "value1-test-2", "field2": "value2-test-3"}
+    assert record(first, "records:2:3") == {"field1": "value1-test-2", "field2": "value2-test-3"}
     both = load(spark, first, "2", overwrite=False)
-    got = record(both, "load2hashes:2:3")
+    got = record(both, "records:2:3")
     assert got == {"field1": "value1-test-2,value1-test2-2", "field2": "value2-test-3,value2-test2-3"}
     # Loading the same again adds nothing, overwriting replaces.
-    assert record(load(spark, both, "2", overwrite=False), "load2hashes:2:3") == got
-    assert record(load(spark, both, "2"), "load2hashes:2:3")["field1"] == "value1-test2-2"
+    assert record(load(spark, both, "2", overwrite=False), "records:2:3") == got
+    assert record(load(spark, both, "2"), "records:2:3")["field1"] == "value1-test2-2"
 
 
 def test_onehash(spark):
@@ -48,8 +48,8 @@ def test_onehash(spark):
 
 @pytest.mark.parametrize("overwrite", [True, False])
 def test_filtering_and_shuffling_merges_agree(spark, overwrite):
-    existing = load(spark).where("hash_key <> 'load2hashes:5:5'")
-    rows = U.multihash_rows(values(spark, "2").where("i < 6"), U.key_of(["i", "j"], prefix="load2hashes:"), FIELDS)
+    existing = load(spark).where("hash_key <> 'records:5:5'")
+    rows = U.multihash_rows(values(spark, "2").where("i < 6"), U.key_of(["i", "j"], prefix="records:"), FIELDS)
     filtered, shuffled = (
         sorted(map(tuple, U.merge_rows(existing, rows, overwrite, small=small).collect())) for small in (True, False)
     )
@@ -100,12 +100,12 @@ def test_last_write_wins_by_seq(spark):
 
 def test_delete_fields_and_keys(spark):
     table = load(spark)
-    targets = spark.createDataFrame([("load2hashes:3:2", "field1"), ("load2hashes:3:2", "field2"), ("load2hashes:4:4", "field1")],
+    targets = spark.createDataFrame([("records:3:2", "field1"), ("records:3:2", "field2"), ("records:4:4", "field1")],
                                     "hash_key string, field string")
     left = U.delete_fields(table, targets)
-    assert record(left, "load2hashes:3:2") == {} and len(record(left, "load2hashes:2:3")) == 2
-    assert list(record(left, "load2hashes:4:4")) == ["field2"]
-    keys = spark.createDataFrame([("load2hashes:3:2",), ("load2hashes:3:2",)], "hash_key string")
+    assert record(left, "records:3:2") == {} and len(record(left, "records:2:3")) == 2
+    assert list(record(left, "records:4:4")) == ["field2"]
+    keys = spark.createDataFrame([("records:3:2",), ("records:3:2",)], "hash_key string")
     assert U.delete_keys(table, keys).count() == 198
 
 
