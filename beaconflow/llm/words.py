@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 #: Distinct words that a task remembers the hash of; a full memory is emptied.
@@ -68,8 +69,7 @@ def sequence_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
 def small_batches(batches: Iterator[pa.RecordBatch], column: str, budget: int) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that ``column`` holds about ``budget`` bytes in each; a longer row stays whole."""
     for batch in batches:
-        sizes = np.array([len(x.as_buffer()) if x.is_valid else 0 for x in batch.column(column)], np.int64)
-        ends = np.cumsum(sizes)
+        ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
         begin = 0
         while begin < batch.num_rows:
             base = ends[begin - 1] if begin else 0

@@ -4,20 +4,56 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from beaconflow.llm.bpe import Vocabulary, token_digests
 from beaconflow.llm.neardup import drop_near_duplicates
+from beaconflow.llm.phrases import drop_repeated_passages
+from beaconflow.llm.positions import drop_contaminated
+from beaconflow.llm.toxicity import drop_toxic
 from beaconflow.session import shared_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: The tokenizer that the last stage encodes with.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the network, fitted on ``labels``, rejects go."""
+    return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document of smallest id stays."""
     return drop_near_duplicates(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("near_duplicates", one_of_each_group)]
+def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of passages that an earlier document has go from the later ones."""
+    return drop_repeated_passages(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold too much of ``benchmark`` go."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, the tokens, their number, and digests of the ids and of the text decoded from them."""
+    return token_digests(docs, Vocabulary(TOKENIZER))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", without_toxic),
+    ("near_duplicates", one_of_each_group),
+    ("repeated_passages", without_repeated_passages),
+    ("decontamination", without_benchmark),
+    ("bpe", tokens),
+]
 
+#: SQL can express neither the network nor the tokenizer; the tests compare with brute force.
 ORACLE_SQL: str | None = None
 
 
