@@ -97,7 +97,7 @@ class Segment:
 
     def near(self, terms: np.ndarray, within: int) -> np.ndarray:
         """Places of the rarest term that have every other term at most ``within`` words away, in one document."""
-        order = sorted(set(terms.tolist()), key=self.length)
+        order = sorted(set(terms.tolist()), key=lambda t: (self.length(t), t))
         places = self.postings(order[0])
         for term in order[1:]:
             own, doc = self.postings(term), self.document(places)

@@ -20,9 +20,10 @@ WINDOW, STRIDE = 32, 16
 SAMPLE = 2000
 #: Windows of each of them that take part, spread evenly over the text.
 SAMPLE_WINDOWS = 256
-EPOCHS, BATCH = 8, 256
-#: Buckets that words and character trigrams are hashed to.
-WORD_BUCKETS, CHAR_BUCKETS = 1 << 16, 1 << 14
+EPOCHS, BATCH = 12, 128
+#: Lengths of the character n-grams, and buckets that words and n-grams are hashed to.
+CHAR_SIZES = (3, 4, 5, 6, 7)
+WORD_BUCKETS, CHAR_BUCKETS = 1 << 17, 1 << 19
 #: Distinct words that a task keeps the inputs of.
 MEMORY = 200_000
 #: Windows that go through the network at once.
@@ -33,54 +34,70 @@ def _word_buckets(words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh32_intdigest(w) for w in words), np.int64, len(words)) % WORD_BUCKETS
 
 
-def _char_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all character trigrams (bytes, with marked word ends), and where those of each word begin."""
-    line = np.frombuffer(b"".join([b"\x02%b\x03" % w for w in words]), np.uint8).astype(np.int64)
-    begins = np.cumsum([0] + [len(w) + 2 for w in words[:-1]])
-    ends = np.append(begins[1:], len(line))
-    code = line[:-2] + 256 * line[1:-1] + 65536 * line[2:]
-    inner = np.ones(len(line), bool)
-    inner[np.r_[ends - 1, ends - 2]] = False
-    counts = np.fromiter(map(len, words), np.int64, len(words))
-    return ((code * 2654435761) >> 7)[inner[:-2]] % CHAR_BUCKETS, np.cumsum(counts) - counts
+def _char_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of the character n-grams (bytes, with marked word ends) of all words.
+
+    Also the word of each, and whether it begins with the word. They come by
+    length; a word always has one of the shortest.
+    """
+    line = np.frombuffer(b"".join([b"\x02%b\x03" % w for w in words]), np.uint8).astype(np.uint32)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    code, found = np.zeros(len(line), np.uint32), []
+    for n in range(1, CHAR_SIZES[-1] + 1):
+        code = code[: len(line) - n + 1] * np.uint32(0x01000193) + line[n - 1 :]
+        if n in CHAR_SIZES:
+            inside = np.flatnonzero(np.arange(len(code)) + n <= ends[: len(code)])
+            mixed = (code[inside] ^ np.uint32(n)) * np.uint32(0x9E3779B1)
+            found.append(((mixed >> np.uint32(12)) % np.uint32(CHAR_BUCKETS), owner[inside], line[inside] == 2))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 class Inputs:
-    """Word and character inputs: how strongly a word's and its trigrams' buckets go with the label, and a hashed code.
+    """Word and character inputs: how strongly a word's and its n-grams' buckets go with the label, and a hashed code.
 
     Strengths are counted once, over the sampled training documents that hold
-    the bucket, as a z-score that few documents cannot raise.
+    the bucket, as a z-score that few documents cannot raise. Documents that
+    share their three words of least hash are taken for copies and count once.
     """
 
     SIZE = 8
 
     def __init__(self, documents: Iterable[list[bytes]], labels: np.ndarray):
         words, chars = np.zeros((2, WORD_BUCKETS)), np.zeros((2, CHAR_BUCKETS))
+        met: set[tuple] = set()
         for own, label in zip(documents, labels.tolist(), strict=True):
-            distinct = list(set(own))
-            if distinct:
+            distinct = sorted(set(own), key=xxhash.xxh32_intdigest)
+            alike = (label, *distinct[:3])
+            if distinct and alike not in met:
+                met.add(alike)
                 words[label, np.unique(_word_buckets(distinct))] += 1
                 chars[label, np.unique(_char_buckets(distinct)[0])] += 1
-        share = float(np.mean(labels)) if len(labels) else 0.5
-        self.words, self.chars = (self._strength(x, min(max(share, 0.01), 0.99)) for x in (words, chars))
+        seen = np.bincount([m[0] for m in met], minlength=2) + 0.5
+        self.words, self.chars = (self._strength(x, seen[1] / seen.sum()) for x in (words, chars))
 
     @staticmethod
     def _strength(counts: np.ndarray, share: float) -> np.ndarray:
         n = counts.sum(axis=0)
         z = (counts[1] - n * share) / np.sqrt((n + 10) * share * (1 - share))
-        return np.clip(z / 3, -2, 2).astype(np.float32)
+        return np.clip(z / 4, -2, 4).astype(np.float32)
 
     def of(self, words: list[bytes]) -> np.ndarray:
         out = np.zeros((len(words), self.SIZE), np.float32)
         if words:
-            bucket, (chars, begins) = _word_buckets(words), _char_buckets(words)
-            strength = self.chars[chars]
+            bucket, (chars, owner, begins) = _word_buckets(words), _char_buckets(words)
+            order = np.argsort(owner, kind="stable")
+            owner, begins = owner[order], begins[order]
+            strength = self.chars[chars[order]]
+            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             out[:, 0] = self.words[bucket]
-            out[:, 1] = np.add.reduceat(strength, begins) / np.diff(np.append(begins, len(chars)))
-            out[:, 2] = np.maximum.reduceat(strength, begins)
-            out[:, 3] = np.minimum.reduceat(strength, begins)
-            bits = bucket[:, None] * 40503 >> np.arange(3, 3 + self.SIZE - 4)
-            out[:, 4:] = ((bits & 1) - 0.5).astype(np.float32) * 0.5
+            out[:, 1] = np.add.reduceat(strength, first) / np.diff(np.append(first, len(owner)))
+            out[:, 2] = np.maximum.reduceat(strength, first)
+            out[:, 3] = np.minimum.reduceat(strength, first)
+            out[:, 4] = np.maximum.reduceat(np.where(begins, strength, np.float32(-2)), first)
+            bits = bucket[:, None] * 40503 >> np.arange(3, 3 + self.SIZE - 5)
+            out[:, 5:] = ((bits & 1) - 0.5).astype(np.float32) * 0.2
         return out
 
 
@@ -206,7 +223,7 @@ def fit(texts: list[list[bytes]], labels: np.ndarray, share: float) -> Model:
         return np.concatenate([n.logits(gates, matrix[i : i + WIDTH], mask[i : i + WIDTH]) for i in range(0, len(matrix), WIDTH)])
 
     adam = Adam(network.p)
-    value = (features[matrix, 0] * mask).max(axis=1)
+    value = ((features[matrix, 0] + features[matrix, 2]) * mask).max(axis=1)
     for epoch in range(EPOCHS):
         adam.rate = 0.02 * (1 - epoch / EPOCHS) + 0.002
         chance = first + (rng.random(len(first)) * np.diff(np.append(first, len(doc)))).astype(int)

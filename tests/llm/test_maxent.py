@@ -68,8 +68,9 @@ def test_probabilities_sum_to_one():
         assert np.exp(row[kind] + within).sum() + np.exp(row[empty]).sum() == pytest.approx(1, abs=1e-5)
 
 
-def test_steps_follow_the_gradient():
+def test_steps_follow_the_gradient(monkeypatch):
     """What the word before says about the next class is learned."""
+    monkeypatch.setattr(maxent, "STEP", 256)
     rng = np.random.default_rng(2)
     before = rng.integers(0, 4, 40_000)
     target = np.where(rng.random(40_000) < 0.9, before, rng.integers(0, 4, 40_000))

@@ -52,7 +52,7 @@ def test_edge_cases(spark):
 
 def test_phrase_and_proximity_search(spark):
     docs = [(1, "the quick brown fox jumps over the lazy dog"), (2, "a dog, a fox and then much later nothing"), (3, "fox"), (4, "dog")]
-    index = build_index(spark.createDataFrame(docs, DOCS))
+    index = build_index(spark.createDataFrame(docs, DOCS).coalesce(1))
     found = lambda df: {r.doc.doc_id: ([tuple(s) for s in r.spans], r["items"]) for r in df.collect() if r.spans}
     items = spark.createDataFrame([(1, "the lazy dog"), (2, "quick fox")], ITEMS)
     assert found(find_phrases(index, items)) == {1: ([(6, 9)], ["1"])}
