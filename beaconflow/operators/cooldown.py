@@ -39,6 +39,7 @@ _UNTIL = "__until"
 _FREE = "__free"
 _NEVER = np.iinfo(np.int64).min
 _ALWAYS = np.iinfo(np.int64).max
+_SPREAD = 64
 
 
 def cooldown(
@@ -53,20 +54,25 @@ def cooldown(
     """The rows that fire. A row exactly ``interval`` after the last fired one fires again.
 
     Rows flagged in the column ``free``, which must come first in a user's
-    time, fire without starting a rest.
+    time, fire without starting a rest. So do rows without a time or a user, as
+    no rest can be counted for them.
     """
     if interval_ms <= 0:
         return rows
     offset = F.pmod(F.col(ts), F.lit(interval_ms))
     cuts = find_cuts(rows, user, offset, skew)
     sliced = with_slices(rows, user, offset, cuts)
+    unplaced = F.col(user).isNull() | F.col(ts).isNull()
     full = sliced.withColumns(
         {
             CARRY: F.lit(False),
             _UNTIL: F.lit(None).cast("long"),
-            _FREE: F.coalesce(F.col(free), F.lit(False)) if free else F.lit(False),
+            _FREE: unplaced | F.coalesce(F.col(free), F.lit(False)) if free else unplaced,
         }
     )
+    # Rows without a user belong to nobody: any task may have them.
+    anywhere = F.pmod(F.xxhash64(ts, seq), F.lit(_SPREAD)).cast("int")
+    full = full.withColumn(SLICE, F.when(F.col(user).isNull(), anywhere).otherwise(F.col(SLICE)))
     if cuts:
         hot = full.where(HOT).where(~F.col(_FREE)).select(user, SLICE, F.col(ts).cast("long").alias("entry"))
         full = full.unionByName(
@@ -106,7 +112,7 @@ def _firing_scan(columns: list[str], user: str, ts: str, interval: int):
             n = batch.num_rows
             if n == 0:
                 continue
-            t = batch.column(ts).cast(pa.int64()).to_numpy(zero_copy_only=False)
+            t = pc.fill_null(batch.column(ts).cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
             mark = batch.column(CARRY).to_numpy(zero_copy_only=False)
             free = batch.column(_FREE).to_numpy(zero_copy_only=False)
             hot = batch.column(HOT).to_numpy(zero_copy_only=False)

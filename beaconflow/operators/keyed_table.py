@@ -82,9 +82,11 @@ def merge_rows(
 ) -> DataFrame:
     """The table after writing (hash_key, field, value, seq) rows.
 
-    When the written keys are few (measured unless ``small`` says so) the table
-    is only filtered against them and not shuffled; otherwise old and new rows
-    meet in one shuffle.
+    Rows of the table whose key is written are replaced or appended to, each on
+    its own; all others stay as they are, also repeated ones and those with a
+    null key. When the written keys are few (measured unless ``small`` says so)
+    the table is only filtered against them and not shuffled; otherwise old and
+    new rows meet by shuffle. The result is the same.
     """
     incoming = incoming.select(*KEY, "value", F.col("seq").cast("long").alias("seq"))
     if existing is None:
@@ -100,8 +102,7 @@ def merge_rows(
         return untouched.unionByName(merge_distinct(incoming, touched, append_sep))
     if not overwrite:
         return merge_distinct(incoming, existing, append_sep)
-    before = existing.select(*KEY, "value", F.lit(None).cast("long").alias("seq"))
-    return _latest(before.unionByName(incoming))
+    return existing.join(keys, KEY, "left_anti").select(*KEY, "value").unionByName(_latest(incoming))
 
 
 def _latest(rows: DataFrame) -> DataFrame:

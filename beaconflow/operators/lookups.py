@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -146,24 +147,26 @@ def not_yet_processed(rows: DataFrame, processed: DataFrame, key: str, seq: str)
 
 
 def data_driven_filter(
-    rows: DataFrame, rules: DataFrame, on: str, condition: str, max_texts: int = 1000
+    rows: DataFrame, rules: DataFrame, on: str, condition: str, branches: int = 200
 ) -> DataFrame:
     """Keep a row if the predicate stored for its key in ``rules`` holds.
 
-    The distinct predicate texts become the branches of one CASE, so the rows
-    are read once however many predicates there are. Keys without a rule, like
-    rules that are not true, keep nothing.
+    The distinct predicate texts become the branches of CASE expressions of
+    ``branches`` each, so one such table of rules is one pass over the joined
+    rows; any number of predicates is evaluated, one pass for every so many.
+    Keys without a rule, like rules that are not true, keep nothing.
     """
     distinct = rules.select(condition).where(F.col(condition).isNotNull()).distinct()
-    texts = [r[0] for r in distinct.limit(max_texts + 1).collect()]
-    if len(texts) > max_texts:
-        raise ValueError(f"more than {max_texts} different predicates: not a table of rules")
+    texts = sorted(r[0] for r in distinct.toLocalIterator())
     if not texts:
         return rows.limit(0)
-    side = rules.select(on, F.col(condition).alias("__rule"))
-    joined = lookup_join(rows, side, on)
-    verdict = None
-    for text in sorted(texts):
-        branch = (F.col("__rule") == text, F.expr(text))
-        verdict = F.when(*branch) if verdict is None else verdict.when(*branch)
-    return joined.where(verdict).drop("__rule")
+    joined = lookup_join(rows, rules.select(on, F.col(condition).alias("__rule")), on, "inner")
+    parts = []
+    for i in range(0, len(texts), branches):
+        some = texts[i : i + branches]
+        verdict = F.when(F.lit(False), F.lit(False))
+        for text in some:
+            verdict = verdict.when(F.col("__rule") == text, F.expr(text))
+        own = joined if len(texts) <= branches else joined.where(F.col("__rule").between(some[0], some[-1]))
+        parts.append(own.where(verdict).drop("__rule"))
+    return reduce(DataFrame.unionByName, parts)

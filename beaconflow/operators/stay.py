@@ -17,6 +17,9 @@ from beaconflow.constants import AREA_ONSITE, AREA_ONSITE_STAY, STAY_TIMEOUT_MS
 from beaconflow.operators.skew import CARRY, DEFAULT_SKEW, HOT, SLICE, Cuts, HotKeys, Skew, find_cuts, with_slices
 
 
+_NUMBER = "__number"
+
+
 @dataclass(frozen=True)
 class StayConfig:
     """Limits in milliseconds; which of several crossed limits counts; limit or true stay as label."""
@@ -124,15 +127,19 @@ def label_stay(
 ) -> DataFrame:
     """Add the map area -> stay label (text) for the areas flagged on each record.
 
-    ``seq`` identifies a record of a user. Exploding, labelling and regrouping
-    all happen within the one shuffle by user.
+    Records are numbered within their user (and slice) before they are exploded
+    and are regrouped by that number, so none is lost, whatever their ``seq``.
+    Numbering, exploding, labelling and regrouping all happen within the one
+    shuffle by user.
     """
-    payload = [c for c in records.columns if c not in (user, seq)]
+    payload = [c for c in records.columns if c != user]
+    hashable = [c for c, kind in records.dtypes if "map<" not in kind and kind != "variant"]
     cuts = find_cuts(records, user, F.col(ts), skew)
-    sliced = with_slices(records, user, F.col(ts), cuts)
+    along = Window.partitionBy(user, SLICE).orderBy(ts, seq, F.xxhash64(*hashable))
+    sliced = with_slices(records, user, F.col(ts), cuts).withColumn(_NUMBER, F.row_number().over(along))
     visits = sliced.select(
         user,
-        seq,
+        _NUMBER,
         SLICE,
         HOT,
         ts,
@@ -140,12 +147,13 @@ def label_stay(
         F.explode_outer(F.map_keys(AREA_ONSITE)).alias("area"),
     )
     # Only the visits themselves take part in the carry computation.
-    labelled = _dwell_sliced(visits, config, user, ts, seq, cuts)
+    labelled = _dwell_sliced(visits, config, user, ts, _NUMBER, cuts)
     entry = F.when(F.col("area").isNotNull(), F.struct("area", F.col("stay").cast("string")))
     return (
-        labelled.groupBy(user, SLICE, seq)
+        labelled.groupBy(user, SLICE, _NUMBER)
         .agg(F.first("__row").alias("__row"), F.map_from_entries(F.collect_list(entry)).alias(AREA_ONSITE_STAY))
-        .select(user, seq, "__row.*", AREA_ONSITE_STAY)
+        .select(user, "__row.*", AREA_ONSITE_STAY)
+        .select(user, seq, *[c for c in payload if c != seq], AREA_ONSITE_STAY)
     )
 
 

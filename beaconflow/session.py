@@ -44,6 +44,14 @@ def new_shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/beaconflow/{name}-{uuid.uuid4().hex}"
 
 
+def drop_shared(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`new_shared_path` named, once nobody reads it any more."""
+    if "/beaconflow/" not in path:
+        raise ValueError(f"{path} is not a folder of this library")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, for several consumers.
 

@@ -14,23 +14,37 @@ _PLAIN_ENCODINGS = ("US-ASCII", "ISO-8859-1", "UTF-8", "UTF-16BE", "UTF-16LE", "
 def read_file(
     spark: SparkSession, path: str, columns: dict[str, int], delim: str = ",", encoding: str = "UTF-8"
 ) -> DataFrame:
-    """Chosen positions of a delimited file as trimmed strings; short lines are skipped."""
+    """Chosen positions of a delimited file as trimmed strings; see :func:`rejected_lines` for the lines left out."""
+    return pick_columns(read_lines(spark, path, encoding), columns, delim)
+
+
+def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """Whole lines of a text file in any encoding, as a column ``value``."""
+    if encoding.upper() in ("UTF-8", "US-ASCII"):
+        return spark.read.text(path)
     if encoding.upper() not in _PLAIN_ENCODINGS:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    # Each line is read whole (an unused separator, no quoting) so that the
-    # delimiter may have any length and any encoding is decoded.
-    lines = spark.read.schema("value string").csv(path, sep="\u0001", quote="", escape="", encoding=encoding)
-    return pick_columns(lines, columns, delim)
+    # The text source knows UTF-8 only. The CSV source decodes others; its
+    # separator here is two noncharacters, which no text contains.
+    # Line ends of several bytes must be named.
+    ends = {"lineSep": "\n"} if encoding.upper().startswith(("UTF-16", "UTF-32")) else {}
+    return spark.read.schema("value string").csv(path, sep="\ufffe\uffff", quote="", escape="", encoding=encoding, **ends)
+
+
+def _fields(lines: DataFrame, delim: str) -> DataFrame:
+    return lines.select("value", split_fields(F.col("value"), delim).alias("f"))
 
 
 def pick_columns(lines: DataFrame, columns: dict[str, int], delim: str = ",") -> DataFrame:
-    """Named positions of delimited text lines."""
-    needed = max(columns.values()) + 1
-    return (
-        lines.select(split_fields(F.col("value"), delim).alias("f"))
-        .where(F.size("f") >= needed)
-        .select(*[F.trim(F.get("f", F.lit(i))).alias(name) for name, i in columns.items()])
-    )
+    """Named positions of the delimited text lines that have them all."""
+    enough = F.size("f") > max(columns.values())
+    return _fields(lines, delim).where(enough).select(*[F.trim(F.get("f", F.lit(i))).alias(name) for name, i in columns.items()])
+
+
+def rejected_lines(lines: DataFrame, columns: dict[str, int], delim: str = ",") -> DataFrame:
+    """The lines that :func:`pick_columns` leaves out as too short."""
+    enough = F.size("f") > max(columns.values())
+    return _fields(lines, delim).where(~F.coalesce(enough, F.lit(False))).select("value")
 
 
 def jdbc_options(

@@ -24,13 +24,20 @@ def matching_keys(table: DataFrame, **pattern: str) -> DataFrame:
 def export_lookup(table: DataFrame, fields: list[str] | None = None, **pattern: str) -> DataFrame:
     """One row per matching key, one column per field in name order.
 
-    Without ``fields`` the distinct field names are read first, as any pivot does.
+    Without ``fields`` the distinct field names are read first, as any pivot
+    does; a table of very many fields, such as one record for a whole table,
+    has no use as columns: see :func:`export_records`.
     """
     wide = matching_rows(table, **pattern).groupBy("hash_key")
     pivot = wide.pivot("field", sorted(fields)) if fields else wide.pivot("field")
     return pivot.agg(F.first("value", ignorenulls=True))
 
 
+def export_records(table: DataFrame, **pattern: str) -> DataFrame:
+    """The fields and values of all matching keys as rows in the order of key and field, however many there are."""
+    return matching_rows(table, **pattern).select("hash_key", "field", "value").orderBy("hash_key", "field")
+
+
 def record_fields(table: DataFrame, hash_key: str) -> DataFrame:
     """All fields of one record in name order."""
     return table.where(F.col("hash_key") == hash_key).select("field", "value").orderBy("field")

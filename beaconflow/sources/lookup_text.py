@@ -22,10 +22,12 @@ def parse_lookup_lines(lines: DataFrame, layout: str, delim: str = ":") -> DataF
     if layout == "map":
         pairs = F.transform(F.slice("p", 2, F.size("p")), lambda e: F.split(e, ","))
         pairs = F.filter(pairs, lambda e: F.size(e) >= 2)
-        # A repeated field keeps its last value.
-        last = F.filter(pairs, lambda e, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda x: x[0] == e[0]))
-        entries = F.map_from_entries(F.transform(last, lambda e: F.struct(e[0], e[1])))
-        return parts.select(part(0).alias("key"), entries.alias("entries"))
+        # A repeated field keeps its last value: sort by (name, place), keep the last of each name.
+        placed = F.array_sort(F.transform(pairs, lambda e, i: F.struct(e[0].alias("name"), i.alias("place"), e[1].alias("value"))))
+        rows = parts.select(part(0).alias("key"), placed.alias("e"))
+        last = F.filter("e", lambda e, i: ~F.coalesce(F.get("e", i + 1)["name"] == e["name"], F.lit(False)))
+        entries = F.map_from_entries(F.transform(last, lambda e: F.struct(e["name"], e["value"])))
+        return rows.select("key", entries.alias("entries"))
     if layout == "value":
         return parts.where(F.size("p") >= 3).select(
             part(0).alias("cache"), part(1).alias("key"), part(2).alias("value")

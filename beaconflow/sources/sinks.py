@@ -24,10 +24,24 @@ def check_output_type(output_type: str) -> None:
         raise ValueError(f"unsupported output type {output_type!r}")
 
 
-def publish_events(messages: DataFrame, output_type: str, topic: str, brokers: str) -> DataStreamWriter | None:
-    """Send messages: a batch frame is written at once, a stream's unstarted writer is returned."""
+def publish_options(messages: DataFrame, topic: str | None, brokers: str) -> dict[str, str]:
+    """Options of the sink. The option ``topic`` would override the column, so it is left out where there is one."""
+    options = {"kafka.bootstrap.servers": brokers}
+    if "topic" not in messages.columns:
+        if not topic:
+            raise ValueError("messages without a column topic need a topic")
+        options["topic"] = topic
+    return options
+
+
+def publish_events(messages: DataFrame, output_type: str, topic: str | None, brokers: str) -> DataStreamWriter | None:
+    """Send messages: a batch frame is written at once, a stream's unstarted writer is returned.
+
+    ``topic`` is for messages without a column of that name; with one, each
+    message goes to its own.
+    """
     check_output_type(output_type)
-    options = {"kafka.bootstrap.servers": brokers, "topic": topic}
+    options = publish_options(messages, topic, brokers)
     if messages.isStreaming:
         return messages.writeStream.format("kafka").options(**options)
     messages.write.format("kafka").options(**options).save()

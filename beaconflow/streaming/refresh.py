@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
 from beaconflow.constants import LOOKUP_TTL_SECONDS
+from beaconflow.session import drop_shared, new_shared_path
+
+_LOG = logging.getLogger(__name__)
 
 
 class RefreshingLookup:
     """The last complete copy of a lookup, loaded anew once it is older than ``ttl``.
 
-    Ask for :meth:`current` inside each micro-batch. The copy is cached by Spark
-    over the executors; what an executor loses is read again from the source.
+    Ask for :meth:`current` inside each micro-batch. A copy is a folder of its
+    own in shared storage: it is written whole before it takes the place of the
+    old one, so all tasks see one version, and losing an executor loses nothing.
+    When loading fails the old copy stays and the next call tries again; only a
+    first load that fails is an error. The copy before the current one is kept
+    for batches that still read it, older ones are deleted.
     """
 
     def __init__(
@@ -26,17 +34,37 @@ class RefreshingLookup:
         self._load, self._ttl, self._clock = load, ttl_seconds, clock
         self._table: DataFrame | None = None
         self._loaded_at = 0.0
+        self._folders: list[str] = []
+        self.versions = 0
 
     def current(self) -> DataFrame:
         if self._table is None or self._clock() >= self._loaded_at + self._ttl:
-            fresh = self._load().persist()
-            old, self._table = self._table, fresh
-            self._loaded_at = self._clock()
-            if old is not None:
-                old.unpersist()
+            try:
+                self._table = self._copy()
+                self._loaded_at = self._clock()
+                self.versions += 1
+            except Exception:
+                if self._table is None:
+                    raise
+                _LOG.exception("the lookup could not be loaded again; the copy before stays in use")
         return self._table
 
+    def _copy(self) -> DataFrame:
+        fresh = self._load()
+        spark = fresh.sparkSession
+        path = new_shared_path(spark, "lookup")
+        try:
+            fresh.write.parquet(path)
+        except Exception:
+            drop_shared(spark, path)
+            raise
+        self._folders.append(path)
+        while len(self._folders) > 2:
+            drop_shared(spark, self._folders.pop(0))
+        return spark.read.schema(fresh.schema).parquet(path)
+
     def close(self) -> None:
         if self._table is not None:
-            self._table.unpersist()
-            self._table = None
+            for path in self._folders:
+                drop_shared(self._table.sparkSession, path)
+            self._folders, self._table = [], None

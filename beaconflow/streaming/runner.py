@@ -84,7 +84,23 @@ def latest_per_key(updates: DataFrame, key: list[str]) -> DataFrame:
     return last.select(*key, "row.*")
 
 
-def batch_sizes(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Records received per micro-batch, from the query's recent progress."""
-    rows = [(p["batchId"], p["numInputRows"]) for p in query.recentProgress]
-    return spark.createDataFrame(rows, "batch long, n long")
+def counting(handler: BatchHandler, path: str) -> BatchHandler:
+    """Run ``handler`` and write the number of records of each micro-batch below ``path``; a retried batch replaces its own.
+
+    Progress reports are kept for the last batches only, files for all.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            kept.agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            handler(kept, batch_id)
+        finally:
+            kept.unpersist()
+
+    return handle
+
+
+def batch_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """Records received per micro-batch, as :func:`counting` wrote them below ``path``."""
+    return spark.read.schema("n long, batch long").parquet(path).select("batch", "n")

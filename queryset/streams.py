@@ -174,6 +174,15 @@ def refreshing_lookup(spark, sf_dir):
     return spark.read.parquet(f"{path}/out").drop("batch")
 
 
+def _text_parts(spark, sf_dir, parts):
+    """The feed as files written one after the other, so that each becomes a micro-batch of its own."""
+    path = new_shared_path(spark, "feed")
+    lines = signal_lines(spark, sf_dir)
+    for i in range(parts):
+        lines.where(F.col("seq") % parts == i).select("value").coalesce(1).write.mode("append").text(path)
+    return path
+
+
 def _text_files(spark, sf_dir):
     path = new_shared_path(spark, "feed")
     signal_lines(spark, sf_dir).select("value").write.text(path)
@@ -195,13 +204,13 @@ def ingest_stream(spark, sf_dir):
     return R.run_to_table(out, "ingest").drop("batch")
 
 
-@query("batch_counts_stream", "SELECT count(*) AS n FROM lines")
+@query("batch_counts_stream", "SELECT seq % 5 AS batch, count(*) AS n FROM lines GROUP BY ALL")
 def batch_counts_stream(spark, sf_dir):
-    lines = open_stream(spark, "hdfs", {"path": _text_files(spark, sf_dir), "maxFilesPerTrigger": "1"})
+    lines = open_stream(spark, "hdfs", {"path": _text_parts(spark, sf_dir, 5), "maxFilesPerTrigger": "1"})
     path = new_shared_path(spark, "batch-counts")
-    run = R.start_batches(lines, R.write_batches_to(f"{path}/out"), f"{path}/checkpoint")
+    run = R.start_batches(lines, R.counting(R.write_batches_to(f"{path}/out"), f"{path}/sizes"), f"{path}/checkpoint")
     run.awaitTermination()
-    return R.batch_sizes(spark, run).agg(F.sum("n").alias("n"))
+    return R.batch_sizes(spark, f"{path}/sizes")
 
 
 @query("archive_topic", """

@@ -186,3 +186,12 @@ def test_projection_splits_only_at_the_top(spark):
     assert split_expressions("a, concat(b, ','), m['x,y'], (c)") == ["a", "concat(b, ',')", "m['x,y']", "(c)"]
     row = business_projection(spark.range(1), "id, concat('a', ',', 'b') as c").first()
     assert tuple(row) == (0, "a,b")
+
+
+def test_rows_without_time_or_user_fire_and_disturb_nobody(spark):
+    rng = random.Random(3)
+    rows = [(u, rng.randrange(500), i) for i, u in enumerate(rng.choices(["u1", "u2", "hot"], [1, 1, 4], k=300))]
+    odd = [("u2", None, 900), ("hot", None, 901), (None, 5, 902), (None, 5, 903), (None, None, 904)]
+    for skew in (None, TINY):
+        got = cooldown(frame(spark, rows + odd), 20, skew=skew).collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, [*greedy(rows, 20), *odd]))

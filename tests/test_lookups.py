@@ -126,3 +126,10 @@ def test_geo_defaults(spark):
     records = spark.createDataFrame([("1", "1"), ("2", "2")], "lac string, ci string")
     got = sorted((r.lac, r.geo_longitude, r.geo_latitude) for r in J.label_geo(records, sites).collect())
     assert got == [("1", "5.5", "6.5"), ("2", "0", "0")]
+
+
+def test_any_number_of_stored_predicates(spark):
+    rows = spark.range(3000).selectExpr("cast(id % 1500 as string) as k", "id as v")
+    rules = spark.range(1201).selectExpr("cast(id as string) as k", "concat('v > ', id + 10) as condition")
+    got = J.data_driven_filter(rows, rules, "k", "condition").collect()
+    assert sorted(tuple(r) for r in got) == sorted((str(v % 1500), v) for v in range(3000) if v % 1500 <= 1200 and v > v % 1500 + 10)

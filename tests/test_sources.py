@@ -7,7 +7,7 @@ from beaconflow.functions.cells import hex_code
 from beaconflow.functions.text import split_fields, wildcard_regex
 from beaconflow.session import new_shared_path
 from beaconflow.sources import sinks
-from beaconflow.sources.dimensions import jdbc_options, read_dimension
+from beaconflow.sources.dimensions import jdbc_options, read_dimension, read_lines, rejected_lines
 from beaconflow.sources.lookup_text import read_lookup_text
 from beaconflow.sources.streams import stream_options
 
@@ -88,3 +88,26 @@ def test_archive_and_match(spark):
     assert os.listdir(path.removeprefix("file:")).count("archive=p-20150401080005.log") == 1
     assert count.get["matched"] == 2
     assert sorted(r.value for r in spark.read.text(path).collect()) == ["good x", "x2"]
+
+
+@pytest.mark.parametrize("encoding", ["UTF-8", "ISO-8859-1", "UTF-16LE"])
+def test_the_usual_separator_of_table_files(spark, tmp_path, encoding):
+    path = write(tmp_path, "t", "a\u0001é\u0001c\nx\u0001y\nd\u0001\"e\u0001f\n", encoding)
+    rows = read_dimension(spark, "file", path=path, columns={"k": 0, "v": 2}, delim="\u0001", encoding=encoding)
+    assert sorted(map(tuple, rows.collect())) == [("a", "c"), ("d", "f")]
+    short = rejected_lines(read_lines(spark, path, encoding), {"k": 0, "v": 2}, "\u0001")
+    assert [r.value for r in short.collect()] == ["x\u0001y"]
+
+
+def test_each_message_goes_to_its_own_topic(spark):
+    messages = spark.createDataFrame([("k", "v", "t1")], "key string, value string, topic string")
+    assert sinks.publish_options(messages, "other", "b:1") == {"kafka.bootstrap.servers": "b:1"}
+    assert sinks.publish_options(messages.drop("topic"), "t", "b:1")["topic"] == "t"
+    with pytest.raises(ValueError):
+        sinks.publish_options(messages.drop("topic"), None, "b:1")
+
+
+def test_the_last_of_many_values_of_a_field_counts(spark, tmp_path):
+    line = "k:" + ":".join(f"f{i % 50},{i}" for i in range(5000))
+    got = read_lookup_text(spark, write(tmp_path, "m", line + "\nl:a,1:a,2:bad:b,3\n"), "map").collect()
+    assert {r.key: r.entries for r in got} == {"k": {f"f{i}": str(4950 + i) for i in range(50)}, "l": {"a": "2", "b": "3"}}

@@ -95,3 +95,24 @@ def test_label_stay_regroups_per_record(spark):
         flat = out.select("seq", F.explode("area_onsite_stay").alias("area", "stay"))
         want = dwell(visits, cfg, skew=None).select("seq", "area", F.col("stay").cast("string"))
         assert sorted(flat.collect()) == sorted(want.collect())
+
+
+def test_records_of_equal_seq_all_stay(spark):
+    """Equal seq, time and even equal rows, also of a user without id, and of a hot user that is cut."""
+    rows = [(0, "u", 0, "x"), (0, "u", 0, "y"), (0, "u", 5 * MINUTE, "x"), (0, "u", 5 * MINUTE, "x"), (1, None, 0, "x"), (1, None, 0, "x")]
+    rows += [(i // 4, "h", i * MINUTE, "x") for i in range(60)]
+    df = spark.createDataFrame(rows, "seq long, imsi string, ts_ms long, note string")
+    df = df.withColumn("area_onsite", F.expr("map('a', 'true', 'b', 'true')"))
+    for skew in (None, TINY):
+        out = label_stay(df, config([3]), skew=skew)
+        got = sorted(((r.seq, r.imsi, r.ts_ms, r.note) for r in out.collect()), key=str)
+        assert got == sorted(rows, key=str) and out.columns[:2] == ["imsi", "seq"]
+        labels = {(r.seq, r.ts_ms): r.area_onsite_stay for r in out.where("imsi = 'h'").collect()}
+        assert labels[0, 3 * MINUTE] == labels[1, 4 * MINUTE] | {"a": str(3 * MINUTE), "b": str(3 * MINUTE)}
+
+
+def test_areas_and_stays_take_one_shuffle(spark):
+    df = spark.range(50).selectExpr("id as seq", "cast(id % 7 as string) as imsi", "id * 1000 as ts_ms", "map('a', 'true') as area_onsite")
+    plan = label_stay(df, config([3]), skew=None)
+    plan.count()
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1

@@ -197,3 +197,19 @@ def test_throughput_and_properties(spark):
     assert [tuple(r) for r in A.throughput(rows, 1000).orderBy("interval_start_ms").collect()] == [(0, 2, 2.0), (1000, 1, 1.0)]
     eav = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, None, None)], "id int, name string, pvalue string")
     assert {r.id: r.properties for r in A.pivot_properties(eav, ["id"]).collect()} == {1: {"a": "x", "b": "y"}, 2: {}}
+
+
+@pytest.mark.parametrize("overwrite", [True, False])
+def test_a_merge_does_not_depend_on_how_many_keys_are_written(spark, overwrite):
+    table = [("k", "f", "1"), ("k", "f", "2"), ("k", "g", "3"), ("k", "g", "4"), (None, "f", "5"), (None, "f", "5"), ("l", None, "6")]
+    old = spark.createDataFrame(table, "hash_key string, field string, value string")
+    new = spark.createDataFrame([("k", "f", "9", 1), ("m", "f", "7", 2), ("m", "f", "8", 3)], "hash_key string, field string, value string, seq long")
+    few, many = (sorted(map(str, U.merge_rows(old, new, overwrite, small=s).collect())) for s in (True, False))
+    assert few == many and len(few) == (7 if overwrite else 8)
+
+
+def test_a_record_of_very_many_fields_is_exported_as_rows(spark):
+    table = spark.range(12_000).selectExpr("if(id < 11000, 'one', 'two') as hash_key", "cast(id as string) as field", "cast(id as string) as value")
+    assert X.export_records(table, prefix="one").count() == 11_000
+    first = X.export_records(table).first()
+    assert tuple(first) == ("one", "0", "0")
