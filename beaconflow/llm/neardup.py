@@ -22,7 +22,9 @@ BITS = 256
 #: What the estimate may fall short by before a candidate is dropped: over four standard deviations at 0.75.
 MARGIN = 0.2
 #: Members of a bucket in one block of the second candidate search.
-BLOCK = 2048
+BLOCK = 1024
+#: Ids of candidates that are broadcast to the scan of the texts; more are joined by shuffle.
+BROADCAST_IDS = 1_000_000
 
 _SKETCH = "doc_id long, text_hash long, n_shingles long, set_id binary, bands array<long>, sketch array<long>"
 
@@ -124,6 +126,9 @@ def _sets(n: int):
 def _confirmed(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough; sets are computed anew for these ids only."""
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    ids = shared_table(ids, "candidates")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
     texts = documents.join(ids, "doc_id", "left_semi")
     sets = texts.mapInArrow(_sets(n), "doc_id long, set_id binary, shingles array<long>")
     own = nodes.select("set_id", F.col("node").alias("doc_id"))
@@ -134,8 +139,12 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, n: int,
     return both.where(100 * common >= percent * (F.size("a_set") + F.size("b_set") - common)).select("a", "b")
 
 
-def _block_pairs(most: int):
-    """Pairs of one block pair of a bucket that lie in different components and have similar sketches."""
+def _block_pairs(most: int, percent: int):
+    """Pairs of one block pair of a bucket that lie in different components and have similar sketches and sizes.
+
+    A pair that shares an earlier band has been found there: its bucket holds
+    both components as well.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         found = [np.empty((0, 2), np.int64)]
@@ -143,11 +152,16 @@ def _block_pairs(most: int):
         right = table.column("block").to_numpy() == table.column("right").to_numpy()
         node, part = table.column("node").to_numpy(), table.column("component").to_numpy()
         words = table.column("sketch").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
-        node_r, part_r, words_r = node[right], part[right], words[right]
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+        size = table.column("n_shingles").to_numpy()
+        node_r, part_r, words_r, bands_r, size_r = (x[right] for x in (node, part, words, bands, size))
+        earlier = np.argmax(bands[:1] == table.column("band")[0].as_py()) if table.num_rows else 0
         for i in np.flatnonzero(left):
             other = np.flatnonzero((part_r != part[i]) & (node_r > node[i]) if left[i] == right[i] else part_r != part[i])
             bits = np.bitwise_count(words_r[other] ^ words[i]).sum(axis=1)
-            near = node_r[other[bits <= most]]
+            other = other[bits <= most]
+            alike = 100 * np.minimum(size_r[other], size[i]) >= percent * np.maximum(size_r[other], size[i])
+            near = node_r[other[alike & ~(bands_r[other, :earlier] == bands[i, :earlier]).any(axis=1)]]
             found.append(np.column_stack([np.minimum(near, node[i]), np.maximum(near, node[i])]))
         pairs = np.concatenate(found)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -184,16 +198,16 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 75) -
     linked = sketched.where("set_id is not null and doc_id is not null")
     nodes = linked.groupBy("set_id").agg(F.min("doc_id").alias("node"))
     own = linked.join(nodes.select("set_id", F.col("node").alias("doc_id")), ["set_id", "doc_id"], "left_semi")
-    own = own.select(F.col("doc_id").alias("node"), "set_id", "bands", "sketch").dropDuplicates(["node", "set_id"])
+    own = own.select(F.col("doc_id").alias("node"), "set_id", "n_shingles", "bands", "sketch").dropDuplicates(["node", "set_id"])
     own = shared_table(own, "classes")
 
     keyed = own.select("node", F.explode("bands").alias("band"))
     heads = keyed.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last")
     in_bucket = shared_table(keyed.join(heads.select("band", "head"), "band"), "buckets")
     most = most_differing_bits(percent / 100 - MARGIN)
-    sketch = own.select("node", "sketch")
+    sketch = own.select("node", "sketch", "bands", "n_shingles")
     stars = in_bucket.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    near = _similar(stars, sketch, most)
+    near = _similar(stars, sketch, most, percent)
     first = shared_table(_confirmed(near, own, rows, shingle, percent), "links")
     labels = components(first)
 
@@ -207,7 +221,7 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 75) -
     member = member.select(
         "band", "node", "component", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right")
     ).join(sketch, "node")
-    crossing = member.groupBy("band", "left", "right").applyInArrow(_block_pairs(most), "a long, b long").distinct()
+    crossing = member.groupBy("band", "left", "right").applyInArrow(_block_pairs(most, percent), "a long, b long").distinct()
     second = _confirmed(shared_table(crossing, "crossing"), own, rows, shingle, percent)
     found = components(first.unionByName(second))
 
@@ -218,10 +232,11 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 75) -
     return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "text_hash")
 
 
-def _similar(pairs: DataFrame, sketch: DataFrame, most: int) -> DataFrame:
-    """Pairs (a, b) whose sketches differ in at most ``most`` bits."""
-    side = lambda c: sketch.select(F.col("node").alias(c), F.col("sketch").alias(f"{c}_s"))
+def _similar(pairs: DataFrame, sketch: DataFrame, most: int, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sketches differ in at most ``most`` bits and whose sizes allow the similarity."""
+    side = lambda c: sketch.select(F.col("node").alias(c), F.col("sketch").alias(f"{c}_s"), F.col("n_shingles").alias(f"{c}_n"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = both.where(100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
     bits = F.zip_with("a_s", "b_s", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     return both.where(F.aggregate(bits, F.lit(0), lambda total, x: total + x) <= most).select("a", "b")
 
