@@ -7,19 +7,22 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from beaconflow.constants import COOLDOWN_MS, CORRELATION_DELAY_MS, STAY_TIMEOUT_MS
 from beaconflow.functions.text import joined_message
 from beaconflow.functions.times import SIGNAL_TIME
-from beaconflow.operators.rules import EventRule, event_rule_flags, event_rule_tree, ordered_rules, split_expressions
+from beaconflow.operators.rules import EventRule, event_rule_flags, event_rule_tree, ordered_rules, split_expressions, time_of_day_gate
 from beaconflow.operators.skew import DEFAULT_SKEW, HotKeys, Skew
 from beaconflow.operators.stay import StayConfig
 from beaconflow.plans.catalogue import Catalogue
 from beaconflow.plans.labelling import GeoLabels, LabelPlan, ProfileLabels, SiteLabels
 from beaconflow.plans.plugins import PARSERS, BusinessEvent, Lookups, alias_of
 from beaconflow.session import shared_table
+from beaconflow.sources.sinks import check_output_type, publish_events
 from beaconflow.sources.streams import open_stream
 from beaconflow.streaming.events import EventTerms, business_events_stream
+from beaconflow.streaming.runner import BatchHandler, start_batches
 
 
 @dataclass(frozen=True)
@@ -142,6 +145,41 @@ class Application:
         return fired.select("event", "topic", "key", F.concat("body", F.lit(","), moment).alias("value"))
 
 
+    def start(
+        self,
+        spark: SparkSession,
+        lookups: Lookups,
+        checkpoint: str,
+        brokers: str = "",
+        deliver: BatchHandler | None = None,
+        gate: tuple[str, str] | None = None,
+        interval_seconds: float | None = None,
+        now: Column | None = None,
+        sent_at: Column | None = None,
+    ) -> StreamingQuery:
+        """Open all sources and send what fires, as one running query.
+
+        Each message goes to the topic of its business event; a sink that an
+        event asks for and that there is not is an error before anything is
+        read. ``deliver`` takes the micro-batches instead of Kafka at
+        ``brokers``; ``gate`` lets only records through that come between
+        two times of the day.
+        """
+        for event in self.business_events:
+            check_output_type(event.output_type)
+        lines = {s.id: s.open(spark) for s in self.sources if any(s.id in b.rules for b in self.business_events)}
+        if gate:
+            # The time of a micro-batch is the same for all its records. What is turned away here never
+            # reaches any state; a batch must not be skipped later, or its state would be left open.
+            lines = {k: time_of_day_gate(df.withColumn("__now", F.current_timestamp()), *gate, "__now").drop("__now") for k, df in lines.items()}
+        messages = self.messages_stream(lines, lookups, now, sent_at)
+
+        def publish(batch: DataFrame, batch_id: int) -> None:
+            publish_events(batch.select("topic", "key", "value"), "kafka", None, brokers)
+
+        return start_batches(messages, deliver or publish, checkpoint, interval_seconds=interval_seconds)
+
+
 def build_application(catalogue: Catalogue, rule_kinds: dict[str, str], parsers: dict[str, str]) -> Application:
     """The application a catalogue describes.
 

@@ -183,6 +183,18 @@ def _text_parts(spark, sf_dir, parts):
     return path
 
 
+def _text_times(spark, sf_dir, parts):
+    """The feed as files in the order of time, one after the other."""
+    path = new_shared_path(spark, "feed")
+    times = signals(spark, sf_dir).select("seq", "ts_ms")
+    lines = signal_lines(spark, sf_dir).select("seq", "value").join(times, "seq")
+    cuts = times.approxQuantile("ts_ms", [i / parts for i in range(parts + 1)], 0.0)
+    for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        own = lines.where((F.col("ts_ms") >= low) & ((F.col("ts_ms") < high) | F.lit(i == parts - 1)))
+        own.coalesce(1).sortWithinPartitions("ts_ms", "seq").select("value").write.mode("append").text(path)
+    return path
+
+
 def _text_files(spark, sf_dir):
     path = new_shared_path(spark, "feed")
     signal_lines(spark, sf_dir).select("value").write.text(path)
@@ -192,7 +204,7 @@ def _text_files(spark, sf_dir):
 @query("stream_source", "SELECT value FROM lines")
 def stream_source(spark, sf_dir):
     lines = open_stream(spark, "hdfs", {"path": _text_files(spark, sf_dir), "maxFilesPerTrigger": "4"})
-    return R.run_to_table(lines, "stream-source").drop("batch")
+    return R.run_to_table(lines.select("value"), "stream-source").drop("batch")
 
 
 @query("ingest_stream", _PARSED + """
@@ -251,7 +263,7 @@ def archive_matching(spark, sf_dir):
     )
 
 
-def _application():
+def _application(conf=None):
     rules = [
         EventRule("1", "labels['area_onsite']['ASIA'] = 'true'"),
         EventRule("2", "cast(labels['area_onsite_stay']['ASIA'] as bigint) > 0", "1"),
@@ -260,7 +272,7 @@ def _application():
         "stay", {"feed": "2"}, ["imsi", "time", "labels['area_onsite_stay']['ASIA'] as stay", "ts_ms", "seq"],
         interval_ms=3 * DAY, topic="out", message_columns=["imsi", "time", "stay"],
     )
-    source = SourcePlan("feed", "hdfs", {}, labels=LabelPlan([SiteLabels()], stay=STAY), rules=rules)
+    source = SourcePlan("feed", "hdfs", conf or {}, labels=LabelPlan([SiteLabels()], stay=STAY), rules=rules)
     return Application([source], [event])
 
 
@@ -301,3 +313,15 @@ def application_stream(spark, sf_dir):
     lines = as_lines(as_signals(events))
     messages = _application().messages_stream({"feed": lines}, _lookups(spark, sf_dir), sent_at=_sent())
     return R.run_to_table(messages.select("key", "value"), "application").drop("batch")
+
+
+@query("application_source", _APPLICATION)
+def application_source(spark, sf_dir):
+    """From text files to delivered messages, as one started application over several micro-batches."""
+    app = _application({"path": _text_times(spark, sf_dir, 5), "maxFilesPerTrigger": "1"})
+    path = new_shared_path(spark, "application-source")
+    app.start(
+        spark, _lookups(spark, sf_dir), f"{path}/checkpoint", deliver=R.write_batches_to(f"{path}/out"),
+        gate=("00:00:00", "24:00:00"), sent_at=_sent(),
+    ).awaitTermination()
+    return spark.read.parquet(f"{path}/out").select("key", "value")

@@ -1,10 +1,13 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from beaconflow.operators.skew import Skew
-from beaconflow.plans.application import build_application
+from beaconflow.plans.application import Application, build_application
 from beaconflow.plans.catalogue import rule_catalogue
 from beaconflow.session import new_shared_path
+from beaconflow.sources.streams import topic_order
 from beaconflow.streaming import runner as R
 
 KINDS = {"profile-rule": "profile", "site-rule": "site", "stay-rule": "stay", "device-rule": "device", "movement-rule": "movement"}
@@ -105,3 +108,34 @@ def test_two_rules_on_one_source_are_an_error(spark):
     changed = tables(spark, BusenessEventsMapEventRules=([(1, 1), (1, 2)], "beid int, erid int"))
     with pytest.raises(ValueError):
         build_application(rule_catalogue(changed), KINDS, PARSERS)
+
+
+def test_an_application_starts_from_its_source(spark, tmp_path):
+    """Two files, one micro-batch each; the gate; topics; an unknown sink."""
+    raw = tables(spark, EventSource=([(1, "F", "hdfs", ",", 15, "feed-parser", 1, -1)],
+                 "id int, name string, type string, delim string, formatlength int, classname string, enabled int, validWindowsTimeMs int"),
+                 EventSourceProp=([("path", str(tmp_path / "in"), 1), ("maxFilesPerTrigger", "1", 1)], "name string, pvalue string, esourceid int"))
+    app = build_application(rule_catalogue(raw), KINDS, PARSERS)
+    lookups = {
+        "sites": spark.createDataFrame([("531E", "044E", "X")], "lac string, ci string, areas string"),
+        "profiles": spark.createDataFrame([("A", "139", "c1")], "imsi string, product_no string, city_id string"),
+    }
+    for minutes in ((0, 4), (6, 12)):
+        lines = [f"1,20150401 08:{m:02}:00.000,21278,1102,d,e,A,B,0,0,0,1,0,0,2" for m in minutes]
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(str(tmp_path / "in"))
+    seen = []
+    deliver = lambda batch, i: seen.extend((i, *r) for r in batch.select("topic", "value").collect())
+    app.start(spark, lookups, str(tmp_path / "c"), deliver=deliver).awaitTermination()
+    assert [(i, topic, value[:27]) for i, topic, value in seen] == [(0, "out", "A,20150401 08:04:00.000,139")]
+    seen.clear()
+    app.start(spark, lookups, str(tmp_path / "shut"), deliver=deliver, gate=("23:59:59", "00:00:00")).awaitTermination()
+    assert seen == []
+    other = Application(app.sources, [replace(app.business_events[0], output_type="fax")])
+    with pytest.raises(ValueError, match="fax"):
+        other.start(spark, lookups, str(tmp_path / "x"), deliver=deliver)
+
+
+def test_arrival_order_sorts_as_text(spark):
+    rows = spark.createDataFrame([(5, 3, 9), (5, 3, 10), (5, 20, 1), (40, 1, 1)], "t long, partition int, offset long")
+    got = rows.withColumn("timestamp", F.timestamp_millis("t")).select(topic_order().alias("s")).collect()
+    assert [r.s for r in got] == sorted(r.s for r in got) and len({r.s for r in got}) == 4
