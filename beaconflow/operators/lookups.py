@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from beaconflow.constants import ANONYMOUS_ID, AREA_INFO, AREA_ONSITE, USER_INFO
 from beaconflow.functions.maps import empty_map, map_union, present_entries
-from beaconflow.operators.skew import fits_broadcast, lookup_join
+from beaconflow.operators.skew import DEFAULT_SKEW, HotKeys, Skew, detect_together, fits_broadcast, lookup_join
 
 
 def site_key(lac: Column, ci: Column) -> Column:
@@ -24,9 +24,13 @@ def area_flags(areas: Column) -> Column:
     return F.map_from_entries(F.transform(names, lambda a: F.struct(a, F.lit("true"))))
 
 
-def label_site(records: DataFrame, sites: DataFrame, small: bool | None = None) -> DataFrame:
+def label_site(
+    records: DataFrame, sites: DataFrame, small: bool | None = None, skew: Skew | HotKeys | None = DEFAULT_SKEW
+) -> DataFrame:
     """Area flags and area information of the record's cell.
 
+    ``skew`` may name hot cells already known by their ``site_key``.
+
     ``sites`` has ``lac``, ``ci``, ``areas`` (comma list) and any further columns,
     which become the area information together with ``lac_ci``.
     """
@@ -39,7 +43,7 @@ def label_site(records: DataFrame, sites: DataFrame, small: bool | None = None)
         map_union(present_entries({c: F.col(c) for c in others}), own).alias("__info"),
     )
     joined = lookup_join(
-        records.withColumn("__cell", site_key(F.col("lac"), F.col("ci"))), table, "__cell", small=small
+        records.withColumn("__cell", site_key(F.col("lac"), F.col("ci"))), table, "__cell", small=small, skew=skew
     )
     return joined.withColumns(
         {AREA_ONSITE: F.coalesce("__flags", empty_map()), AREA_INFO: F.coalesce("__info", own)}
@@ -47,11 +51,17 @@ def label_site(records: DataFrame, sites: DataFrame, small: bool | None = None)
 
 
 def label_profile(
-    records: DataFrame, profiles: DataFrame, columns: list[str], key: str = "imsi", small: bool | None = None
+    records: DataFrame,
+    profiles: DataFrame,
+    columns: list[str],
+    key: str = "imsi",
+    small: bool | None = None,
+    skew: Skew | None = DEFAULT_SKEW,
 ) -> DataFrame:
     """Profiles of both parties: the subject's under plain names, the other's prefixed.
 
-    The other party counts only when both ids are usable and differ.
+    The other party counts only when both ids are usable and differ. Hot ids of
+    both are found in one pass over the records, before either join.
     """
     calling, called, subject = F.col("callingimsi"), F.col("calledimsi"), F.col("imsi")
     usable = (calling != ANONYMOUS_ID) & (called != ANONYMOUS_ID) & (calling != called)
@@ -67,15 +77,20 @@ def label_profile(
     keyed = records.withColumns(
         {"__own": F.when(subject != ANONYMOUS_ID, subject), "__other": other}
     )
-    joined = lookup_join(keyed, side("own"), "__own", small=small)
-    joined = lookup_join(joined, side("other"), "__other", small=small)
+    hot: dict[str, HotKeys | None] = {"__own": None, "__other": None}
+    if not small and skew is not None and not records.isStreaming:
+        hot |= detect_together(keyed, list(hot), skew)
+    joined = lookup_join(keyed, side("own"), "__own", small=small, skew=hot["__own"])
+    joined = lookup_join(joined, side("other"), "__other", small=small, skew=hot["__other"])
     prefix = F.when(F.col("__other") == called, "called_").otherwise("calling_")
     prefixed = F.transform_keys("__other_map", lambda name, _: F.concat(prefix, name))
     info = F.map_concat(F.coalesce("__own_map", empty_map()), F.coalesce(prefixed, empty_map()))
     return joined.withColumn(USER_INFO, info).drop("__own", "__other", "__own_map", "__other_map")
 
 
-def label_geo(records: DataFrame, sites: DataFrame, small: bool | None = None) -> DataFrame:
+def label_geo(
+    records: DataFrame, sites: DataFrame, small: bool | None = None, skew: Skew | HotKeys | None = DEFAULT_SKEW
+) -> DataFrame:
     """Coordinates of the record's cell as text, "0" where unknown."""
     table = sites.select(
         site_key(F.col("lac"), F.col("ci")).alias("__cell"),
@@ -83,7 +98,7 @@ def label_geo(records: DataFrame, sites: DataFrame, small: bool | None = None) -
         F.col("geo_latitude").cast("string"),
     )
     joined = lookup_join(
-        records.withColumn("__cell", site_key(F.col("lac"), F.col("ci"))), table, "__cell", small=small
+        records.withColumn("__cell", site_key(F.col("lac"), F.col("ci"))), table, "__cell", small=small, skew=skew
     )
     return joined.withColumns(
         {c: F.coalesce(F.col(c), F.lit("0")) for c in ("geo_longitude", "geo_latitude")}

@@ -16,6 +16,7 @@ detection does not compute everything in between.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -115,6 +116,20 @@ class HotKeys:
         return Cuts({r[0]: r[1] for r in found.collect()})
 
 
+def detect_together(df: DataFrame, keys: list[str], skew: Skew = DEFAULT_SKEW) -> dict[str, HotKeys]:
+    """The hot keys of several columns of ``df``, found in one pass over these columns."""
+    slim = df.select(*keys)
+    tops = [F.expr(f"approx_top_k(`{k}`, {skew.share}, {10 * skew.share})").alias(f"top{i}") for i, k in enumerate(keys)]
+    row = slim.agg(F.count(F.lit(1)).alias("total"), *tops).first()
+    threshold, piece = max(row["total"] / skew.share, skew.min_rows), max(row["total"] / (10 * skew.share), skew.min_rows)
+    found = {}
+    for i, key in enumerate(keys):
+        hot = [e for e in row[f"top{i}"] or [] if e["item"] is not None and e["count"] > threshold]
+        found[key] = HotKeys(df, key, skew)
+        found[key].__dict__["pieces"] = {e["item"]: min(_QUANTILES, math.ceil(e["count"] / piece)) for e in hot}
+    return found
+
+
 def find_cuts(df: DataFrame, key: str, order: Column, skew: Skew | HotKeys | None = DEFAULT_SKEW) -> Cuts:
     """Cuts of the hot keys of ``df``, or of those already known; ``None`` leaves every key whole."""
     if skew is None or df.isStreaming:

@@ -17,7 +17,9 @@ from queryset import query
 from queryset.labels import STAY, _stay_sql
 from queryset.views import DAY, HOUR, signals, sites, table
 
-CORRELATED = ["click", "purchase", "view"]
+#: All kinds of events are sources; each must have been active within this time.
+CORRELATED = ["click", "error", "purchase", "signup", "view"]
+ACTIVE = 20 * DAY
 
 
 def labelled(spark, sf_dir):
@@ -93,14 +95,12 @@ def cooldown_query(spark, sf_dir):
     return cooldown(signals(spark, sf_dir).select("imsi", "ts_ms", "seq"), 3 * DAY)
 
 
+_SEEN = ", ".join(f"max(CASE WHEN event_type = '{e}' THEN ts_ms END) OVER w AS last_{e}" for e in CORRELATED)
+_ALIVE = " AND ".join(f"coalesce(last_{e} + {ACTIVE} >= ts_ms, FALSE)" for e in CORRELATED)
 _CORRELATED_SQL = f"""
-, tagged AS (SELECT imsi, ts_ms, seq, event_type AS source FROM s WHERE event_type IN ('click', 'purchase', 'view')),
-seen AS (SELECT *, max(CASE WHEN source = 'click' THEN ts_ms END) OVER w AS a,
-                max(CASE WHEN source = 'purchase' THEN ts_ms END) OVER w AS b,
-                max(CASE WHEN source = 'view' THEN ts_ms END) OVER w AS c
-         FROM tagged WINDOW w AS (PARTITION BY imsi ORDER BY ts_ms, seq ROWS UNBOUNDED PRECEDING)),
-complete AS (SELECT *, coalesce(least(a, b, c) + {24 * HOUR} >= ts_ms AND a IS NOT NULL AND b IS NOT NULL
-                                AND c IS NOT NULL, FALSE) AS now FROM seen),
+, seen AS (SELECT imsi, ts_ms, seq, {_SEEN}
+         FROM s WINDOW w AS (PARTITION BY imsi ORDER BY ts_ms, seq ROWS UNBOUNDED PRECEDING)),
+complete AS (SELECT imsi, ts_ms, seq, {_ALIVE} AS now FROM seen),
 opened AS (SELECT *, max(CASE WHEN now THEN 1 ELSE 0 END) OVER (PARTITION BY imsi ORDER BY ts_ms, seq
                   ROWS UNBOUNDED PRECEDING) AS open FROM complete),
 locked AS (SELECT imsi, ts_ms, seq FROM opened WHERE open = 1)
@@ -116,17 +116,17 @@ def _tagged(spark, sf_dir):
 SELECT f.imsi AS imsi, f.ts_ms AS ts_ms, f.seq AS seq FROM fired f
 UNION ALL SELECT imsi, ts_ms, seq FROM opened WHERE open = 0""")
 def correlate(spark, sf_dir):
-    out = W.correlate_sources(_tagged(spark, sf_dir), CORRELATED, 3 * DAY, 24 * HOUR)
+    out = W.correlate_sources(_tagged(spark, sf_dir), CORRELATED, 3 * DAY, ACTIVE)
     return out.select("imsi", "ts_ms", "seq")
 
 
 @query("correlate_require_all", _CORRELATED_SQL + "SELECT imsi, ts_ms, seq FROM fired")
 def correlate_require_all(spark, sf_dir):
-    out = W.correlate_sources(_tagged(spark, sf_dir), CORRELATED, 3 * DAY, 24 * HOUR, require_all=True)
+    out = W.correlate_sources(_tagged(spark, sf_dir), CORRELATED, 3 * DAY, ACTIVE, require_all=True)
     return out.select("imsi", "ts_ms", "seq")
 
 
-@query("union_sources", "SELECT seq, event_type AS source FROM s WHERE event_type IN ('click', 'purchase', 'view')")
+@query("union_sources", "SELECT seq, event_type AS source FROM s")
 def union_sources(spark, sf_dir):
     return _tagged(spark, sf_dir).select("seq", "source")
 

@@ -19,7 +19,7 @@ from beaconflow.streaming import runner as R
 from beaconflow.streaming.labels import UserLabels, label_users
 from beaconflow.streaming.refresh import RefreshingLookup
 from queryset import ORACLES, query
-from queryset.events import CORRELATED, _greedy_sql
+from queryset.events import ACTIVE, CORRELATED, _greedy_sql
 from queryset.labels import MOVEMENT_SQL, STAY, _stay_sql
 from queryset.records import _PARSED, VALIDITY, _now
 from queryset.views import (
@@ -71,13 +71,13 @@ def _tagged_stream(spark, sf_dir):
 
 @query("correlate_stream", _body("correlate_sources"))
 def correlate_stream(spark, sf_dir):
-    fired = E.correlate_stream(_tagged_stream(spark, sf_dir), CORRELATED, 3 * DAY, 24 * HOUR)
+    fired = E.correlate_stream(_tagged_stream(spark, sf_dir), CORRELATED, 3 * DAY, ACTIVE)
     return R.run_to_table(fired.select("imsi", "ts_ms", "seq"), "correlate").drop("batch")
 
 
 @query("correlate_require_all_stream", _body("correlate_require_all"))
 def correlate_require_all_stream(spark, sf_dir):
-    fired = E.correlate_stream(_tagged_stream(spark, sf_dir), CORRELATED, 3 * DAY, 24 * HOUR, require_all=True)
+    fired = E.correlate_stream(_tagged_stream(spark, sf_dir), CORRELATED, 3 * DAY, ACTIVE, require_all=True)
     return R.run_to_table(fired.select("imsi", "ts_ms", "seq"), "correlate").drop("batch")
 
 

@@ -275,8 +275,8 @@ def catalogue_tables(spark, sf_dir):
             F.max("l_linestatus").alias("v")).selectExpr("l_suppkey as lrid", "l_returnflag as name", "v as pvalue"),
         "EventRules": t["supplier"].selectExpr("s_suppkey as id", "s_nationkey as esourceid", "s_name as classname",
                                                "s_acctbal > 1000 as enabled"),
-        "EventRulesProp": t["lineitem"].where("l_returnflag = 'R' and l_quantity > 49").groupBy("l_suppkey").agg(
-            F.max("l_linestatus").alias("v")).selectExpr("l_suppkey as erid", "'filterExp' as name", "v as pvalue"),
+        "EventRulesProp": t["lineitem"].groupBy("l_suppkey", "l_linestatus").agg(
+            F.max("l_returnflag").alias("v")).selectExpr("l_suppkey as erid", "l_linestatus as name", "v as pvalue"),
         "BusenessEvents": t["customer"].selectExpr("c_custkey as id", "c_name as name", "c_acctbal > 0 as enabled"),
         "BusenessEventsProp": t["orders"].groupBy("o_custkey", "o_orderstatus").agg(
             F.max("o_orderpriority").alias("v")).selectExpr("o_custkey as beid", "o_orderstatus as name", "v as pvalue"),
@@ -326,3 +326,37 @@ SELECT id, f AS prop_f FROM be LEFT JOIN p ON o_custkey = id""")
 def catalogue_business(spark, sf_dir):
     events = rule_catalogue(catalogue_tables(spark, sf_dir)).business_events
     return events.select("id", F.col("properties")["F"].alias("prop_f"))
+
+
+@query("rule_catalogue_event_rules", _CATALOGUE + """
+, p AS (SELECT l_suppkey, max(l_returnflag) FILTER (l_linestatus = 'F') AS f, max(l_returnflag) FILTER (l_linestatus = 'O') AS o
+        FROM lineitem GROUP BY l_suppkey)
+SELECT s_suppkey AS id, s_nationkey AS esourceid, f AS prop_f, o AS prop_o FROM supplier LEFT JOIN p ON l_suppkey = s_suppkey
+WHERE s_suppkey IN (SELECT id FROM er) AND s_nationkey IN (SELECT id FROM src)""")
+def catalogue_event_rules(spark, sf_dir):
+    rules = rule_catalogue(catalogue_tables(spark, sf_dir)).event_rules
+    return rules.select(
+        "id", "esourceid", F.col("properties")["F"].alias("prop_f"), F.col("properties")["O"].alias("prop_o")
+    )
+
+
+@query("rule_catalogue_source_links", _CATALOGUE + """
+SELECT c_custkey AS beid, c_nationkey AS esid FROM customer
+WHERE c_custkey IN (SELECT id FROM be) AND c_nationkey IN (SELECT id FROM src)""")
+def catalogue_source_links(spark, sf_dir):
+    return rule_catalogue(catalogue_tables(spark, sf_dir)).event_source_links
+
+
+@query("record_fields", "SELECT CAST(c_custkey AS VARCHAR) AS field, c_name AS value FROM customer")
+def record_fields(spark, sf_dir):
+    """One record that holds a whole table, beside the records of the store."""
+    customers = table(spark, sf_dir, "customer").withColumn("seq", F.col("c_custkey").cast("long"))
+    records = U.upsert_onehash(store(spark, sf_dir), customers, "customers", ["c_custkey"], "c_name")
+    return X.record_fields(records, "customers")
+
+
+@query("export_records", """
+SELECT 'userinfo:' || CAST(c_custkey AS VARCHAR) AS hash_key, 'name' AS field, c_name AS value FROM customer
+UNION ALL SELECT 'userinfo:' || CAST(c_custkey AS VARCHAR), 'segment', c_mktsegment FROM customer""")
+def export_records(spark, sf_dir):
+    return X.export_records(store(spark, sf_dir), prefix="userinfo:")

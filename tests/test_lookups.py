@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from beaconflow.constants import ANONYMOUS_ID
 from beaconflow.functions.maps import map_union
 from beaconflow.operators import lookups as J
-from beaconflow.operators.skew import Skew, fits_broadcast, lookup_join
+from beaconflow.operators.skew import Skew, detect_together, fits_broadcast, lookup_join
 from beaconflow.operators.track import last_device, movement, track
 
 TINY = Skew(share=8, min_rows=10)
@@ -133,3 +133,18 @@ def test_any_number_of_stored_predicates(spark):
     rules = spark.range(1201).selectExpr("cast(id as string) as k", "concat('v > ', id + 10) as condition")
     got = J.data_driven_filter(rows, rules, "k", "condition").collect()
     assert sorted(tuple(r) for r in got) == sorted((str(v % 1500), v) for v in range(3000) if v % 1500 <= 1200 and v > v % 1500 + 10)
+
+
+def test_hot_ids_of_both_parties_are_found_before_the_joins(spark):
+    """No detection contains a join, and the result is that of the broadcast form."""
+    rows = [("A" if i % 3 else f"u{i}", "B" if i % 2 else f"u{i % 7}", "A" if i % 3 else f"u{i}") for i in range(300)]
+    records = spark.createDataFrame(rows, "callingimsi string, calledimsi string, imsi string").withColumn("i", F.monotonically_increasing_id())
+    names = sorted({x for r in rows for x in r})
+    profiles = spark.createDataFrame([(n, n.lower()) for n in names], "imsi string, n string")
+    keyed = records.withColumns({"__own": F.col("imsi"), "__other": F.col("calledimsi")})
+    found = detect_together(keyed, ["__own", "__other"], TINY)
+    assert set(found["__own"].pieces) == {"A"} and set(found["__other"].pieces) >= {"B"}
+    as_rows = lambda df: sorted((r.i, sorted(r.user_info.items())) for r in df.collect())
+    plain = J.label_profile(records, profiles, ["n"], small=True)
+    assert as_rows(J.label_profile(records, profiles, ["n"], small=False, skew=TINY)) == as_rows(plain)
+    assert as_rows(J.label_profile(records, profiles, ["n"], small=False, skew=None)) == as_rows(plain)
