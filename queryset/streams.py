@@ -17,13 +17,14 @@ from beaconflow.sources.streams import open_stream
 from beaconflow.streaming import events as E
 from beaconflow.streaming import runner as R
 from beaconflow.streaming.labels import UserLabels, label_users
+from beaconflow.streaming import tables as S
 from beaconflow.streaming.refresh import RefreshingLookup
 from queryset import ORACLES, query
 from queryset.events import ACTIVE, CORRELATED, _greedy_sql
 from queryset.labels import MOVEMENT_SQL, STAY, _stay_sql
 from queryset.records import _PARSED, VALIDITY, _now
 from queryset.views import (
-    DAY, HOUR, SQL_VIEWS, as_lines, as_signals, cells, profiles, signal_lines, signal_stream, signals, sites, table,
+    DAY, HOUR, SQL_VIEWS, as_lines, cells, profiles, signal_lines, signal_stream, signals, sites, table,
 )
 
 
@@ -60,6 +61,13 @@ def movement_stream(spark, sf_dir):
 
 @query("cooldown_stream", _body("cooldown"))
 def cooldown_stream(spark, sf_dir):
+    """One large micro-batch, as after an interruption; the next query has several."""
+    rows = signal_stream(spark, sf_dir, 1).select("imsi", "ts_ms", "seq")
+    return R.run_to_table(E.cooldown_stream(rows, 3 * DAY), "cooldown").drop("batch")
+
+
+@query("cooldown_stream_batches", _body("cooldown"))
+def cooldown_stream_batches(spark, sf_dir):
     rows = signal_stream(spark, sf_dir).select("imsi", "ts_ms", "seq")
     return R.run_to_table(E.cooldown_stream(rows, 3 * DAY), "cooldown").drop("batch")
 
@@ -308,9 +316,7 @@ def application(spark, sf_dir):
 
 @query("application_stream", _APPLICATION)
 def application_stream(spark, sf_dir):
-    schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
-    lines = as_lines(as_signals(events))
+    lines = as_lines(signal_stream(spark, sf_dir))
     messages = _application().messages_stream({"feed": lines}, _lookups(spark, sf_dir), sent_at=_sent())
     return R.run_to_table(messages.select("key", "value"), "application").drop("batch")
 
@@ -325,3 +331,26 @@ def application_source(spark, sf_dir):
         gate=("00:00:00", "24:00:00"), sent_at=_sent(),
     ).awaitTermination()
     return spark.read.parquet(f"{path}/out").select("key", "value")
+
+
+@query("not_yet_processed_stream", _body("not_yet_processed"))
+def not_yet_processed_stream(spark, sf_dir):
+    """Users are processed once over all micro-batches; the table of those done is written back."""
+    path = new_shared_path(spark, "once")
+    stream = signal_stream(spark, sf_dir).select("seq", "imsi", "event_type", "value")
+    done = signals(spark, sf_dir).where("event_type = 'signup' and value > 150").select("imsi").distinct()
+    S.initial_table(done, f"{path}/processed")
+    handler = S.process_once("imsi", "seq", f"{path}/processed", f"{path}/out")
+    R.start_batches(stream.select("seq", "imsi"), handler, f"{path}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{path}/out").drop("batch")
+
+
+@query("accumulate_stream", _body("accumulate_to_table"))
+def accumulate_stream(spark, sf_dir):
+    """Counters go from one micro-batch to the next through their table."""
+    path = new_shared_path(spark, "accumulate")
+    S.initial_table(profiles(spark, sf_dir).selectExpr("imsi", "cast(c_nationkey as bigint) as cents"), f"{path}/totals")
+    handler = S.accumulate("imsi", "seq", ["cents"], f"{path}/totals", f"{path}/out")
+    stream = signal_stream(spark, sf_dir).select("seq", "imsi", "cents")
+    R.start_batches(stream, handler, f"{path}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{path}/out").select("seq", "imsi", "total_cents")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beaconflow.session import new_shared_path
+
 HOUR = 3_600_000
 DAY = 24 * HOUR
 
@@ -51,9 +53,15 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_signals(table(spark, sf_dir, "events"))
 
 
-def signal_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    return as_signals(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"))
+def signal_stream(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
+    """The whole event table as a stream of so many micro-batches, in the order of arrival."""
+    events = table(spark, sf_dir, "events")
+    path = new_shared_path(spark, "events")
+    cuts = events.approxQuantile("event_id", [i / batches for i in range(batches + 1)], 0.0)
+    for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        own = (F.col("event_id") >= low) & ((F.col("event_id") < high) | F.lit(i == batches - 1))
+        events.where(own).coalesce(1).write.mode("append").parquet(path)
+    return as_signals(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path))
 
 
 def signal_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

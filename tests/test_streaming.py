@@ -13,6 +13,7 @@ from beaconflow.session import new_shared_path
 from beaconflow.sources import sinks
 from beaconflow.streaming import events as E
 from beaconflow.streaming import runner as R
+from beaconflow.streaming import tables as S
 from beaconflow.streaming.labels import UserLabels, label_users
 from beaconflow.streaming.refresh import RefreshingLookup
 from tests.stay_cases import CASES, MINUTE, millis
@@ -259,3 +260,19 @@ def test_refreshing_lookup(spark):
     now[0] = 10.0
     assert lookup.current().first().v == 2 and len(loads) == 2
     lookup.close()
+
+
+def test_a_retried_batch_processes_and_counts_nothing_twice(spark):
+    path = new_shared_path(spark, "tables")
+    rows = spark.createDataFrame([("a", 1, 5), ("b", 2, 7), ("a", 3, 1)], "u string, seq long, m long")
+    later = spark.createDataFrame([("a", 4, 2), ("c", 5, 3)], "u string, seq long, m long")
+    S.initial_table(rows.limit(0).select("u"), f"{path}/done")
+    S.initial_table(spark.createDataFrame([("a", 100)], "u string, m long"), f"{path}/totals")
+    once = S.process_once("u", "seq", f"{path}/done", f"{path}/once")
+    count = S.accumulate("u", "seq", ["m"], f"{path}/totals", f"{path}/sums")
+    for batch, i in ((rows, 0), (rows, 0), (later, 1), (later, 1)):
+        once(batch, i)
+        count(batch, i)
+    assert sorted(r.seq for r in spark.read.parquet(f"{path}/once").collect()) == [1, 2, 5]
+    sums = {r.seq: r.total_m for r in spark.read.parquet(f"{path}/sums").collect()}
+    assert sums == {1: 105, 2: 7, 3: 106, 4: 108, 5: 3}
