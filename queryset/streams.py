@@ -354,3 +354,53 @@ def accumulate_stream(spark, sf_dir):
     stream = signal_stream(spark, sf_dir).select("seq", "imsi", "cents")
     R.start_batches(stream, handler, f"{path}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{path}/out").select("seq", "imsi", "total_cents")
+
+
+def _crossing(old: str, new: str) -> str:
+    whens = " ".join(f"WHEN {old} <= {x} AND {new} >= {x} THEN {x}" for x in reversed(STAY.ordered_limits))
+    return f"CASE {whens} ELSE 0 END"
+
+
+def _entry(i: int) -> str:
+    """The stay in area i after a record, and its label, from the stay before (e1 or e2)."""
+    e = f"e{i}"
+    stay = (
+        f"CASE WHEN {e} IS NULL OR t - {e}.l > {STAY.timeout_ms} THEN {{'a': a{i}, 'f': t, 'l': t}} "
+        f"ELSE {{'a': a{i}, 'f': least({e}.f, t), 'l': greatest({e}.l, t)}} END"
+    )
+    label = (
+        f"CASE WHEN afresh OR ignored OR {e} IS NULL OR t - {e}.l > {STAY.timeout_ms} THEN 0 "
+        f"WHEN t < {e}.f THEN {_crossing(f'{e}.l - {e}.f', f'{e}.l - t')} "
+        f"WHEN t > {e}.l THEN {_crossing(f'{e}.l - {e}.f', f't - {e}.f')} ELSE 0 END"
+    )
+    return f"{stay} AS n{i}, CAST({label} AS BIGINT) AS l{i}"
+
+
+# Records come in the order of seq, with times up to five days older than those before them.
+_LATE = f"ts_ms - (seq * 7919 % 5) * {30 * HOUR}"
+
+
+@query("late_policy", f"""
+, arrivals AS (SELECT seq, imsi, {_LATE} AS t, region AS a1, zone AS a2, row_number() OVER (PARTITION BY imsi ORDER BY seq) AS rn
+               FROM s JOIN cells USING (cell)),
+steps AS (
+  SELECT imsi, rn, seq, a1, a2, [{{'a': a1, 'f': t, 'l': t}}, {{'a': a2, 'f': t, 'l': t}}] AS stays, CAST(0 AS BIGINT) AS l1,
+         CAST(0 AS BIGINT) AS l2 FROM arrivals WHERE rn = 1
+  UNION ALL
+  SELECT imsi, rn, seq, a1, a2,
+         CASE WHEN afresh THEN [{{'a': a1, 'f': t, 'l': t}}, {{'a': a2, 'f': t, 'l': t}}] WHEN ignored THEN stays
+              ELSE list_concat([x for x in stays if x.a <> a1 AND x.a <> a2], [n1, n2]) END, l1, l2
+  FROM (SELECT *, {_entry(1)}, {_entry(2)}
+        FROM (SELECT n.*, p.stays, t - list_max([x.l for x in p.stays]) > {STAY.timeout_ms} AS afresh,
+                     list_max([x.l for x in p.stays]) - t > {STAY.timeout_ms} AS ignored,
+                     [x for x in p.stays if x.a = n.a1][1] AS e1, [x for x in p.stays if x.a = n.a2][1] AS e2
+              FROM steps p JOIN arrivals n ON n.imsi = p.imsi AND n.rn = p.rn + 1)))
+SELECT seq, imsi, a1 AS area, l1 AS stay FROM steps UNION ALL SELECT seq, imsi, a2, l2 FROM steps""")
+def late_policy(spark, sf_dir):
+    """Stays of records that come late: some move a beginning back, some are too old to count."""
+    records = signal_stream(spark, sf_dir).select("seq", "imsi", F.expr(_LATE).alias("ts_ms"), "lac", "ci")
+    labelled = label_users(label_site(records, sites(spark, sf_dir)), UserLabels(stay=STAY))
+    out = R.run_to_table(labelled.select("seq", "imsi", "area_onsite_stay"), "late")
+    return out.select("seq", "imsi", F.explode("area_onsite_stay").alias("area", "stay")).withColumn(
+        "stay", F.col("stay").cast("long")
+    )
