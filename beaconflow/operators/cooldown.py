@@ -13,12 +13,17 @@ at the column's first row there, whatever came before. So
 
 1. each column, on its own, follows the chain from the first row of every
    interval as long as it stays in the column;
-2. one walk over these (interval, column) summaries finds the entries that
-   really happen;
+2. a walk over these (interval, column) summaries finds the entries that
+   really happen. A summary leads to the first one after the point where its
+   chain leaves, so blocks of intervals are maps from the state a walk enters
+   with to the one it leaves with: the blocks are summed up side by side, one
+   short walk goes over the few states that lead out of them, and each block
+   then follows its own part;
 3. the main scan runs per (user, column) and fires only between an entry and
    the point where that chain leaves.
 
-This is exact, and no task sees more than one column of a hot user.
+This is exact, and no task sees more than one column, or one block of
+summaries, of a hot user.
 """
 
 from __future__ import annotations
@@ -33,13 +38,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from beaconflow.constants import COOLDOWN_MS
-from beaconflow.operators.skew import CARRY, DEFAULT_SKEW, HOT, SLICE, HotKeys, Skew, find_cuts, with_slices
+from beaconflow.operators.skew import CARRY, DEFAULT_SKEW, HOT, SLICE, Cuts, HotKeys, Skew, find_cuts, with_slices
+from beaconflow.session import shared_table
 
 _UNTIL = "__until"
 _FREE = "__free"
 _NEVER = np.iinfo(np.int64).min
 _ALWAYS = np.iinfo(np.int64).max
 _SPREAD = 64
+#: More than there can be columns, so (interval, column) is one number.
+_COLUMNS = 1 << 16
 
 
 def cooldown(
@@ -76,7 +84,7 @@ def cooldown(
     if cuts:
         hot = full.where(HOT).where(~F.col(_FREE)).select(user, SLICE, F.col(ts).cast("long").alias("entry"))
         full = full.unionByName(
-            _entries(hot, interval_ms, user).select(
+            _entries(hot, interval_ms, user, skew).select(
                 user,
                 SLICE,
                 F.lit(True).alias(HOT),
@@ -158,7 +166,7 @@ def _firing_scan(columns: list[str], user: str, ts: str, interval: int):
     return scan
 
 
-def _entries(hot: DataFrame, interval: int, user: str) -> DataFrame:
+def _entries(hot: DataFrame, interval: int, user: str, skew: Skew | HotKeys) -> DataFrame:
     """Where chains of hot users enter a column: (user, slice, entry time, last fired time inside)."""
     schema = T.StructType(
         [
@@ -173,15 +181,109 @@ def _entries(hot: DataFrame, interval: int, user: str) -> DataFrame:
         .sortWithinPartitions(user, SLICE, "entry")
         .mapInArrow(_chain_scan(user, interval), schema)
     )
+    cells = shared_table(cells.withColumn("__slot", F.floor(F.col("entry") / interval)), "cells")
+    blocks = HotKeys(cells, user, skew._skew if isinstance(skew, HotKeys) else skew).cuts(F.col("__slot"))
+    if blocks:
+        return _walk_blocks(cells, interval, user, blocks).select(*schema.names)
     return (
-        cells.withColumn("__slot", F.floor(F.col("entry") / interval))
-        .repartition(F.col(user))
+        cells.repartition(F.col(user))
         .sortWithinPartitions(user, "__slot", SLICE)
         .select(*schema.names)
         .mapInArrow(_walk_scan(user, interval), schema)
     )
 
 
+class _Block:
+    """Summaries of a block of intervals in order; a state is the place (interval, column) that a walk has reached."""
+
+    def __init__(self, table: pa.Table, interval: int):
+        get = lambda name: table.column(name).to_numpy()
+        column, entry, last = get("__column").astype(np.int64), get("entry"), get("last")
+        place = (entry // interval) * _COLUMNS + column
+        order = np.argsort(place)
+        self.column, self.entry, self.last, self.place = column[order], entry[order], last[order], place[order]
+        self.leaves = (self.last // interval + 1) * _COLUMNS + self.column
+        self.next = np.searchsorted(self.place, self.leaves, side="right")
+
+    def exits(self) -> np.ndarray:
+        """The state in which a walk that takes a summary leaves the block."""
+        n = len(self.place)
+        final = np.where(self.next < n, self.next, np.arange(n))
+        while True:
+            further = final[final]
+            if (further == final).all():
+                return self.leaves[final]
+            final = further
+
+    def first(self, states: np.ndarray) -> np.ndarray:
+        """The summary that a walk takes first; as many as there are, if none."""
+        return np.searchsorted(self.place, states, side="right")
+
+    def path(self, state: int) -> list[int]:
+        out, i = [], int(self.first(np.array([state]))[0])
+        while i < len(self.place):
+            out.append(i)
+            i = int(self.next[i])
+        return out
+
+
+def _walk_blocks(cells: DataFrame, interval: int, user: str, cuts: Cuts) -> DataFrame:
+    """The entries that the real chains make, block by block of intervals."""
+    rows = with_slices(cells.withColumnRenamed(SLICE, "__column"), user, F.col("__slot"), cuts).drop(HOT)
+    who = rows.schema[user]
+    rows = rows.select(user, SLICE, "__column", "entry", "last")
+
+    def schema(*longs: str) -> T.StructType:
+        return T.StructType([who, T.StructField(SLICE, T.IntegerType()), *[T.StructField(c, T.LongType()) for c in longs]])
+
+    def made(table: pa.Table, **columns: np.ndarray) -> pa.Table:
+        n = len(next(iter(columns.values())))
+        key = {c: pa.array([table.column(c)[0].as_py()] * n, table.schema.field(c).type) for c in (user, SLICE)}
+        return pa.table({**key, **{c: pa.array(x, pa.int64()) for c, x in columns.items()}})
+
+    def leave(table: pa.Table) -> pa.Table:
+        block = _Block(table, interval)
+        states = np.unique(block.exits())
+        return made(table, state=states, end=np.full(len(states), block.place[-1]))
+
+    def cross(table: pa.Table, states: pa.Table) -> pa.Table:
+        block, into = _Block(table, interval), states.column("state").to_numpy()
+        return made(table, state=into, out=block.exits()[block.first(into)])
+
+    def walk(table: pa.Table) -> pa.Table:
+        leads = {s: (o, b) for s, o, b in zip(*(table.column(c).to_pylist() for c in ("state", "out", SLICE)))}
+        state, states, places = _NEVER, [], []
+        while state in leads:
+            states.append(state)
+            state, place = leads[state]
+            places.append(place)
+        key = pa.array([table.column(user)[0].as_py()] * len(states), table.schema.field(user).type)
+        return pa.table({user: key, SLICE: pa.array(places, pa.int32()), "state": pa.array(states, pa.int64())})
+
+    def follow(table: pa.Table, states: pa.Table) -> pa.Table:
+        block = _Block(table, interval)
+        taken = block.path(states.column("state")[0].as_py()) if states.num_rows else []
+        found = made(table, entry=block.entry[taken], last=block.last[taken])
+        return found.set_column(1, SLICE, pa.array(block.column[taken], pa.int32()))
+
+    by_block = rows.groupBy(user, SLICE)
+    left = shared_table(by_block.applyInArrow(leave, schema("state", "end")), "exits")
+    ends = left.groupBy(user, SLICE).agg(F.max("end").alias("end"))
+    # Every state that leads out of a block leads into the first block with a summary after it.
+    states = left.select(user, "state").distinct()
+    into = states.join(F.broadcast(ends), user).where("end > state").groupBy(user, "state").agg(F.min(SLICE).alias(SLICE))
+    start = ends.groupBy(user).agg(F.lit(_NEVER).alias("state"), F.min(SLICE).alias(SLICE))
+    into = into.unionByName(start).select(user, SLICE, "state")
+    # Python sees both sides of a block only where there is something to cross or follow.
+    some = into.select(user, SLICE).distinct()
+    crossed = rows.join(some, [user, SLICE], "left_semi").groupBy(user, SLICE).cogroup(into.groupBy(user, SLICE)).applyInArrow(
+        cross, schema("state", "out")
+    )
+    path = shared_table(crossed.groupBy(user).applyInArrow(walk, schema("state")), "walk")
+    visited = rows.join(path.select(user, SLICE), [user, SLICE], "left_semi")
+    return visited.groupBy(user, SLICE).cogroup(path.groupBy(user, SLICE)).applyInArrow(follow, schema("entry", "last"))
+
+
 def _batch(template: pa.RecordBatch, user: str, users: list, slices: list, entries: list, lasts: list):
     return pa.RecordBatch.from_arrays(
         [

@@ -5,10 +5,11 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from beaconflow.operators import cooldown as C
 from beaconflow.operators.cooldown import cooldown
 from beaconflow.operators.correlate import correlate_sources, duplicate_keys_in_batch, last_active
 from beaconflow.operators.rules import EventRule, business_projection, event_rule_flags, event_rule_tree, split_expressions
-from beaconflow.operators.skew import Skew
+from beaconflow.operators.skew import SLICE, Skew, with_slices
 from beaconflow.streaming.events import EventLock
 
 TINY = Skew(share=8, min_rows=10)
@@ -195,3 +196,22 @@ def test_rows_without_time_or_user_fire_and_disturb_nobody(spark):
     for skew in (None, TINY):
         got = cooldown(frame(spark, rows + odd), 20, skew=skew).collect()
         assert sorted(map(str, map(tuple, got))) == sorted(map(str, [*greedy(rows, 20), *odd]))
+
+
+@pytest.mark.parametrize("interval", [1, 7, 60, 900, 20_000])
+def test_walks_in_blocks_fire_what_one_walk_fires(spark, interval, monkeypatch):
+    """Short and long intervals; no task of the walk gets more than a small part of the hot user's summaries."""
+    rng = random.Random(interval)
+    times = [rng.randrange(20_000) for _ in range(900)] + list(range(0, 20_000, 40)) + list(range(3, 20_000, 61))
+    rows = [("hot", t, i) for i, t in enumerate(times)] + [(f"u{i % 9}", t, 5000 + i) for i, t in enumerate(times[:200])]
+    sizes, real = [], C._walk_blocks
+
+    def watched(cells, width, user, cuts):
+        sizes.append((cells.count(), max(r["count"] for r in with_slices(cells.drop(SLICE), user, F.col("__slot"), cuts).groupBy(SLICE).count().collect())))
+        return real(cells, width, user, cuts)
+
+    monkeypatch.setattr(C, "_walk_blocks", watched)
+    got = cooldown(frame(spark, rows), interval, skew=Skew(share=10, min_rows=30))
+    assert fired(got) == greedy(rows, interval)
+    if interval <= 900:
+        assert sizes and all(largest < 0.2 * n + 30 for n, largest in sizes)
