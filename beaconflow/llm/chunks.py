@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,17 +29,30 @@ SHARD_BYTES = 8 << 20
 
 
 def pack(documents: DataFrame, text: str = "text") -> DataFrame:
-    """(chunk, n_bytes, docs): the rows as arrays, written once to the shared folder so that chunk numbers stay."""
-    schema = documents.schema
+    """(chunk, n_bytes, docs, sizes, texts): rows in packs, written once to the shared folder so that chunk numbers stay.
+
+    ``text`` (binary) becomes one compressed block for each chunk, with the size
+    of each text (-1: null), as chunks are shuffled to what is found for them.
+    """
+    rest = documents.drop(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
+        pressed = zstandard.ZstdCompressor(level=3)
         for batch in small_batches(batches, text, CHUNK_BYTES):
-            docs = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), pa.StructArray.from_arrays(batch.columns, batch.schema.names))
-            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([batch.get_total_buffer_size()]), docs], ["chunk", "n_bytes", "docs"])
+            texts = batch.column(text).to_pylist()
+            sizes = pa.array([-1 if t is None else len(t) for t in texts], pa.int64())
+            whole = b"".join(t for t in texts if t)
+            others = batch.drop_columns([text])
+            docs = pa.StructArray.from_arrays(others.columns, others.schema.names)
+            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.array([len(whole)]), one(docs), one(sizes), pa.array([pressed.compress(whole)], pa.binary())],
+                ["chunk", "n_bytes", "docs", "sizes", "texts"],
+            )
             number += 1
 
-    packed = documents.mapInArrow(run, f"chunk long, n_bytes long, docs array<{schema.simpleString()}>")
+    packed = documents.mapInArrow(run, f"chunk long, n_bytes long, docs array<{rest.schema.simpleString()}>, sizes array<long>, texts binary")
     path = new_shared_path(documents.sparkSession, "chunks")
     packed.write.option("compression", "zstd").parquet(path)
     return documents.sparkSession.read.schema(packed.schema).parquet(path)
@@ -51,12 +65,17 @@ def shard_count(chunks: DataFrame) -> int:
     return max(4 * partitions, total // SHARD_BYTES + 1)
 
 
-def documents_of(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.StructArray, dict]]:
-    """(chunk, its documents, its other columns) of each row of a packed batch."""
-    docs = batch.column("docs")
+def documents_of(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.StructArray, list[bytes | None], dict]]:
+    """(chunk, its documents, their texts, its other columns) of each row of a packed batch."""
+    own = ("chunk", "n_bytes", "docs", "sizes", "texts")
+    plain = zstandard.ZstdDecompressor()
     for i in range(batch.num_rows):
-        rest = {n: batch.column(n)[i].as_py() for n in batch.schema.names if n not in ("chunk", "n_bytes", "docs")}
-        yield batch.column("chunk")[i].as_py(), docs[i].values, rest
+        rest = {n: batch.column(n)[i].as_py() for n in batch.schema.names if n not in own}
+        whole, texts, at = plain.decompress(batch.column("texts")[i].as_py()), [], 0
+        for size in batch.column("sizes")[i].values.to_pylist():
+            texts.append(None if size < 0 else whole[at : at + size])
+            at += max(size, 0)
+        yield batch.column("chunk")[i].as_py(), batch.column("docs")[i].values, texts, rest
 
 
 def by_shard(chunk: int, keys: np.ndarray, shards: int, **values: np.ndarray) -> pa.RecordBatch:

@@ -79,8 +79,8 @@ class Classes(NamedTuple):
 class _Chunk:
     """Words of a chunk as codes of its distinct words, every document closed by END."""
 
-    def __init__(self, docs: pa.StructArray):
-        each = [lower_words(t) for t in docs.field("__text").to_pylist()]
+    def __init__(self, docs: pa.StructArray, texts: list[bytes | None]):
+        each = [lower_words(t) for t in texts]
         numbers: dict[bytes, int] = {END: 0}
         line = [numbers.setdefault(w, len(numbers)) for words in each for w in (*words, END)]
         self.codes = np.fromiter(line, np.int32, len(line))
@@ -93,8 +93,8 @@ def _send_counts(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            for chunk, docs, _ in documents_of(batch):
-                own = _Chunk(docs)
+            for chunk, docs, texts, _ in documents_of(batch):
+                own = _Chunk(docs, texts)
                 learned = np.bincount(own.codes[np.repeat(own.learned, own.counts)], minlength=len(own.words))
                 keys = cache.of(own.words)
                 shapes = np.fromiter(map(shape, own.words), np.uint8, len(own.words))
@@ -157,8 +157,8 @@ def _code(classes) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            for _, docs, rest in documents_of(batch):
-                own, (known, found) = _Chunk(docs), merged(rest["answers"])
+            for _, docs, texts, rest in documents_of(batch):
+                own, (known, found) = _Chunk(docs, texts), merged(rest["answers"])
                 keys = cache.of(own.words)
                 counts = found[lookup(keys, known)]
                 shapes = np.fromiter(map(shape, own.words), np.int64, len(own.words))

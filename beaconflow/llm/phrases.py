@@ -23,10 +23,10 @@ _LAST = np.iinfo(np.int64).max
 class _Words:
     """The words of a chunk's documents in one row, with the windows that lie within a document."""
 
-    def __init__(self, docs: pa.StructArray, cache: WordHashes, window: int):
+    def __init__(self, docs: pa.StructArray, texts: list[bytes | None], cache: WordHashes, window: int):
         self.ids = docs.field("doc_id").cast(pa.int64()).fill_null(_LAST).to_numpy(zero_copy_only=False)
         self.known = docs.field("doc_id").is_valid().to_numpy(zero_copy_only=False)
-        each = [space_words(t) for t in docs.field("__text").to_pylist()]
+        each = [space_words(t) for t in texts]
         self.counts = np.array([len(w) for w in each], np.int64)
         self.words = [w for words in each for w in words]
         self.ends = np.cumsum(self.counts)
@@ -60,8 +60,8 @@ def _send_phrases(window: int, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            for chunk, docs, _ in documents_of(batch):
-                words = _Words(docs, cache, window)
+            for chunk, docs, texts, _ in documents_of(batch):
+                words = _Words(docs, texts, cache, window)
                 if not words.inside.any():
                     continue
                 at = np.unique(_least_phrases(words, window)[words.inside])
@@ -120,9 +120,9 @@ def _send_windows(window: int, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            for chunk, docs, rest in documents_of(batch):
+            for chunk, docs, texts, rest in documents_of(batch):
                 phrases, _ = merged(rest["answers"])
-                words = _Words(docs, cache, window)
+                words = _Words(docs, texts, cache, window)
                 automaton = _automaton(words, phrases) if len(phrases) else None
                 if automaton is None or not words.inside.any():
                     continue
@@ -142,9 +142,9 @@ def _cover(window: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            for _, docs, rest in documents_of(batch):
+            for _, docs, texts, rest in documents_of(batch):
                 keys, least = merged(rest["answers"])
-                words = _Words(docs, cache, window)
+                words = _Words(docs, texts, cache, window)
                 edge = np.zeros(len(words.words) + 1, np.int64)
                 if len(keys) and len(words.inside):
                     place = lookup(sequence_hashes(words.hashes, window), keys)
@@ -158,7 +158,7 @@ def _cover(window: int, names: list[str]):
                     own = words.words[begin:end]
                     kept.append(b" ".join([w for w, k in zip(own, keep[begin:end].tolist(), strict=True) if k] if cut else own))
                     begin = end
-                columns = [docs.field(n) for n in names]
+                columns = [pa.array(texts, pa.binary()) if n == "__text" else docs.field(n) for n in names]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(words.counts), pa.array(removed.astype(np.int64)), pa.array(kept, pa.binary())],
                     [*names, "__n_words", "__n_removed", "__kept"],
@@ -214,9 +214,11 @@ def drop_repeated_passages(documents: DataFrame) -> DataFrame:
     A document that loses nothing stays as it is; one that loses words has the
     others joined by one blank.
     """
-    found = remove_repeated_words(documents)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    changed = {"text": text}
+    own = {c: f"__own_{c}" for c in ("n_words", "n_removed", "kept") if c in documents.columns}
+    found = remove_repeated_words(documents.withColumnsRenamed(own))
+    less = F.col("n_removed") > 0
+    new = {"text": F.when(less, F.col("kept")).otherwise(F.col("text"))}
     if "n_chars" in documents.columns:
-        changed["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept").cast(documents.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return found.withColumns(changed).select(*documents.columns)
+        count = F.length("kept").cast(documents.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(less, count).otherwise(F.col("n_chars"))
+    return found.select(*[new.get(c, F.col(own.get(c, c))).alias(c) for c in documents.columns])
