@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from beaconflow.llm import oracles
 from beaconflow.llm.bpe import Vocabulary, token_digests
 from beaconflow.llm.maxent import language_scores
 from beaconflow.llm.neardup import near_duplicates
@@ -39,20 +40,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op3_minhash_near_duplicates")
+@query("op3_minhash_near_duplicates", oracles.NEAR_DUPLICATES)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
-@query("op4_positional_decontamination")
+@query("op4_positional_decontamination", oracles.CONTAMINATION)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     names = F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", "n_items", names, "contaminated")
 
 
-@query("op5_repeated_phrase_automata")
+@query("op5_repeated_phrase_automata", oracles.REPEATED_WORDS)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeated_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

@@ -47,6 +47,11 @@ def near_duplicates(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int,
 
 def repeated_words(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, int, str]]:
     """doc_id -> (words, removed, digest of the rest), for distinct ids."""
+    return {doc: (n, gone, digest(text)) for doc, (n, gone, text) in rest_of_repeated(rows).items()}
+
+
+def rest_of_repeated(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, int, str]]:
+    """doc_id -> (words, removed, the rest)."""
     first: dict = {}
     words = {doc: SPACE.findall(text or "") for doc, text in rows}
     for doc in sorted(words):
@@ -59,7 +64,7 @@ def repeated_words(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, i
         for i in range(len(w) - 12):
             if first[tuple(w[i : i + 13])] < doc:
                 gone.update(range(i, i + 13))
-        out[doc] = (len(w), len(gone), digest(" ".join(x for i, x in enumerate(w) if i not in gone)))
+        out[doc] = (len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone))
     return out
 
 
