@@ -58,12 +58,15 @@ def cooldown(
     seq: str = "seq",
     free: str | None = None,
     skew: Skew | HotKeys | None = DEFAULT_SKEW,
+    clustered: bool = False,
 ) -> DataFrame:
     """The rows that fire. A row exactly ``interval`` after the last fired one fires again.
 
     Rows flagged in the column ``free``, which must come first in a user's
     time, fire without starting a rest. So do rows without a time or a user, as
-    no rest can be counted for them.
+    no rest can be counted for them. ``clustered`` says that ``rows`` come
+    straight from a window by user, so that they need no further shuffle unless
+    a user is cut.
     """
     if interval_ms <= 0:
         return rows
@@ -95,7 +98,9 @@ def cooldown(
             ),
             allowMissingColumns=True,
         )
-    placed = full.repartition(F.col(user), F.col(SLICE)).sortWithinPartitions(
+    if cuts or not clustered:
+        full = full.repartition(F.col(user), F.col(SLICE))
+    placed = full.sortWithinPartitions(
         user, SLICE, F.col(_FREE).desc(), ts, F.col(CARRY).desc(), seq
     )
     return placed.mapInArrow(_firing_scan(rows.columns, user, ts, interval_ms), rows.schema)

@@ -103,9 +103,9 @@ def correlate_sources(
         skew = HotKeys(rows, user, skew)
     marked = with_presence(rows, sources, delay_ms, user, ts, seq, source, skew)
     if require_all:
-        return cooldown(marked.where("complete").drop("complete"), interval_ms, user, ts, seq, skew=skew)
+        return cooldown(marked.where("complete").drop("complete"), interval_ms, user, ts, seq, skew=skew, clustered=True)
     marked = marked.withColumn("__early", ~F.col("complete")).drop("complete")
-    return cooldown(marked, interval_ms, user, ts, seq, free="__early", skew=skew).drop("__early")
+    return cooldown(marked, interval_ms, user, ts, seq, free="__early", skew=skew, clustered=True).drop("__early")
 
 
 def last_active(

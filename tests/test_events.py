@@ -215,3 +215,14 @@ def test_walks_in_blocks_fire_what_one_walk_fires(spark, interval, monkeypatch):
     assert fired(got) == greedy(rows, interval)
     if interval <= 900:
         assert sizes and all(largest < 0.2 * n + 30 for n, largest in sizes)
+
+
+def test_correlation_takes_one_shuffle(spark):
+    rows = spark.range(3000).selectExpr("concat('u', id % 40) as imsi", "id * 17 % 5000 as ts_ms", "id as seq", "if(id % 3 = 0, 'a', 'b') as source")
+    for require_all in (False, True):
+        df = correlate_sources(rows, ["a", "b"], 100, 1000, require_all)
+        df.count()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Exchange REPARTITION" not in plan
+        cut = correlate_sources(rows, ["a", "b"], 100, 1000, require_all, skew=TINY)
+        assert sorted(map(tuple, df.collect())) == sorted(map(tuple, cut.collect()))
