@@ -13,6 +13,9 @@ from beaconflow.functions.maps import empty_map, map_union, present_entries
 from beaconflow.operators.skew import DEFAULT_SKEW, HotKeys, Skew, detect_together, fits_broadcast, lookup_join
 
 
+_PLACE = ("geo_longitude", "geo_latitude")
+
+
 def site_key(lac: Column, ci: Column) -> Column:
     return F.concat_ws(":", lac, ci)
 
@@ -25,9 +28,13 @@ def area_flags(areas: Column) -> Column:
 
 
 def label_site(
-    records: DataFrame, sites: DataFrame, small: bool | None = None, skew: Skew | HotKeys | None = DEFAULT_SKEW
+    records: DataFrame,
+    sites: DataFrame,
+    small: bool | None = None,
+    skew: Skew | HotKeys | None = DEFAULT_SKEW,
+    geo: bool = False,
 ) -> DataFrame:
-    """Area flags and area information of the record's cell.
+    """Area flags and area information of the record's cell, with ``geo`` also what :func:`label_geo` adds, in one join.
 
     ``skew`` may name hot cells already known by their ``site_key``.
 
@@ -41,12 +48,17 @@ def label_site(
         site_key(F.col("lac"), F.col("ci")).alias("__cell"),
         area_flags(F.col("areas")).alias("__flags"),
         map_union(present_entries({c: F.col(c) for c in others}), own).alias("__info"),
+        *[F.col(c).cast("string").alias(c) for c in _PLACE if geo],
     )
     joined = lookup_join(
         records.withColumn("__cell", site_key(F.col("lac"), F.col("ci"))), table, "__cell", small=small, skew=skew
     )
     return joined.withColumns(
-        {AREA_ONSITE: F.coalesce("__flags", empty_map()), AREA_INFO: F.coalesce("__info", own)}
+        {
+            AREA_ONSITE: F.coalesce("__flags", empty_map()),
+            AREA_INFO: F.coalesce("__info", own),
+            **{c: F.coalesce(F.col(c), F.lit("0")) for c in _PLACE if geo},
+        }
     ).drop("__cell", "__flags", "__info")
 
 
@@ -94,14 +106,13 @@ def label_geo(
     """Coordinates of the record's cell as text, "0" where unknown."""
     table = sites.select(
         site_key(F.col("lac"), F.col("ci")).alias("__cell"),
-        F.col("geo_longitude").cast("string"),
-        F.col("geo_latitude").cast("string"),
+        *[F.col(c).cast("string").alias(c) for c in _PLACE],
     )
     joined = lookup_join(
         records.withColumn("__cell", site_key(F.col("lac"), F.col("ci"))), table, "__cell", small=small, skew=skew
     )
     return joined.withColumns(
-        {c: F.coalesce(F.col(c), F.lit("0")) for c in ("geo_longitude", "geo_latitude")}
+        {c: F.coalesce(F.col(c), F.lit("0")) for c in _PLACE}
     ).drop("__cell")
 
 

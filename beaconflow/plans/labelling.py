@@ -57,8 +57,15 @@ class LabelPlan:
 
     def stateless(self, records: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
         lookups = lookups if isinstance(lookups, Lookups) else Lookups(lookups)
+        # Areas and coordinates come from one lookup by one key: joined once if both are asked for.
+        kinds = {type(rule) for rule in self.rules}
+        once = {SiteLabels, GeoLabels} <= kinds
         for rule in self.rules:
-            records = rule.apply(records, lookups)
+            if not once or not isinstance(rule, (SiteLabels, GeoLabels)):
+                records = rule.apply(records, lookups)
+            elif AREA_ONSITE not in records.columns:
+                joined = label_site(records, lookups["sites"], lookups.small("sites"), geo=True)
+                records = joined.withColumn("lac_ci", F.concat("lac", "ci"))
         return records
 
     def label(self, records: DataFrame, lookups: dict[str, DataFrame], skew: Skew | HotKeys | None = DEFAULT_SKEW) -> DataFrame:

@@ -13,6 +13,7 @@ def _case(limits, text):
     return limits, rows
 
 
+# Times, areas and labels that must come out; the notation only serves reading.
 CASES = {
     "1": _case(L20, "08:00 a1=0; 08:00 a1=0, a2=0; 08:00 a1=0, a2=0, a3=0"),
     "2": _case(L20, "08:00 a1=0; 08:17 a1=0; 08:27 a1=20; 08:37 a1=0; 08:57 a1=0"),

@@ -5,6 +5,7 @@ from beaconflow.constants import ANONYMOUS_ID
 from beaconflow.functions.maps import map_union
 from beaconflow.operators import lookups as J
 from beaconflow.operators.skew import Skew, detect_together, fits_broadcast, lookup_join
+from beaconflow.plans.labelling import GeoLabels, LabelPlan, SiteLabels
 from beaconflow.operators.track import last_device, movement, track
 
 TINY = Skew(share=8, min_rows=10)
@@ -148,3 +149,16 @@ def test_hot_ids_of_both_parties_are_found_before_the_joins(spark):
     plain = J.label_profile(records, profiles, ["n"], small=True)
     assert as_rows(J.label_profile(records, profiles, ["n"], small=False, skew=TINY)) == as_rows(plain)
     assert as_rows(J.label_profile(records, profiles, ["n"], small=False, skew=None)) == as_rows(plain)
+
+
+def test_areas_and_coordinates_come_from_one_join(spark):
+    sites = spark.createDataFrame([("1", "2", "a,b", "3.5", "4.5"), ("9", "9", "c", None, "1")], "lac string, ci string, areas string, geo_longitude string, geo_latitude string")
+    records = spark.createDataFrame([("1", "2"), ("9", "9"), ("0", "0")], "lac string, ci string")
+    lookups = {"sites": sites}
+    plan = LabelPlan([GeoLabels(), SiteLabels()]).stateless(records, lookups)
+    apart = LabelPlan([SiteLabels()]).stateless(LabelPlan([GeoLabels()]).stateless(records, lookups), lookups)
+    columns = ["lac", "lac_ci", "geo_longitude", "geo_latitude", "area_onsite", "area_info"]
+    as_rows = lambda df: sorted((str(tuple(r)) for r in df.select(columns).collect()))
+    assert as_rows(plan) == as_rows(apart)
+    plan.collect()
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
