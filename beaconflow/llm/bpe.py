@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 
 from beaconflow.llm.words import small_batches
 
-#: Distinct pieces whose tokens a worker remembers; a full memory is emptied.
-MEMORY = 400_000
+#: Distinct pieces whose tokens a worker remembers, and pairs of tokens; a full memory is emptied.
+MEMORY, PAIRS = 150_000, 250_000
 #: Below this code point, Unicode versions agree on letters, digits and blanks.
 AGREED = 0x500
 
@@ -146,7 +146,7 @@ class Encoder(dict):
                 if inner == b:
                     break
                 b = inner
-        if len(self.fits) >= 4 * MEMORY:
+        if len(self.fits) >= PAIRS:
             self.fits.clear()
         self.fits[(first, second)] = answer
         return answer

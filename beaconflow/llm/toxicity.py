@@ -24,8 +24,8 @@ EPOCHS, BATCH = 12, 128
 #: Lengths of the character n-grams, and buckets that words and n-grams are hashed to.
 CHAR_SIZES = (3, 4, 5, 6, 7)
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 17, 1 << 19
-#: Distinct words that a task keeps the inputs of.
-MEMORY = 200_000
+#: Distinct words that a task keeps the inputs of, and words whose n-grams are in memory at once.
+MEMORY, BLOCK = 100_000, 8192
 #: Windows that go through the network at once.
 WIDTH = 4096
 
@@ -84,6 +84,10 @@ class Inputs:
         return np.clip(z / 4, -2, 4).astype(np.float32)
 
     def of(self, words: list[bytes]) -> np.ndarray:
+        blocks = [self._block(words[i : i + BLOCK]) for i in range(0, len(words), BLOCK)]
+        return np.vstack(blocks) if blocks else np.zeros((0, self.SIZE), np.float32)
+
+    def _block(self, words: list[bytes]) -> np.ndarray:
         out = np.zeros((len(words), self.SIZE), np.float32)
         if words:
             bucket, (chars, owner, begins) = _word_buckets(words), _char_buckets(words)
@@ -119,7 +123,7 @@ class _Codes(dict):
         if fresh:
             end = self.used + len(fresh)
             if end > len(self.gates):
-                self.gates = np.vstack([self.gates, np.empty((max(end, 2 * len(self.gates)) - len(self.gates), self.gates.shape[1]), np.float32)])
+                self.gates = np.vstack([self.gates, np.empty((max(end, len(self.gates) * 5 // 4) - len(self.gates), self.gates.shape[1]), np.float32)])
             self.gates[self.used : end] = self.network.project(self.inputs.of(fresh))
             self.update(zip(fresh, range(self.used, end), strict=True))
             self.used = end

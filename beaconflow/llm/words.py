@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Distinct words that a task remembers the hash of; a full memory is emptied.
-MEMORY = 400_000
+MEMORY = 150_000
 
 #: Odd multiplier that chains word hashes into sequence hashes.
 CHAIN = np.uint64(0x9E3779B97F4A7C15)
@@ -76,3 +76,5 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, budget: int) -
             end = max(begin + 1, int(np.searchsorted(ends, base + budget, side="right")))
             yield batch.slice(begin, end - begin)
             begin = end
+    # workers are used again: what a task has freed should not stay with them
+    pa.default_memory_pool().release_unused()
