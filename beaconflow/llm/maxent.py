@@ -12,6 +12,7 @@ have once.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -30,6 +31,7 @@ OWN_CLASS = 1 / 512
 SHAPES = 32
 #: Hash buckets of the three kinds of features: the word before, the classes of the two before, those before the last.
 BUCKETS = (1 << 14, 1 << 13, 1 << 13)
+_BASES = (0, BUCKETS[0], BUCKETS[0] + BUCKETS[1])
 #: Tokens of a gradient step, and the first step's length.
 STEP, RATE = 8192, 0.4
 #: Row ranges of the weights that are merged apart, and how many tasks' weights meet in one task.
@@ -38,13 +40,17 @@ RANGES, FAN_IN = 16, 64
 #: The token that ends every text; no word holds a blank.
 END = b" "
 
-_MARKS = frozenset(b".,;:!?")
+_MARKS = np.isin(np.arange(256), list(b".,;:!?"))
 
 
-def shape(word: bytes) -> int:
-    """One of SHAPES classes, from the first two bytes and the last."""
-    half = SHAPES // 2
-    return (word[0] * 31 + (word[1] if len(word) > 1 else 0) * 17) % half + half * (word[-1] in _MARKS)
+def shapes_of(words: list[bytes]) -> np.ndarray:
+    """One of SHAPES classes of each word, from its first two bytes and its last."""
+    line = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(sizes)
+    first, half = ends - sizes, SHAPES // 2
+    second = np.where(sizes > 1, line[np.minimum(first + 1, ends - 1)], 0)
+    return (line[first] * 31 + second * 17) % half + half * _MARKS[line[ends - 1]]
 
 
 def learns(doc_id: str = "doc_id"):
@@ -81,11 +87,13 @@ class _Chunk:
 
     def __init__(self, docs: pa.StructArray, texts: list[bytes | None]):
         each = [lower_words(t) for t in texts]
-        numbers: dict[bytes, int] = {END: 0}
-        line = [numbers.setdefault(w, len(numbers)) for words in each for w in (*words, END)]
-        self.codes = np.fromiter(line, np.int32, len(line))
-        self.counts = np.array([len(w) + 1 for w in each], np.int64)
-        self.words = list(numbers)
+        for words in each:
+            words.append(END)
+        line = list(chain.from_iterable(each))
+        self.words = list(dict.fromkeys([END, *line]))
+        numbers = dict(zip(self.words, range(len(self.words)), strict=True))
+        self.codes = np.fromiter(map(numbers.__getitem__, line), np.int32, len(line))
+        self.counts = np.fromiter(map(len, each), np.int64, len(each))
         self.learned = docs.field("__learned").to_numpy(zero_copy_only=False).astype(bool)
 
 
@@ -97,7 +105,7 @@ def _send_counts(shards: int):
                 own = _Chunk(docs, texts)
                 learned = np.bincount(own.codes[np.repeat(own.learned, own.counts)], minlength=len(own.words))
                 keys = cache.of(own.words)
-                shapes = np.fromiter(map(shape, own.words), np.uint8, len(own.words))
+                shapes = shapes_of(own.words).astype(np.uint8)
                 order = np.argsort(keys)
                 yield by_shard(chunk, keys[order], shards, count=learned[order], shape=shapes[order])
 
@@ -161,7 +169,7 @@ def _code(classes) -> object:
                 own, (known, found) = _Chunk(docs, texts), merged(rest["answers"])
                 keys = cache.of(own.words)
                 counts = found[lookup(keys, known)]
-                shapes = np.fromiter(map(shape, own.words), np.int64, len(own.words))
+                shapes = shapes_of(own.words)
                 kind = np.where(counts > 0, classes.value.of(keys, shapes), classes.value.unknown)
                 bucket = (keys >> np.uint64(20)) % np.uint64(BUCKETS[0])
                 one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
@@ -198,19 +206,37 @@ class _Tokens:
         self.features = np.column_stack(
             [
                 back(bucket, 1, 1),
-                BUCKETS[0] + spread(before[0] * many + before[1], BUCKETS[1]),
-                BUCKETS[0] + BUCKETS[1] + spread(before[1] * many + before[2], BUCKETS[2]),
+                _BASES[1] + spread(before[0] * many + before[1], BUCKETS[1]),
+                _BASES[2] + spread(before[1] * many + before[2], BUCKETS[2]),
             ]
         )
 
 
-def _log_softmax(weights: np.ndarray, prior: np.ndarray, features: np.ndarray) -> np.ndarray:
-    logit = weights[features[:, 0]] + prior
+def _exponentials(weights: np.ndarray, prior: np.ndarray, features: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Exponentials of the summed weights of each token's features by class, their sums, and the logit of ``target``.
+
+    One common shift keeps them in range; should a token lie so far below it
+    that nothing of it is left, each token is shifted by itself.
+    """
+    logit = weights.take(features[:, 0], axis=0)
     for j in range(1, features.shape[1]):
-        logit += weights[features[:, j]]
-    logit -= logit.max(axis=1, keepdims=True)
-    logit -= np.log(np.exp(logit).sum(axis=1, keepdims=True))
-    return logit
+        logit += weights.take(features[:, j], axis=0)
+    logit += prior
+    logit -= logit.max()
+    one, place = np.ones(len(prior), np.float32), np.arange(len(target))
+    own, power = logit[place, target], np.exp(logit)
+    total = power @ one
+    if total.size and total.min() < 1e-30:
+        logit -= logit.max(axis=1, keepdims=True)
+        own, power = logit[place, target], np.exp(logit)
+        total = power @ one
+    return power, total, own
+
+
+def _log_probability(weights: np.ndarray, prior: np.ndarray, features: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log-probability of each token's class ``target``."""
+    _, total, own = _exponentials(weights, prior, features, target)
+    return own - np.log(total)
 
 
 class _Learner:
@@ -224,13 +250,18 @@ class _Learner:
     def learn(self, features: np.ndarray, target: np.ndarray) -> None:
         for i in range(0, len(target), STEP):
             own, goal = features[i : i + STEP], target[i : i + STEP]
-            gradient = np.exp(_log_softmax(self.weights, self.prior, own))
+            gradient, total, _ = _exponentials(self.weights, self.prior, own, goal)
+            gradient /= total[:, None]
             gradient[np.arange(len(goal)), goal] -= 1
-            for j in range(own.shape[1]):
-                order = np.argsort(own[:, j], kind="stable")
-                rows, starts = np.unique(own[order, j], return_index=True)
+            for j, base in enumerate(_BASES):
+                # 16-bit integers are sorted by their digits, in linear time
+                local = (own[:, j] - base).astype(np.int16)
+                order = np.argsort(local, kind="stable")
+                local = local[order]
+                starts = np.flatnonzero(np.r_[True, local[1:] != local[:-1]])
+                rows = local[starts].astype(np.int64) + base
                 uses = np.diff(np.append(starts, len(goal))).astype(np.float32)
-                slope = np.add.reduceat(gradient[order], starts, axis=0)
+                slope = np.add.reduceat(gradient.take(order, axis=0), starts, axis=0)
                 self.square[rows] += (slope * slope).sum(axis=1)
                 self.uses[rows] += uses
                 self.weights[rows] -= RATE * slope / np.sqrt(self.square[rows] + 1)[:, None]
@@ -316,8 +347,7 @@ def _score(model, classes) -> object:
                 tokens = _Tokens(batch, i, fixed)
                 own = fixed.within(tokens.count, tokens.kind)
                 for k in range(0, len(own), STEP):
-                    log = _log_softmax(model.value, prior, tokens.features[k : k + STEP])
-                    own[k : k + STEP] += log[np.arange(len(log)), tokens.kind[k : k + STEP]]
+                    own[k : k + STEP] += _log_probability(model.value, prior, tokens.features[k : k + STEP], tokens.kind[k : k + STEP])
                 sums = lambda x: np.bincount(tokens.doc, x, minlength=len(tokens.n))
                 yield pa.RecordBatch.from_arrays(
                     [
