@@ -2,11 +2,13 @@
 
 The probability of a word is that of its class, given the words before, times
 that of the word within its class. The class is a softmax over the sum of the
-weights of hashed context features, on top of the log-frequency of the class;
-within a class a word has its smoothed relative frequency, which is what a
-softmax with one feature for each word comes to. A word that training texts do
-not have is one type with a class of its own, fitted on the words that they
-have once.
+weights of hashed context features, on top of the log-frequency of the class.
+Within a class a word is told by the word before it and the one before that:
+counts of the pairs back off from the nearer to the farther word and to the
+smoothed relative frequency. All pairs of the training texts are counted, by
+64-bit hashes in shards, so that table grows with the texts. A word that
+training texts do not have is one type with a class of its own, fitted on the
+words that they have once.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +40,10 @@ STEP, RATE = 8192, 0.4
 #: Row ranges of the weights that are merged apart, and how many tasks' weights meet in one task.
 RANGES, FAN_IN = 16, 64
 
+#: Words back that tell the words of a class apart, the farthest first, and how many uses of the next one in line
+#: their counts are mixed with.
+BACK, MIXED = (2, 1), 64.0
+
 #: The token that ends every text; no word holds a blank.
 END = b" "
 
@@ -158,40 +165,57 @@ def _classes(rows: DataFrame) -> Classes:
     return Classes(np.array(own, np.uint64), uses + 0.5 * words, np.log(prior / prior.sum()), tokens, types)
 
 
-_CODED = "doc_ids array<long>, learned array<boolean>, n array<long>, codes array<int>, counts array<long>, classes array<int>, buckets array<int>"
+def in_context(within: np.ndarray, uses: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Log-probability of words within their classes, given what came before.
+
+    ``within`` is that without context. ``uses`` has, for each of BACK, how
+    often the context had any word of the class and how often this one.
+    """
+    chance = np.exp(within)
+    for context, both in uses:
+        chance = (both + MIXED * chance) / (context + MIXED)
+    return np.log(chance)
+
+
+_CODED = "chunk long, doc_ids array<long>, learned array<boolean>, n array<long>, codes array<int>, counts array<long>, classes array<int>, keys array<long>"
 
 
 def _code(classes) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            for _, docs, texts, rest in documents_of(batch):
+            for chunk, docs, texts, rest in documents_of(batch):
                 own, (known, found) = _Chunk(docs, texts), merged(rest["answers"])
                 keys = cache.of(own.words)
                 counts = found[lookup(keys, known)]
                 shapes = shapes_of(own.words)
                 kind = np.where(counts > 0, classes.value.of(keys, shapes), classes.value.unknown)
-                bucket = (keys >> np.uint64(20)) % np.uint64(BUCKETS[0])
                 one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-                columns = [docs.field("doc_id").cast(pa.int64()), pa.array(own.learned), *map(pa.array, (own.counts, own.codes, counts, kind.astype(np.int32), bucket.astype(np.int32)))]
-                yield pa.RecordBatch.from_arrays([one(c) for c in columns], ["doc_ids", "learned", "n", "codes", "counts", "classes", "buckets"])
+                columns = [docs.field("doc_id").cast(pa.int64()), pa.array(own.learned), *map(pa.array, (own.counts, own.codes, counts, kind.astype(np.int32), keys.view(np.int64)))]
+                names = ["chunk", "doc_ids", "learned", "n", "codes", "counts", "classes", "keys"]
+                yield pa.RecordBatch.from_arrays([pa.array([chunk]), *(one(c) for c in columns)], names)
 
     return run
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
 class _Tokens:
-    """A coded chunk: for each token its document, class and features."""
+    """A coded chunk: for each token its document, class and features; and the keys of its contexts."""
 
     def __init__(self, batch: pa.RecordBatch, row: int, classes: Classes):
         get = lambda name: batch.column(name)[row].values.to_numpy(zero_copy_only=False)
         self.ids, self.learned, self.n = batch.column("doc_ids")[row].values, get("learned").astype(bool), get("n")
-        codes, counts, kinds = get("codes"), get("counts"), get("classes").astype(np.int64)
+        codes, counts, kinds, keys = get("codes"), get("counts"), get("classes").astype(np.int64), get("keys").view(np.uint64)
         self.doc = np.repeat(np.arange(len(self.n)), self.n)
         self.count, self.kind = counts[codes], kinds[codes]
         # what comes once tells as little about the next word as what never came
         rare = counts <= 1
         self.seen = np.where(rare, classes.unknown, kinds)[codes]
-        bucket = np.where(rare, 0, get("buckets"))[codes]
+        bucket = np.where(rare, 0, ((keys >> np.uint64(20)) % np.uint64(BUCKETS[0])).astype(np.int64))[codes]
         place = np.arange(len(codes)) - np.repeat(np.cumsum(self.n) - self.n, self.n)
         many = len(classes.prior) + 1
 
@@ -210,6 +234,22 @@ class _Tokens:
                 _BASES[2] + spread(before[1] * many + before[2], BUCKETS[2]),
             ]
         )
+        self.inner = np.flatnonzero((self.kind >= len(classes.own)) & (self.count > 0))
+        self._word, self._heard = keys[codes][self.inner], np.where(rare, np.uint64(1), keys)[codes].view(np.int64)
+        self._back = [back(self._heard, k, 0)[self.inner].view(np.uint64) for k in BACK]
+
+    def contexts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct keys of the contexts of the ``inner`` tokens, without and with their words; and the place of each.
+
+        The places have a row for each of BACK, without and with the word in turn.
+        A context is a word some way back and the class of the token.
+        """
+        kind, out = self.kind[self.inner].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), []
+        for k, word in zip(BACK, self._back, strict=True):
+            context = _mixed(_mixed(word + np.uint64(k)) + kind)
+            out += [context, _mixed(context ^ _mixed(self._word))]
+        keys, place = np.unique(np.concatenate(out), return_inverse=True)
+        return keys, place.reshape(len(out), -1)
 
 
 def _exponentials(weights: np.ndarray, prior: np.ndarray, features: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -338,7 +378,40 @@ def learn(coded: DataFrame, classes: Classes, passes: int = 1) -> np.ndarray:
     return weights
 
 
-def _score(model, classes) -> object:
+def _send_contexts(shards: int, classes) -> object:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                tokens = _Tokens(batch, i, classes.value)
+                keys, place = tokens.contexts()
+                learned = tokens.learned[tokens.doc][tokens.inner].astype(np.float64)
+                count = np.bincount(place.ravel(), np.tile(learned, len(place)), minlength=len(keys))
+                yield by_shard(batch.column("chunk")[i].as_py(), keys, shards, count=count.astype(np.uint32))
+
+    return run
+
+
+def _context_totals(table: pa.Table) -> pa.Table:
+    """What all chunks together have of the keys of a shard, told to each in the order in which it sent them."""
+    sent = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
+    counts = np.frombuffer(b"".join(table.column("count").to_pylist()), np.uint32)
+    _, place = np.unique(np.concatenate(sent), return_inverse=True)
+    total = np.bincount(place, counts).astype(np.int64)[place]
+    pressed = zstandard.ZstdCompressor(level=3)
+    found = [pressed.compress(t.tobytes()) for t in np.split(total, np.cumsum([len(k) for k in sent])[:-1])]
+    return pa.table({"chunk": table.column("chunk"), "shard": table.column("shard"), "found": pa.array(found, pa.binary())})
+
+
+def _totals_of(keys: np.ndarray, shards: int, told: list[dict] | None) -> np.ndarray:
+    """The totals that the shards told a chunk, for its sorted ``keys``."""
+    total, plain = np.zeros(len(keys), np.int64), zstandard.ZstdDecompressor()
+    if told:
+        order = np.argsort((keys % np.uint64(shards)).astype(np.int64), kind="stable")
+        total[order] = np.frombuffer(b"".join(plain.decompress(t["found"]) for t in sorted(told, key=lambda t: t["shard"])), np.int64)
+    return total
+
+
+def _score(model, classes, shards: int) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fixed: Classes = classes.value
         prior, floor = fixed.prior.astype(np.float32), fixed.tokens + 0.5 * (fixed.types + 1)
@@ -346,6 +419,9 @@ def _score(model, classes) -> object:
             for i in range(batch.num_rows):
                 tokens = _Tokens(batch, i, fixed)
                 own = fixed.within(tokens.count, tokens.kind)
+                keys, place = tokens.contexts()
+                uses = _totals_of(keys, shards, batch.column("told")[i].as_py())[place]
+                own[tokens.inner] = in_context(own[tokens.inner], list(zip(uses[::2], uses[1::2], strict=True)))
                 for k in range(0, len(own), STEP):
                     own[k : k + STEP] += _log_probability(model.value, prior, tokens.features[k : k + STEP], tokens.kind[k : k + STEP])
                 sums = lambda x: np.bincount(tokens.doc, x, minlength=len(tokens.n))
@@ -369,7 +445,7 @@ def language_scores(documents: DataFrame, passes: int = 1) -> DataFrame:
 
     Tokens are the words of the text, A-Z folded, and one end. Counts and model
     come from all documents that are learned from (:func:`learns`), every token
-    of them. base_score is the log10 probability under smoothed token
+    of them, pairs of words included. base_score is the log10 probability under smoothed token
     frequencies, score that under the model; n_known counts tokens that are in
     the learned texts, train_tokens all tokens of these.
 
@@ -380,7 +456,8 @@ def language_scores(documents: DataFrame, passes: int = 1) -> DataFrame:
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("__text"), learns().alias("__learned"))
     chunks = pack(rows, "__text")
-    sent = chunks.mapInArrow(_send_counts(shard_count(chunks)), "chunk long, shard long, keys binary, count binary, shape binary")
+    shards = shard_count(chunks)
+    sent = chunks.mapInArrow(_send_counts(shards), "chunk long, shard long, keys binary, count binary, shape binary")
     found = shared_table(answered(sent, _total, {"count": np.int64, "shape": np.uint8}, _summary), "word_counts")
     classes = _classes(found)
     context = documents.sparkSession.sparkContext
@@ -388,5 +465,8 @@ def language_scores(documents: DataFrame, passes: int = 1) -> DataFrame:
     told = chunks.join(by_chunk(found), "chunk", "left")
     coded = shared_table(told.mapInArrow(_code(fixed), _CODED), "coded")
     model = context.broadcast(learn(coded, classes, passes))
-    out = coded.mapInArrow(_score(model, fixed), "doc_id long, learned boolean, n_tokens long, n_known long, base_score double, score double")
+    pairs = coded.mapInArrow(_send_contexts(shards, fixed), "chunk long, shard long, keys binary, count binary")
+    totals = pairs.groupBy("shard").applyInArrow(_context_totals, "chunk long, shard long, found binary")
+    totals = totals.groupBy("chunk").agg(F.collect_list(F.struct("shard", "found")).alias("told"))
+    out = coded.join(totals, "chunk", "left").mapInArrow(_score(model, fixed, shards), "doc_id long, learned boolean, n_tokens long, n_known long, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(classes.tokens).cast("long"))

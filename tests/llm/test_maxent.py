@@ -99,3 +99,23 @@ def test_edge_cases(spark):
     nothing = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
     assert [(r.n_known, r.train_tokens, r.base_score) for r in language_scores(spark.createDataFrame([(nothing, "a")], SCHEMA)).collect()] == [(0, 0, 0.0)]
     assert language_scores(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_the_word_before_tells_words_of_one_class_apart(spark):
+    """No word has a class of its own; all that come second are of one shape and as frequent."""
+    ids = iter(range(100_000))
+    crc = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    learned, held = (lambda: next(i for i in ids if not crc(i))), (lambda: next(i for i in ids if crc(i)))
+    rows = [(learned(), f"le{i} ri{i} {far} to{i}") for i in range(600) for far in ("xx", "yy", "zz")]
+    right, wrong, skip, other = [(held(), t) for t in ("le7 ri7", "le7 ri8", "ri7 aa to7", "ri7 aa to8")]
+    score = {r.doc_id: r.score for r in check(language_scores(spark.createDataFrame([*rows, right, wrong, skip, other], SCHEMA)), [*rows, right, wrong, skip, other])}
+    assert score[right[0]] > score[wrong[0]] + 1
+    assert score[skip[0]] > score[other[0]] + 0.3
+
+
+def test_words_of_a_class_sum_to_one_in_context():
+    rng = np.random.default_rng(3)
+    uses = [(np.full(50, n.sum()), n) for n in rng.integers(0, 3, (2, 50))]
+    share = rng.random(50)
+    chance = np.exp(maxent.in_context(np.log(share / share.sum()), uses))
+    assert chance.sum() == pytest.approx(1) and chance.argmax() in np.flatnonzero(uses[1][1] == uses[1][1].max())
