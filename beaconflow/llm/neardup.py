@@ -18,9 +18,10 @@ from beaconflow.session import shared_table
 BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
 #: Bits of an odd sketch.
-BITS = 256
-#: What the estimate may fall short by before a candidate is dropped: over four standard deviations at 0.75.
-MARGIN = 0.2
+BITS = 1024
+#: What the estimate may fall short by before a candidate is dropped. A pair at 0.75 has more differing bits with
+#: probability 4.6e-7 (each differing sample throws two of BITS), so bands and sketch together lose 5.6e-6.
+MARGIN = 0.22
 #: Members of a bucket in one block of the second candidate search.
 BLOCK = 1024
 #: Ids of candidates that are broadcast to the scan of the texts; more are joined by shuffle.

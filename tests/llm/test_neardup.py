@@ -1,4 +1,5 @@
 import random
+from math import comb
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -73,3 +74,26 @@ def test_components_of_chains_and_stars(spark):
     assert out.select("node").distinct().count() == out.count() == 61 + 401
     sizes = out.groupBy("component").agg(F.count("*").alias("n")).collect()
     assert {(r.component, r.n) for r in sizes} == {(100, 61), (7, 401)}
+
+
+def test_sketches_drop_no_pair_at_the_threshold():
+    """20,000 pairs of a similarity of exactly 0.75, judged by the sketches' limit."""
+    rng = np.random.default_rng(5)
+    common, own = rng.integers(1, 2**62, (20_000, 1, 30)), rng.integers(1, 2**62, (20_000, 2, 5))
+    sets = np.concatenate([np.repeat(common, 2, axis=1), own], axis=2).astype(np.uint64).reshape(40_000, 35)
+    s = neardup._fold(neardup._min_samples(list(sets))).view(np.uint64)
+    bits = np.bitwise_count(s[::2] ^ s[1::2]).sum(axis=1)
+    assert bits.max() <= neardup.most_differing_bits(0.75 - neardup.MARGIN)
+
+
+def test_sketches_lose_less_than_the_bands():
+    """The chance that a pair at 0.75 has too many differing bits, from the chain of odd bins under random throws."""
+    samples, bits, most = neardup.SAMPLES, neardup.BITS, neardup.most_differing_bits(0.75 - neardup.MARGIN)
+    odd, k, lost = np.eye(1, bits + 1)[0], np.arange(bits + 1), 0.0
+    for differing in range(samples + 1):
+        lost += comb(samples, differing) * 0.25**differing * 0.75 ** (samples - differing) * odd[most + 1 :].sum()
+        for _ in range(2):
+            more = odd * (bits - k) / bits
+            less = odd * k / bits
+            odd = np.r_[0, more[:-1]] + np.r_[less[1:], 0]
+    assert lost < 0.1 * (1 - 0.75**neardup.ROWS) ** neardup.BANDS
