@@ -14,10 +14,13 @@ from beaconflow.llm.maxent import language_scores
 from beaconflow.llm.neardup import near_duplicates
 from beaconflow.llm.neighbours import every_nearest
 from beaconflow.llm.phrases import remove_repeated_words
+from beaconflow.llm.pigeonhole import near_vectors
 from beaconflow.llm.positions import contamination
 from beaconflow.llm.quality import quality
+from beaconflow.llm.repair import damage, repair_conversations
 from beaconflow.llm.sharding import balanced_shards
 from beaconflow.llm.toxicity import toxicity
+from beaconflow.llm.trie import prefix_trie, rebuilt, turn_sequences
 from beaconflow.llm.urls import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +102,20 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(~F.col("learned") & F.col("doc_id").isNotNull(), F.lit(False)).alias("held_out")
     found = language_scores(table(spark, sf_dir, "documents"))
     return found.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op11_ternary_prefix_trie", oracles.PREFIX_TRIE)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(rebuilt(turn_sequences(table(spark, sf_dir, "conversations"))))
+
+
+@query("op12_pigeonhole_vectors", oracles.NEAR_VECTORS)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+@query("op13_structure_repair", oracles.REPAIRED)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repair_conversations(damage(table(spark, sf_dir, "conversations")))
+    turns = F.transform("repaired", lambda t: F.concat(t["role"], F.lit(":"), t["text"]))
+    return found.withColumn("repaired_sha256", F.sha2(F.array_join(turns, "\n"), 256)).drop("repaired")
