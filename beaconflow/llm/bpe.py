@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import sys
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -17,8 +19,12 @@ from pyspark.sql import types as T
 
 from beaconflow.llm.words import small_batches
 
-#: Distinct pieces whose tokens a worker remembers, and pairs of tokens; a full memory is emptied.
-MEMORY, PAIRS = 150_000, 250_000
+#: Distinct pieces whose tokens a worker remembers, in two generations; the older goes when the younger is full.
+MEMORY = 500_000
+#: Pairs of tokens that a worker remembers; a full memory is emptied.
+PAIRS = 250_000
+#: Pieces that are looked up together, and the longest that is remembered (in characters).
+SLAB, LONG = 50_000, 256
 #: Below this code point, Unicode versions agree on letters, digits and blanks.
 AGREED = 0x500
 
@@ -99,10 +105,13 @@ class Encoder(dict):
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.spelling, self.ids, self.added = vocabulary.spelling, vocabulary.ids, vocabulary.added
+        self.older: dict[str, bytes] = {}
+        self.spelling, self.added = vocabulary.spelling, vocabulary.added
+        self.packed = [int(i).to_bytes(4, sys.byteorder) for i in vocabulary.ids]
         n = len(self.spelling)
         base = n - len(vocabulary.parts)
         self.length = [len(s) for s in self.spelling]
+        self.added_values = {t: i.to_bytes(4, sys.byteorder) for t, i in self.added.items()}
         #: pair of tokens -> the token they merge into
         self.merge = {pair: base + i for i, pair in enumerate(vocabulary.parts)}
         self.left = [*range(base), *(a for a, _ in vocabulary.parts)]
@@ -111,8 +120,11 @@ class Encoder(dict):
         #: the longest token that is a proper prefix of each
         self.shorter = [next((number[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in number), -1) for s in self.spelling]
         self.tokens = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        #: single bytes need no search: the automaton holds the longer tokens
+        self.single = [number[bytes([b])] for b in range(256)]
         for s, i in number.items():
-            self.tokens.add_word(s.decode("latin-1"), i)
+            if len(s) > 1:
+                self.tokens.add_word(s.decode("latin-1"), i)
         self.tokens.make_automaton()
         self.pieces = _piece_pattern()
         self.beyond = re.compile(f"[^\\x00-{chr(AGREED - 1)}]")
@@ -151,41 +163,77 @@ class Encoder(dict):
         self.fits[(first, second)] = answer
         return answer
 
-    def encode_piece(self, piece: bytes) -> list[int]:
-        """Internal numbers of the tokens that merging would give.
+    def longest(self, pieces: list[bytes]) -> tuple[list[int], list[int]]:
+        """The longest token from each place on, of pieces laid side by side, and where each piece begins (and a next one would).
+
+        One place lies between pieces: a letter that is no byte, which no token crosses.
+        """
+        line = "\u0100".join([p.decode("latin-1") for p in pieces])
+        out = b"\0".join(pieces)
+        out, length = [self.single[b] for b in out], self.length
+        if len(self.tokens):
+            for last, token in self.tokens.iter(line):
+                out[last + 1 - length[token]] = token  # ends rise, so the longest comes last
+        begins = [0]
+        for p in pieces:
+            begins.append(begins[-1] + len(p) + 1)
+        return out, begins
+
+    def tokens_of(self, longest: list[int], at: int, end: int) -> list[int]:
+        """Internal numbers of the tokens that merging would give for the piece between two places.
 
         From the left the longest token is tried; one that is not compatible
         with its predecessor, or that ends where all went wrong before, gives
         way to the next shorter, and if there is none the predecessor does.
         Each place goes wrong once at most, so time is linear in the piece.
         """
-        longest: dict[int, int] = {}
-        for last, token in self.tokens.iter(piece.decode("latin-1")):
-            longest[last + 1 - self.length[token]] = token  # ends rise, so the longest comes last
         out: list[int] = []
-        dead, at, end = set(), 0, len(piece)
-        token = longest[0] if end else -1
+        length, shorter, fits = self.length, self.shorter, self.fits
+        dead: set[int] = set()
+        token = longest[at] if at < end else -1
         while at < end:
-            after = at + self.length[token]
-            if after not in dead and (not out or self.compatible(out[-1], token)):
+            after = at + length[token]
+            ok = after not in dead
+            if ok and out:
+                ok = fits.get((out[-1], token))
+                if ok is None:
+                    ok = self.compatible(out[-1], token)
+            if ok:
                 out.append(token)
                 at = after
-                token = longest[at] if at < end else -1
-            elif self.shorter[token] >= 0:
-                token = self.shorter[token]
+                if at < end:
+                    token = longest[at]
+            elif shorter[token] >= 0:
+                token = shorter[token]
             else:
                 dead.add(at)
                 token = out.pop()
-                at -= self.length[token]
+                at -= length[token]
         return out
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MEMORY:
+    def values(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece; pieces that are new are encoded side by side."""
+        found = list(map(self.get, pieces))
+        if None not in found:
+            return found
+        new = {p: None for p, v in zip(pieces, found, strict=True) if v is None}
+        missing = []
+        for piece in new:
+            value = self.added_values.get(piece) or self.older.get(piece)
+            if value is None:
+                missing.append(piece)
+            else:
+                new[piece] = value
+        longest, begins = self.longest([p.encode() for p in missing])
+        packed = self.packed
+        for k, piece in enumerate(missing):
+            new[piece] = b"".join([packed[t] for t in self.tokens_of(longest, begins[k], begins[k + 1] - 1)])
+        out = [new[p] if v is None else v for p, v in zip(pieces, found, strict=True)]
+        if len(self) + len(new) > MEMORY // 2:
+            self.older = dict(self)
             self.clear()
-        value = self.ids[self.encode_piece(piece.encode())].tobytes()
-        if len(piece) < 256:
-            self[piece] = value
-        return value
+        self.update(new if max(map(len, new)) <= LONG else {p: v for p, v in new.items() if len(p) <= LONG})
+        return out
 
     def split(self, text: str) -> list[str]:
         if not self.beyond.search(text):
@@ -195,14 +243,36 @@ class Encoder(dict):
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
         return [text[a:b] for _, (a, b) in level.pre_tokenize_str(text)]
 
-    def encode(self, text: str) -> np.ndarray:
+    def pieces_of(self, text: str) -> list[str]:
+        """The pieces of a text; added tokens are pieces of their own."""
         if not self.specials or not self.specials.search(text):
-            return np.frombuffer(b"".join(map(self.__getitem__, self.split(text))), np.int32)
+            return self.split(text)
         out = []
         for part in self.specials.split(text):
-            own = np.array([self.added[part]], np.int32).tobytes() if part in self.added else b"".join(map(self.__getitem__, self.split(part)))
-            out.append(own)
-        return np.frombuffer(b"".join(out), np.int32)
+            out += [part] if part in self.added else self.split(part)
+        return out
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The token ids of each text; SLAB pieces are looked up at a time."""
+        held: list[list[str]] = []
+        size = 0
+        for text in texts:
+            pieces = self.pieces_of(text)
+            if held and size + len(pieces) > SLAB:
+                yield from self._slab(held)
+                held, size = [], 0
+            if len(pieces) > SLAB:
+                yield np.concatenate([next(self._slab([pieces[at : at + SLAB]])) for at in range(0, len(pieces), SLAB)])
+                continue
+            held.append(pieces)
+            size += len(pieces)
+        yield from self._slab(held)
+
+    def _slab(self, texts: list[list[str]]) -> Iterator[np.ndarray]:
+        found, at = self.values(list(chain.from_iterable(texts))), 0
+        for pieces in texts:
+            yield np.frombuffer(b"".join(found[at : at + len(pieces)]), np.int32)
+            at += len(pieces)
 
 
 def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
@@ -223,13 +293,26 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, text: str = "text", tok
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.value.encoder()
         for batch in small_batches(batches, text, 1 << 22):
-            ids = [encoder.encode(t or "") for t in batch.column(text).to_pylist()]
+            ids = list(encoder.encode([t or "" for t in batch.column(text).to_pylist()]))
             yield pa.RecordBatch.from_arrays([*batch.columns, _lists(ids, pa.int32())], [*names, tokens])
 
     rows = documents.select(*names)
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(tokens, T.ArrayType(T.IntegerType()))]))
 
 
+def spelt(letters: np.ndarray, begin: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """The bytes of each of several runs of ids (``counts`` long), by an offset table; unknown ids stand for nothing."""
+    known = (ids >= 0) & (ids < len(begin) - 1)
+    ids = np.where(known, ids, 0)
+    sizes = np.where(known, begin[ids + 1] - begin[ids], 0)
+    # every byte's place: its token's offset in the table, plus how far into the token it is
+    ends = np.cumsum(sizes)
+    place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[ids] - ends + sizes, sizes)
+    line = letters[place].tobytes()
+    cuts = np.r_[0, ends][np.cumsum(np.r_[0, counts])].tolist()
+    return [line[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 def decode(documents: DataFrame, vocabulary: Vocabulary, tokens: str = "tokens", text: str = "decoded") -> DataFrame:
     """``documents`` with the text of ``tokens`` in a column ``text``; broken UTF-8 becomes U+FFFD.
 
@@ -241,36 +324,48 @@ def decode(documents: DataFrame, vocabulary: Vocabulary, tokens: str = "tokens",
     names = [c for c in documents.columns if c != text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters, begin = shared.value
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
                 column = batch.column(tokens)
                 ids = column.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
                 counts = np.array([len(x) if x.is_valid else 0 for x in column], np.int64)
-                known = (ids >= 0) & (ids < len(begin) - 1)
-                ids = np.where(known, ids, 0)
-                sizes = np.where(known, begin[ids + 1] - begin[ids], 0)
-                # every byte's place: its token's offset in the table, plus how far into the token it is
-                ends = np.cumsum(sizes)
-                place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[ids] - ends + sizes, sizes)
-                line = letters[place].tobytes()
-                cuts = np.r_[0, ends][np.cumsum(np.r_[0, counts])]
-                texts = [line[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                texts = [line.decode("utf-8", "replace") for line in spelt(*shared.value, ids, counts)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, text])
 
     rows = documents.select(*names)
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(text, T.StringType())]))
 
 
-def token_digests(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 and tokens of each document, encoded and decoded again."""
-    both = decode(encode(documents.select("doc_id", "text"), vocabulary).select("doc_id", "tokens"), vocabulary)
-    ids = F.concat_ws(",", F.col("tokens").cast("array<string>"))
-    return both.select(
-        "doc_id",
-        F.size("tokens").cast("long").alias("n_tokens"),
-        F.sha2(ids, 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
-        "tokens",
-    )
+def token_digests(documents: DataFrame, vocabulary: Vocabulary, lists: bool = True) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and, with ``lists``, tokens of each document, encoded and decoded again.
+
+    One pass: ids, their decimals and the decoded bytes never leave the task
+    unless the lists are asked for. ids_sha256 is of the decimal ids joined by
+    commas, decoded_sha256 of the decoded text in UTF-8.
+
+    Null or empty text: no tokens, the digests of the empty text. Very long
+    texts are encoded whole. Equal and repeated rows each get their row. Empty
+    table: empty result. Other columns are left out, whatever their names.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast((vocabulary, vocabulary.offsets()))
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", tokens array<int>" if lists else "")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, table = shared.value
+        encoder, decimals = own.encoder(), [b"%d" % i for i in range(len(table[1]) - 1)]
+        for batch in small_batches(batches, "text", 1 << 21):
+            ids = list(encoder.encode([t or "" for t in batch.column("text").to_pylist()]))
+            names = [hashlib.sha256(b",".join([decimals[i] for i in x.tolist()])).hexdigest() for x in ids]
+            counts, decoded = np.array([len(x) for x in ids], np.int64), []
+            for line in spelt(*table, np.concatenate(ids), counts):
+                try:
+                    line.decode()
+                except UnicodeDecodeError:
+                    line = line.decode("utf-8", "replace").encode()
+                decoded.append(hashlib.sha256(line).hexdigest())
+            out = [batch.column("doc_id"), pa.array(counts), pa.array(names, pa.string()), pa.array(decoded, pa.string())]
+            out += [_lists(ids, pa.int32())] if lists else []
+            yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "tokens"][: len(out)])
+
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)

@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from beaconflow.llm import bpe
 from beaconflow.llm.bpe import Encoder, Vocabulary, decode, encode, token_digests
 from tests.llm import brute
 
@@ -30,10 +31,16 @@ def odd_texts():
     yield from ("", " ", "<|endoftext|>", "a<|endoftext|> b  <|endoftext|><|endoftext|>  ", "<|endoftext", "don't  won't\n\n  x", "a" * 5000, " " * 3000 + "x", "ab" * 4000, "\n" * 999)
 
 
-def test_encodes_as_the_library_does(vocabulary, library):
-    encoder = Encoder(vocabulary)
-    for text in odd_texts():
-        assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+@pytest.mark.parametrize("memory, slab", [(bpe.MEMORY, bpe.SLAB), (300, 40)])
+def test_encodes_as_the_library_does(vocabulary, library, monkeypatch, memory, slab):
+    """Also with a memory that is turned over often and texts of many slabs."""
+    monkeypatch.setattr(bpe, "MEMORY", memory)
+    monkeypatch.setattr(bpe, "SLAB", slab)
+    encoder, texts = Encoder(vocabulary), list(odd_texts())
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    assert len(encoder) <= memory and all(len(piece) <= bpe.LONG for piece in encoder)
+    assert list(encoder.encode([])) == []
 
 
 def test_every_code_point(vocabulary, library):
@@ -41,7 +48,7 @@ def test_every_code_point(vocabulary, library):
     points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     for i in range(0, len(points), 16384):
         text = " ".join(f"a{c}1" for c in points[i : i + 16384])
-        assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert next(encoder.encode([text])).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 def test_whole_table(spark, vocabulary, library):
