@@ -22,8 +22,8 @@ BITS = 1024
 #: What the estimate may fall short by before a candidate is dropped. A pair at 0.75 has more differing bits with
 #: probability 4.6e-7 (each differing sample throws two of BITS), so bands and sketch together lose 5.6e-6.
 MARGIN = 0.22
-#: Members of a bucket in one block of the second candidate search.
-BLOCK = 1024
+#: Members of a bucket, and shingles of theirs, in one block of the second candidate search.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 #: Ids of candidates that are broadcast to the scan of the texts; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -124,47 +124,99 @@ def _sets(n: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough; sets are computed anew for these ids only."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    ids = shared_table(ids, "candidates")
+def _full_sets(ids: DataFrame, nodes: DataFrame, documents: DataFrame, n: int) -> DataFrame:
+    """(node, shingles) of these distinct node ids, computed anew from their texts."""
+    ids = shared_table(ids.select(F.col("node").alias("doc_id")), "candidates")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = documents.join(ids, "doc_id", "left_semi")
     sets = texts.mapInArrow(_sets(n), "doc_id long, set_id binary, shingles array<long>")
     own = nodes.select("set_id", F.col("node").alias("doc_id"))
-    sets = shared_table(sets.join(own, ["doc_id", "set_id"], "left_semi").dropDuplicates(["doc_id", "set_id"]), "sets")
-    side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"{c}_set"))
+    sets = sets.join(own, ["doc_id", "set_id"], "left_semi").dropDuplicates(["doc_id", "set_id"])
+    return shared_table(sets.select(F.col("doc_id").alias("node"), "shingles"), "sets")
+
+
+def _confirmed(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets are similar enough; for stars, which are as many as their members."""
+    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _full_sets(ids, nodes, documents, n)
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set"))
     common = F.size(F.array_intersect("a_set", "b_set"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     return both.where(100 * common >= percent * (F.size("a_set") + F.size("b_set") - common)).select("a", "b")
 
 
-def _block_pairs(most: int, percent: int):
-    """Pairs of one block pair of a bucket that lie in different components and have similar sketches and sizes.
+class _Block:
+    """The members of a bucket in two of its blocks, and which of them may be linked across components."""
 
-    A pair that shares an earlier band has been found there: its bucket holds
-    both components as well.
-    """
+    def __init__(self, table: pa.Table, most: int, percent: int):
+        self.most, self.percent = most, percent
+        self.node, self.part, self.size = (table.column(c).to_numpy() for c in ("node", "component", "n_shingles"))
+        block, left, right = (table.column(c).to_numpy() for c in ("block", "left", "right"))
+        matrix = lambda c: table.column(c).combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+        self.words, self.bands = matrix("sketch").view(np.uint64), matrix("bands")  # bits of an int64 are counted without its sign
+        self.left, self.right, self.same = np.flatnonzero(block == left), np.flatnonzero(block == right), left[0] == right[0]
+        self.earlier = int(np.argmax(self.bands[0] == table.column("band")[0].as_py()))
+
+    def partners(self, i: int, part: np.ndarray) -> np.ndarray:
+        """Right members in another component than i (by ``part``) with a similar sketch and size.
+
+        Pairs that share an earlier band are left to that one, whose bucket
+        holds both components as well.
+        """
+        other = self.right[part[self.right] != part[i]]
+        if self.same:
+            other = other[self.node[other] > self.node[i]]
+        other = other[np.bitwise_count(self.words[other] ^ self.words[i]).sum(axis=1) <= self.most]
+        small, large = np.minimum(self.size[other], self.size[i]), np.maximum(self.size[other], self.size[i])
+        other = other[100 * small >= self.percent * large]
+        return other[~(self.bands[other, : self.earlier] == self.bands[i, : self.earlier]).any(axis=1)]
+
+
+def _crossing(most: int, percent: int):
+    """(band, left, right, block, node) of the members that some pair of this block pair may link across components: a row a member, never one a pair."""
+
+    def run(table: pa.Table) -> pa.Table:
+        found = np.zeros(table.num_rows, bool)
+        if table.num_rows:
+            block = _Block(table, most, percent)
+            for i in block.left:
+                other = block.partners(i, block.part)
+                found[other] = True
+                found[i] |= len(other) > 0
+        return table.filter(pa.array(found)).select(["band", "left", "right", "block", "node"])
+
+    return run
+
+
+def _united(most: int, percent: int):
+    """Links (a, b) of a block pair, confirmed on the full sets; only those that unite two components that nothing united before them."""
 
     def run(table: pa.Table) -> pa.Table:
-        found = [np.empty((0, 2), np.int64)]
-        left = table.column("block").to_numpy() == table.column("left").to_numpy()
-        right = table.column("block").to_numpy() == table.column("right").to_numpy()
-        node, part = table.column("node").to_numpy(), table.column("component").to_numpy()
-        words = table.column("sketch").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
-        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
-        size = table.column("n_shingles").to_numpy()
-        node_r, part_r, words_r, bands_r, size_r = (x[right] for x in (node, part, words, bands, size))
-        earlier = np.argmax(bands[:1] == table.column("band")[0].as_py()) if table.num_rows else 0
-        for i in np.flatnonzero(left):
-            other = np.flatnonzero((part_r != part[i]) & (node_r > node[i]) if left[i] == right[i] else part_r != part[i])
-            bits = np.bitwise_count(words_r[other] ^ words[i]).sum(axis=1)
-            other = other[bits <= most]
-            alike = 100 * np.minimum(size_r[other], size[i]) >= percent * np.maximum(size_r[other], size[i])
-            near = node_r[other[alike & ~(bands_r[other, :earlier] == bands[i, :earlier]).any(axis=1)]]
-            found.append(np.column_stack([np.minimum(near, node[i]), np.maximum(near, node[i])]))
-        pairs = np.concatenate(found)
+        links: list[tuple[int, int]] = []
+        if table.num_rows:
+            block = _Block(table, most, percent)
+            _, part = np.unique(block.part, return_inverse=True)
+            column = table.column("shingles").combine_chunks()
+            starts = np.r_[0, np.cumsum(block.size)]
+            words, codes = np.unique(column.flatten().to_numpy(), return_inverse=True)
+            mine = np.zeros(len(words), bool)
+            for i in block.left:
+                other = block.partners(i, part)
+                if not len(other):
+                    continue
+                own = codes[starts[i] : starts[i + 1]]
+                mine[own] = True
+                sizes = block.size[other]
+                ends = np.cumsum(sizes)
+                flat = codes[np.arange(ends[-1]) + np.repeat(starts[other] - ends + sizes, sizes)]
+                common = np.add.reduceat(mine[flat], ends - sizes, dtype=np.int64)
+                mine[own] = False
+                for j in other[100 * common >= percent * (sizes + len(own) - common)]:
+                    if part[j] != part[i]:
+                        links.append((min(block.node[i], block.node[j]), max(block.node[i], block.node[j])))
+                        part[part == part[j]] = part[i]
+        pairs = np.array(links, np.int64).reshape(-1, 2)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return run
@@ -185,8 +237,11 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 75) -
        star, never all pairs); pairs whose sketches' XOR counts show far lower
        similarity go, the rest are confirmed on the full sets.
     4. Buckets that still hold several components are searched for links
-       between different components, block by block, sketches first, then full
-       sets. So no link between components is missed for a star that failed.
+       between different components, block by block: sketches tell which
+       members to fetch the full sets of, and within the block these confirm
+       links until no two components can be united. A block gives out at most
+       one link less than it has components, so a large group whose pairs stay
+       just below the threshold costs rows for its members, not its pairs.
 
     Null doc_id: linked with nothing, component_id null, kept. Null or empty
     text: an empty set, linked with nothing. Repeated rows: each gets the same
@@ -214,16 +269,23 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 75) -
 
     member = in_bucket.select("band", "node").join(labels, "node", "left")
     member = member.withColumn("component", F.coalesce("component", "node"))
-    mixed = member.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-    mixed = mixed.where("low < high").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    member = member.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    member = member.join(own.select("node", "n_shingles"), "node")
+    many = F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
+    mixed = member.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(many).cast("int").alias("blocks"))
+    mixed = mixed.where("low < high").select("band", "blocks")
+    member = member.select("band", "node", "component").join(mixed, "band")
+    member = member.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     member = member.select("band", "node", "component", "block", other.alias("other"))
     member = member.select(
         "band", "node", "component", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right")
     ).join(sketch, "node")
-    crossing = member.groupBy("band", "left", "right").applyInArrow(_block_pairs(most, percent), "a long, b long").distinct()
-    second = _confirmed(shared_table(crossing, "crossing"), own, rows, shingle, percent)
+    crossing = member.groupBy("band", "left", "right").applyInArrow(_crossing(most, percent), "band long, left int, right int, block int, node long")
+    crossing = shared_table(crossing, "crossing")
+    sets = _full_sets(crossing.select("node").distinct(), own, rows, shingle)
+    known = sets.join(sketch, "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    second = crossing.join(known, "node").groupBy("band", "left", "right").applyInArrow(_united(most, percent), "a long, b long")
+    second = shared_table(second.distinct(), "links")
     found = components(first.unionByName(second))
 
     named = nodes.join(found, nodes["node"] == found["node"], "left").select("set_id", F.coalesce("component", nodes["node"]).alias("least"))

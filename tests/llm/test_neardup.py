@@ -37,6 +37,28 @@ def test_graded_copies_link_across_stars(spark, monkeypatch):
     assert judged(near_duplicates(spark.createDataFrame(rows, SCHEMA))) == brute.near_duplicates(rows)
 
 
+def test_copies_below_the_threshold_send_rows_for_members_not_for_pairs(spark, monkeypatch):
+    """Groups of 150, 300 and 600 edited copies, at 0.46 to each other on average, of which few are linked."""
+    sent = {}
+    keep = neardup.shared_table
+
+    def counted(df, name):
+        out = keep(df, name)
+        sent.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "shared_table", counted)
+    rng, crossing = random.Random(6), []
+    for n in (150, 300, 600):
+        words = [f"w{i}" for i in range(200)]
+        rows = [(i, " ".join(f"x{rng.randrange(10**6)}" if rng.random() < 0.045 else w for w in words)) for i in range(n)]
+        sent.clear()
+        assert judged(near_duplicates(spark.createDataFrame(rows, SCHEMA))) == brute.near_duplicates(rows)
+        crossing.append(sent["crossing"][0])
+        assert sent["links"][1] < n
+    assert crossing[2] < 6 * crossing[0]  # pairs grow by 16
+
+
 def test_edge_cases(spark):
     long = " ".join(f"w{i % 977}" for i in range(300_000))
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "One two"), (5, "one  TWO"), (6, "one two three"), (7, long), (8, long + " x"), (9, "É b")]
