@@ -41,12 +41,16 @@ def label_profile(spark, sf_dir):
     return out.select("seq", *[F.col("user_info")[n].alias(n) for n in names])
 
 
+def _with_unknown_cells(records):
+    return records.withColumn("lac", F.expr("if(seq % 11 = 0, 'FFFF', lac)"))
+
+
 @query("label_geo", """
 SELECT seq, coalesce(geo_latitude, '0') AS geo_latitude, coalesce(geo_longitude, '0') AS geo_longitude
-FROM s LEFT JOIN (SELECT * FROM cells WHERE region <> 'ASIA') USING (cell)""")
+FROM s LEFT JOIN cells ON cells.cell = s.cell AND seq % 11 <> 0""")
 def label_geo(spark, sf_dir):
-    known = cells(spark, sf_dir).where("not startswith(areas, 'ASIA')")
-    return J.label_geo(signals(spark, sf_dir), known).select("seq", "geo_latitude", "geo_longitude")
+    """The whole lookup; some records come from cells that it does not have."""
+    return J.label_geo(_with_unknown_cells(signals(spark, sf_dir)), cells(spark, sf_dir)).select("seq", "geo_latitude", "geo_longitude")
 
 
 @query("large_lookup", """
@@ -69,15 +73,13 @@ def needed_keys(spark, sf_dir):
 
 
 @query("enrich_and_filter", """
-, known AS (SELECT * FROM cells WHERE region <> 'EUROPE')
 SELECT seq, s.imsi AS imsi, nation AS cell__nation, c_mktsegment AS who__c_mktsegment
-FROM s JOIN known USING (cell) JOIN profiles p ON p.imsi = s.imsi
-WHERE c_nationkey <> nation_id AND (c_mktsegment = 'BUILDING' OR c_mktsegment = 'FURNITURE')""")
+FROM s JOIN cells USING (cell) JOIN profiles p ON p.imsi = s.imsi
+WHERE seq % 11 <> 0 AND c_nationkey <> nation_id AND (c_mktsegment = 'BUILDING' OR c_mktsegment = 'FURNITURE')""")
 def enrich_and_filter(spark, sf_dir):
-    known = cells(spark, sf_dir).where("not startswith(areas, 'EUROPE')")
     steps = [
         J.LookupStep(
-            "cell", known, {"lac": "lac", "ci": "ci"}, ["nation", "nation_id"], "cell__nation is not null",
+            "cell", cells(spark, sf_dir), {"lac": "lac", "ci": "ci"}, ["nation", "nation_id"], "cell__nation is not null",
             ["seq", "imsi", "cell__nation", "cell__nation_id"],
         ),
         J.LookupStep(
@@ -87,7 +89,7 @@ def enrich_and_filter(spark, sf_dir):
             ["seq", "imsi", "cell__nation", "who__c_mktsegment"],
         ),
     ]
-    return J.enrich_and_filter(signals(spark, sf_dir), steps)
+    return J.enrich_and_filter(_with_unknown_cells(signals(spark, sf_dir)), steps)
 
 
 @query("not_yet_processed", """

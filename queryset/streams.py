@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from beaconflow.operators.bucketed import BucketedTable
 from beaconflow.operators.correlate import tag_sources
 from beaconflow.operators.lookups import label_geo, label_site
+from beaconflow.operators.registers import current
 from beaconflow.operators.rules import EventRule
 from beaconflow.plans.application import Application, SourcePlan
 from beaconflow.plans.labelling import GeoLabels, LabelPlan, ProfileLabels, SiteLabels
@@ -23,8 +25,9 @@ from queryset import ORACLES, query
 from queryset.events import ACTIVE, CORRELATED, _greedy_sql
 from queryset.labels import MOVEMENT_SQL, STAY, _stay_sql
 from queryset.records import _PARSED, VALIDITY, _now
+from queryset.tables import RUNS, order_changes, order_feed, store_state
 from queryset.views import (
-    DAY, HOUR, SQL_VIEWS, as_lines, cells, profiles, signal_lines, signal_stream, signals, sites, table,
+    DAY, FILE_ROWS, HOUR, SQL_VIEWS, arriving, as_lines, cells, profiles, signal_lines, signal_stream, signals, sites, table,
 )
 
 
@@ -183,24 +186,24 @@ def refreshing_lookup(spark, sf_dir):
 
 
 def _text_parts(spark, sf_dir, parts):
-    """The feed as files written one after the other, so that each becomes a micro-batch of its own."""
+    """The feed as files written one part after the other, and how many files a micro-batch takes so that each part is one."""
     path = new_shared_path(spark, "feed")
     lines = signal_lines(spark, sf_dir)
+    files = max(1, -(-table(spark, sf_dir, "events").count() // (parts * FILE_ROWS)))
     for i in range(parts):
-        lines.where(F.col("seq") % parts == i).select("value").coalesce(1).write.mode("append").text(path)
-    return path
+        own = lines.where(F.pmod("seq", F.lit(parts)) == i).select("value")
+        own.repartition(files).write.mode("append").text(path)
+    return {"path": path, "maxFilesPerTrigger": str(files)}
 
 
 def _text_times(spark, sf_dir, parts):
-    """The feed as files in the order of time, one after the other."""
+    """The feed as files in the order of time, one range after the other."""
     path = new_shared_path(spark, "feed")
-    times = signals(spark, sf_dir).select("seq", "ts_ms")
-    lines = signal_lines(spark, sf_dir).select("seq", "value").join(times, "seq")
-    cuts = times.approxQuantile("ts_ms", [i / parts for i in range(parts + 1)], 0.0)
-    for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-        own = lines.where((F.col("ts_ms") >= low) & ((F.col("ts_ms") < high) | F.lit(i == parts - 1)))
-        own.coalesce(1).sortWithinPartitions("ts_ms", "seq").select("value").write.mode("append").text(path)
-    return path
+    files = 1
+    for rows, files in arriving(signals(spark, sf_dir), "ts_ms", parts):
+        own = as_lines(rows.repartitionByRange(files, "ts_ms", "seq").sortWithinPartitions("ts_ms", "seq"))
+        own.select("value").write.mode("append").text(path)
+    return {"path": path, "maxFilesPerTrigger": str(files)}
 
 
 def _text_files(spark, sf_dir):
@@ -226,7 +229,7 @@ def ingest_stream(spark, sf_dir):
 
 @query("batch_counts_stream", "SELECT seq % 5 AS batch, count(*) AS n FROM lines GROUP BY ALL")
 def batch_counts_stream(spark, sf_dir):
-    lines = open_stream(spark, "hdfs", {"path": _text_parts(spark, sf_dir, 5), "maxFilesPerTrigger": "1"})
+    lines = open_stream(spark, "hdfs", _text_parts(spark, sf_dir, 5))
     path = new_shared_path(spark, "batch-counts")
     run = R.start_batches(lines, R.counting(R.write_batches_to(f"{path}/out"), f"{path}/sizes"), f"{path}/checkpoint")
     run.awaitTermination()
@@ -324,7 +327,7 @@ def application_stream(spark, sf_dir):
 @query("application_source", _APPLICATION)
 def application_source(spark, sf_dir):
     """From text files to delivered messages, as one started application over several micro-batches."""
-    app = _application({"path": _text_times(spark, sf_dir, 5), "maxFilesPerTrigger": "1"})
+    app = _application(_text_times(spark, sf_dir, 5))
     path = new_shared_path(spark, "application-source")
     app.start(
         spark, _lookups(spark, sf_dir), f"{path}/checkpoint", deliver=R.write_batches_to(f"{path}/out"),
@@ -347,15 +350,29 @@ def not_yet_processed_stream(spark, sf_dir):
 
 @query("accumulate_stream", _body("accumulate_to_table"))
 def accumulate_stream(spark, sf_dir):
-    """Counters go from one micro-batch to the next through their table."""
+    """Counters go from one micro-batch to the next through their bucketed table."""
     path = new_shared_path(spark, "accumulate")
-    S.initial_table(profiles(spark, sf_dir).selectExpr("imsi", "cast(c_nationkey as bigint) as cents"), f"{path}/totals")
-    handler = S.accumulate("imsi", "seq", ["cents"], f"{path}/totals", f"{path}/out")
+    stored = profiles(spark, sf_dir).selectExpr("imsi", "cast(c_nationkey as bigint) as cents")
+    totals = BucketedTable.create(stored, f"{path}/totals", ["imsi"])
+    handler = S.accumulate("imsi", "seq", ["cents"], totals, f"{path}/out")
     stream = signal_stream(spark, sf_dir).select("seq", "imsi", "cents")
     R.start_batches(stream, handler, f"{path}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{path}/out").select("seq", "imsi", "total_cents")
 
 
+@query("apply_changes_stream", RUNS)
+def apply_changes_stream(spark, sf_dir):
+    """The orders as a stream of changes, merged bucket by bucket into the table of customers."""
+    path = new_shared_path(spark, "changes")
+    table_ = BucketedTable.create(store_state(spark, sf_dir), f"{path}/state", ["hash_key"])
+    orders = table(spark, sf_dir, "orders")
+    for rows, files in arriving(orders, "o_totalprice", 3):  # not the order of the changes
+        rows.repartition(files).write.mode("append").parquet(f"{path}/feed")
+    stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/feed")
+    R.start_batches(stream, S.apply_feed(table_, lambda b: order_changes(order_feed(b))), f"{path}/checkpoint").awaitTermination()
+    return current(table_.read())
+
+
 def _crossing(old: str, new: str) -> str:
     whens = " ".join(f"WHEN {old} <= {x} AND {new} >= {x} THEN {x}" for x in reversed(STAY.ordered_limits))
     return f"CASE {whens} ELSE 0 END"

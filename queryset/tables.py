@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from beaconflow.operators import aggregates as A
 from beaconflow.operators import keyed_table as U
+from beaconflow.operators import registers as W
 from beaconflow.plans.catalogue import rule_catalogue
-from beaconflow.session import new_shared_path
+from beaconflow.session import new_shared_path, shared_table
 from beaconflow.sources import keyed_export as X
 from beaconflow.sources.dimensions import read_dimension
 from beaconflow.sources.lookup_text import read_lookup_text
@@ -38,7 +39,11 @@ def store(spark, sf_dir):
 
 
 def feed(spark, sf_dir):
-    return table(spark, sf_dir, "orders").selectExpr(
+    return order_feed(table(spark, sf_dir, "orders"))
+
+
+def order_feed(orders):
+    return orders.selectExpr(
         "o_custkey", "o_orderkey as seq", "o_orderstatus as flag", "concat('order', o_orderkey) as c_name",
         "o_orderpriority as c_mktsegment",
     )
@@ -54,6 +59,8 @@ def upsert_multihash(spark, sf_dir):
 
 
 _APPEND = """
+SELECT hash_key, field, value FROM store WHERE field = 'name'
+UNION ALL
 SELECT hash_key, 'segment' AS field,
        CASE WHEN c_mktsegment IS NULL THEN string_agg(segment, '#' ORDER BY seq)
             ELSE c_mktsegment || coalesce('#' || string_agg(segment, '#' ORDER BY seq) FILTER (segment <> c_mktsegment), '')
@@ -65,9 +72,8 @@ GROUP BY hash_key, c_mktsegment"""
 
 @query("upsert_multihash_append", _STORE.rstrip().rstrip(",") + _APPEND)
 def upsert_append(spark, sf_dir):
-    segments = store(spark, sf_dir).where("field = 'segment'")
     return U.upsert_multihash(
-        segments, feed(spark, sf_dir), ["o_custkey"], {"segment": "c_mktsegment"}, prefix="userinfo:",
+        store(spark, sf_dir), feed(spark, sf_dir), ["o_custkey"], {"segment": "c_mktsegment"}, prefix="userinfo:",
         overwrite=False, append_sep="#",
     )
 
@@ -173,6 +179,34 @@ def apply_changes_onehash(spark, sf_dir):
     )
 
 
+# Each change counts at its own seq: a field lives if it was written after the last delete of its record.
+RUNS = _STORE.rstrip().rstrip(",") + """,
+gone AS (SELECT hash_key, max(seq) AS seq FROM feed WHERE flag = 'F' GROUP BY hash_key),
+writes AS (SELECT hash_key, field, value, 0 AS seq FROM store
+           UNION ALL SELECT hash_key, 'name', name, seq FROM feed WHERE flag IN ('O', 'P')
+           UNION ALL SELECT hash_key, 'segment', segment, seq FROM feed WHERE flag IN ('O', 'P')),
+last AS (SELECT hash_key, field, arg_max(value, seq) AS value, max(seq) AS seq FROM writes GROUP BY hash_key, field)
+SELECT hash_key, field, value FROM last LEFT JOIN gone USING (hash_key) WHERE gone.seq IS NULL OR last.seq >= gone.seq"""
+
+
+def store_state(spark, sf_dir):
+    return W.merge_registers(W.written(store(spark, sf_dir).withColumn("seq", F.lit(0))))
+
+
+def order_changes(rows):
+    return W.change_state(rows, _key(), FIELDS, "flag", FLAGS)
+
+
+@query("apply_changes_runs", RUNS)
+def apply_changes_runs(spark, sf_dir):
+    """The feed in four runs, out of order and one of them twice, each merged into the state that the last one stored."""
+    rows = feed(spark, sf_dir).withColumn("run", F.pmod(F.xxhash64("seq"), F.lit(4)))
+    state = store_state(spark, sf_dir)
+    for run in (2, 0, 3, 0, 1):
+        state = shared_table(W.compacted(W.merge_registers(state, order_changes(rows.where(F.col("run") == run)))), "registers")
+    return W.current(state)
+
+
 @query("apply_changes_unknown", "SELECT count(*) AS num_unknown FROM orders WHERE o_orderstatus NOT IN ('F', 'P')")
 def apply_changes_unknown(spark, sf_dir):
     return U.unknown_changes(feed(spark, sf_dir), "flag", U.ChangeFlags(insert=None, update="P", delete="F"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,15 +55,41 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_signals(table(spark, sf_dir, "events"))
 
 
+#: Rows of a file that a stream's input is written in.
+FILE_ROWS = 2_000_000
+
+
+def arriving(rows: DataFrame, by: str, batches: int) -> Iterator[tuple[DataFrame, int]]:
+    """``rows`` cut into about equal ranges of ``by``, and the number of files of each.
+
+    The cuts are approximate quantiles, a summary of bounded size. Rows without
+    a value come first. Scans of a table in the order of ``by`` read their own
+    row groups only. An empty table is one empty range.
+    """
+    cuts = rows.approxQuantile(by, [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
+    bounds = [None, *sorted(set(cuts)), None]
+    files = max(1, -(-rows.count() // (batches * FILE_ROWS)))
+    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+        own = F.lit(True)
+        if low is not None:
+            own &= F.col(by) >= low
+        if high is not None:
+            own &= (F.col(by) < high) | (F.col(by).isNull() if low is None else F.lit(False))
+        yield rows.where(own), files
+
+
 def signal_stream(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
-    """The whole event table as a stream of so many micro-batches, in the order of arrival."""
-    events = table(spark, sf_dir, "events")
-    path = new_shared_path(spark, "events")
-    cuts = events.approxQuantile("event_id", [i / batches for i in range(batches + 1)], 0.0)
-    for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-        own = (F.col("event_id") >= low) & ((F.col("event_id") < high) | F.lit(i == batches - 1))
-        events.where(own).coalesce(1).write.mode("append").parquet(path)
-    return as_signals(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path))
+    """The whole event table as a stream of about so many micro-batches, in the order of arrival."""
+    return as_signals(arrivals(table(spark, sf_dir, "events"), batches))
+
+
+def arrivals(events: DataFrame, batches: int) -> DataFrame:
+    """A table with ``event_id`` as a stream: files written range after range, as many of a range as one micro-batch takes."""
+    path = new_shared_path(events.sparkSession, "events")
+    files = 1
+    for rows, files in arriving(events, "event_id", batches):
+        rows.repartition(files).write.mode("append").parquet(path)
+    return events.sparkSession.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def signal_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

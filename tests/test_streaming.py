@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from beaconflow.operators.bucketed import BucketedTable
 from beaconflow.operators.cooldown import cooldown
 from beaconflow.operators.correlate import correlate_sources
 from beaconflow.operators.stay import StayConfig, dwell
@@ -267,12 +268,13 @@ def test_a_retried_batch_processes_and_counts_nothing_twice(spark):
     rows = spark.createDataFrame([("a", 1, 5), ("b", 2, 7), ("a", 3, 1)], "u string, seq long, m long")
     later = spark.createDataFrame([("a", 4, 2), ("c", 5, 3)], "u string, seq long, m long")
     S.initial_table(rows.limit(0).select("u"), f"{path}/done")
-    S.initial_table(spark.createDataFrame([("a", 100)], "u string, m long"), f"{path}/totals")
+    totals = BucketedTable.create(spark.createDataFrame([("a", 100)], "u string, m long"), f"{path}/totals", ["u"], 4)
     once = S.process_once("u", "seq", f"{path}/done", f"{path}/once")
-    count = S.accumulate("u", "seq", ["m"], f"{path}/totals", f"{path}/sums")
+    count = S.accumulate("u", "seq", ["m"], totals, f"{path}/sums")
     for batch, i in ((rows, 0), (rows, 0), (later, 1), (later, 1)):
         once(batch, i)
         count(batch, i)
     assert sorted(r.seq for r in spark.read.parquet(f"{path}/once").collect()) == [1, 2, 5]
     sums = {r.seq: r.total_m for r in spark.read.parquet(f"{path}/sums").collect()}
     assert sums == {1: 105, 2: 7, 3: 106, 4: 108, 5: 3}
+    assert {r.u: r.m for r in totals.read().collect()} == {"a": 108, "b": 7, "c": 3}
