@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from beaconflow.operators.bucketed import BucketedTable
 from beaconflow.operators.correlate import tag_sources
+from beaconflow.operators.late import dwell_by_arrival
 from beaconflow.operators.lookups import label_geo, label_site
 from beaconflow.operators.registers import current
 from beaconflow.operators.rules import EventRule
@@ -397,7 +398,7 @@ def _entry(i: int) -> str:
 _LATE = f"ts_ms - (seq * 7919 % 5) * {30 * HOUR}"
 
 
-@query("late_policy", f"""
+_LATE_SQL = f"""
 , arrivals AS (SELECT seq, imsi, {_LATE} AS t, region AS a1, zone AS a2, row_number() OVER (PARTITION BY imsi ORDER BY seq) AS rn
                FROM s JOIN cells USING (cell)),
 steps AS (
@@ -412,7 +413,10 @@ steps AS (
                      list_max([x.l for x in p.stays]) - t > {STAY.timeout_ms} AS ignored,
                      [x for x in p.stays if x.a = n.a1][1] AS e1, [x for x in p.stays if x.a = n.a2][1] AS e2
               FROM steps p JOIN arrivals n ON n.imsi = p.imsi AND n.rn = p.rn + 1)))
-SELECT seq, imsi, a1 AS area, l1 AS stay FROM steps UNION ALL SELECT seq, imsi, a2, l2 FROM steps""")
+SELECT seq, imsi, a1 AS area, l1 AS stay FROM steps UNION ALL SELECT seq, imsi, a2, l2 FROM steps"""
+
+
+@query("late_policy", _LATE_SQL)
 def late_policy(spark, sf_dir):
     """Stays of records that come late: some move a beginning back, some are too old to count."""
     records = signal_stream(spark, sf_dir).select("seq", "imsi", F.expr(_LATE).alias("ts_ms"), "lac", "ci")
@@ -421,3 +425,12 @@ def late_policy(spark, sf_dir):
     return out.select("seq", "imsi", F.explode("area_onsite_stay").alias("area", "stay")).withColumn(
         "stay", F.col("stay").cast("long")
     )
+
+
+@query("late_policy_batch", _LATE_SQL)
+def late_policy_batch(spark, sf_dir):
+    """The same as a batch, by running maxima instead of a walk."""
+    records = signals(spark, sf_dir).select("seq", "imsi", F.expr(_LATE).alias("ts_ms"), "lac", "ci")
+    placed = label_site(records, sites(spark, sf_dir))
+    visits = placed.select("seq", "imsi", "ts_ms", F.explode(F.map_keys("area_onsite")).alias("area"))
+    return dwell_by_arrival(visits, STAY).select("seq", "imsi", "area", "stay")
