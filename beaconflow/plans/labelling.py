@@ -16,6 +16,7 @@ from beaconflow.operators.skew import DEFAULT_SKEW, HotKeys, Skew
 from beaconflow.operators.stay import StayConfig, label_stay
 from beaconflow.operators.track import last_device, movement, track
 from beaconflow.plans.plugins import LabelRule, Lookups
+from beaconflow.plans.stateful import StatefulRule, apply_rules, apply_rules_stream, fetch_needs, rule_labels
 from beaconflow.streaming.labels import UserLabels, label_users
 
 
@@ -48,12 +49,13 @@ class GeoLabels:
 
 @dataclass(frozen=True)
 class LabelPlan:
-    """Stateless rules in order, then what is remembered per user."""
+    """Stateless rules in order, then what is remembered per user, by the library and by rules of the application's own."""
 
     rules: list[LabelRule] = field(default_factory=list)
     stay: StayConfig | None = None
     device: bool = False
     movement: bool = False
+    stateful: list[StatefulRule] = field(default_factory=list)
 
     def stateless(self, records: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
         lookups = lookups if isinstance(lookups, Lookups) else Lookups(lookups)
@@ -82,18 +84,22 @@ class LabelPlan:
             out = movement(out, skew=skew)
         if self.stay:
             out = label_stay(out, self.stay, skew=skew)
-        return with_labels(out)
+        if self.stateful:
+            out = apply_rules(fetch_needs(out, self.stateful, lookups), self.stateful, order=("ts_ms", "seq"))
+        return with_labels(out, self.stateful)
 
     def label_stream(self, records: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
         """Stream: records in arrival order per user, state carried across micro-batches."""
         out = self.stateless(records, lookups)
         if self.stay or self.device or self.movement:
             out = label_users(out, UserLabels(self.stay, self.device, self.movement))
-        return with_labels(out)
+        if self.stateful:
+            out = apply_rules_stream(fetch_needs(out, self.stateful, lookups), self.stateful)
+        return with_labels(out, self.stateful)
 
 
-def with_labels(records: DataFrame) -> DataFrame:
-    """Collect the label columns into the nested map ``labels``."""
+def with_labels(records: DataFrame, rules: list[StatefulRule] = ()) -> DataFrame:
+    """Collect the label columns, and those of stateful rules under their names, into the nested map ``labels``."""
     have = set(records.columns)
     namespaces = {c: F.col(c) for c in (USER_INFO, AREA_ONSITE, AREA_INFO, AREA_ONSITE_STAY) if c in have}
     if "last_imei" in have:
@@ -102,6 +108,7 @@ def with_labels(records: DataFrame) -> DataFrame:
         namespaces[EXT_USERTRACK] = present_entries(
             {"speed": F.col("speed_kmh"), "distance": F.col("distance_km"), "last_lac_ci": F.col("last_lac_ci")}
         )
+    namespaces |= rule_labels(records, list(rules))
     if not namespaces:
         return records
     return records.withColumn("labels", F.create_map(*[x for k, v in namespaces.items() for x in (F.lit(k), v)]))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +48,34 @@ class EventLock:
         return complete or not require_all
 
 
+def fired_alone(lock: EventLock, times: np.ndarray, source: str, interval: int) -> np.ndarray:
+    """Which of one source's sorted times fire; each step is a search for the next allowed time, as between two firings nothing changes."""
+    fired = np.zeros(len(times), bool)
+    if len(times):
+        lock.seen[source] = max(int(times[-1]), lock.seen.get(source, int(times[-1])))
+    at = 0 if lock.lock is None else int(np.searchsorted(times, lock.lock + interval))
+    while at < len(times):
+        fired[at] = True
+        lock.lock = int(times[at])
+        at = max(at + 1, int(np.searchsorted(times, lock.lock + interval)))
+    return fired
+
+
+def fired_rows(lock: EventLock, rows: pd.DataFrame, term: EventTerms, ts: str, source: str | None) -> np.ndarray:
+    """Which of a user's rows, sorted by time, fire. Rows without a time fire and start no rest."""
+    timed = rows[ts].notna().to_numpy()
+    fired = ~timed
+    times = rows[ts].to_numpy()[timed].astype(np.int64)
+    if len(term.sources) == 1:
+        fired[timed] = fired_alone(lock, times, term.sources[0], term.interval_ms)
+    else:
+        tags, known = rows[source].to_numpy()[timed].tolist(), list(term.sources)
+        fired[timed] = [
+            lock.fires(t, s, known, term.interval_ms, term.delay_ms, term.require_all) for t, s in zip(times.tolist(), tags, strict=True)
+        ]
+    return fired
+
+
 @dataclass(frozen=True)
 class EventTerms:
     """When a business event fires: its sources, rest and correlation delay."""
@@ -58,7 +87,7 @@ class EventTerms:
 
 
 def _update(term: EventTerms, ts: str, seq: str, source: str | None, expire: bool) -> Callable:
-    sources, interval, delay = list(term.sources), term.interval_ms, term.delay_ms
+    rest = max(term.interval_ms, term.delay_ms)
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -67,14 +96,11 @@ def _update(term: EventTerms, ts: str, seq: str, source: str | None, expire: boo
         saved = state.get if state.exists else (None, [], [])
         lock = EventLock(None if pd.isna(saved[0]) else int(saved[0]), dict(zip(saved[1], map(int, saved[2]))))
         rows = pd.concat(list(frames)).sort_values([ts, seq], kind="stable")
-        tags = rows[source] if source else [sources[0]] * len(rows)
-        fired = [
-            lock.fires(int(t), s, sources, interval, delay, term.require_all) for t, s in zip(rows[ts], tags)
-        ]
+        fired = fired_rows(lock, rows, term, ts, source)
         state.update((lock.lock, list(lock.seen), list(lock.seen.values())))
         if expire:
             # Past this time the state can no longer suppress or complete anything.
-            end = max([*lock.seen.values(), lock.lock or 0]) + max(interval, delay)
+            end = max([*lock.seen.values(), lock.lock or 0]) + rest
             state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
         yield rows[fired]
 
@@ -113,25 +139,30 @@ def correlate_stream(
     ts: str = "ts_ms",
     seq: str = "seq",
     source: str = "source",
+    expire: bool = False,
 ) -> DataFrame:
     """Streaming :func:`beaconflow.operators.correlate.correlate_sources`.
 
-    Once a user's sources were complete the state only serves the rest, but a
-    later activity may still need it, so it is kept.
+    A user's state is kept, as one whose sources were complete once fires again
+    after each rest. ``expire`` frees it once the watermark, which the frame
+    must then carry, has passed the end of the rest and of the delay of all
+    activities: the user is new after that, and must be complete anew.
     """
     term = EventTerms(tuple(sources), interval_ms, delay_ms, require_all)
-    return _stateful(rows, _update(term, ts, seq, source, False), user, False)
+    return _stateful(rows, _update(term, ts, seq, source, expire), user, expire)
 
 
 class _EventProcessor(StatefulProcessor):
     """State of one (event, user); unlike the functions above it may follow other stateful steps."""
 
-    def __init__(self, terms: dict[str, EventTerms], ts: str, seq: str, source: str) -> None:
-        self._terms, self._ts, self._seq, self._source = terms, ts, seq, source
+    def __init__(self, terms: dict[str, EventTerms], ts: str, seq: str, source: str, expire: bool) -> None:
+        self._terms, self._ts, self._seq, self._source, self._expire = terms, ts, seq, source, expire
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._lock = handle.getValueState("lock", "lock long")
         self._seen = handle.getMapState("seen", "source string", "ts long")
+        self._handle = handle
+        self._until = handle.getValueState("until", "at long") if self._expire else None
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         term = self._terms[key[0]]
@@ -139,10 +170,7 @@ class _EventProcessor(StatefulProcessor):
         before = {k[0]: int(v[0]) for k, v in self._seen.iterator()}
         lock = EventLock(None if saved is None else int(saved[0]), dict(before))
         batch = pd.concat(list(rows)).sort_values([self._ts, self._seq], kind="stable")
-        fired = [
-            lock.fires(int(t), s, list(term.sources), term.interval_ms, term.delay_ms, term.require_all)
-            for t, s in zip(batch[self._ts], batch[self._source])
-        ]
+        fired = fired_rows(lock, batch, term, self._ts, self._source)
         if lock.lock is not None:
             self._lock.update((lock.lock,))
         for name, t in lock.seen.items():
@@ -150,8 +178,23 @@ class _EventProcessor(StatefulProcessor):
                 self._seen.updateValue((name,), (t,))
         for name in before.keys() - lock.seen.keys():
             self._seen.removeKey((name,))
+        if self._expire:
+            end = max([*lock.seen.values(), lock.lock or 0]) + max(term.interval_ms, term.delay_ms)
+            at = max(end, timerValues.getCurrentWatermarkInMs() + 1)
+            old = self._until.get()[0] if self._until.exists() else None
+            if old != at:
+                if old is not None:
+                    self._handle.deleteTimer(old)
+                self._handle.registerTimer(at)
+                self._until.update((at,))
         yield batch[fired]
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._lock.clear()
+        self._seen.clear()
+        self._until.clear()
+        yield from ()
+
     def close(self) -> None:
         pass
 
@@ -164,11 +207,16 @@ def business_events_stream(
     ts: str = "ts_ms",
     seq: str = "seq",
     source: str = "source",
+    expire: bool = False,
 ) -> DataFrame:
-    """The firing rows of many business events at once: one state per (event, user)."""
+    """The firing rows of many business events at once: one state per (event, user).
+
+    ``expire`` frees a state by a timer at the end of its rest and delays, see
+    :func:`correlate_stream`; the stream must carry a watermark then.
+    """
     rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    processor = _EventProcessor(dict(terms), ts, seq, source)
-    return rows.groupBy(event, user).transformWithStateInPandas(processor, rows.schema, "Append", "None")
+    processor = _EventProcessor(dict(terms), ts, seq, source, expire)
+    return rows.groupBy(event, user).transformWithStateInPandas(processor, rows.schema, "Append", "EventTime" if expire else "None")
 
 
 def last_active_stream(

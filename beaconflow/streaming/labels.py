@@ -104,63 +104,71 @@ class UserLabels:
         return out
 
 
-def _nullable(value):
-    return None if value is None or pd.isna(value) else value
+def _shifted(values: pd.Series, first) -> pd.Series:
+    """Each record's value before it; ``first`` before the first."""
+    out = values.shift()
+    out.iloc[0] = first
+    return out
+
 
+def _last(values: pd.Series):
+    value = values.iloc[-1]
+    return None if pd.isna(value) else value
 
-def _update(config: UserLabels, user: str, ts: str, seq: str, passed: list[str]) -> Callable:
-    outputs = config.outputs().names
 
+def _update(config: UserLabels, user: str, ts: str, seq: str, passed: list[str], forget_ms: int | None) -> Callable:
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         saved = state.get if state.exists else ([], [], [], "", None, None, None, None)
         stays: Stays = {a: (int(f), int(x)) for a, f, x in zip(saved[0], saved[1], saved[2])}
         imei, lat, lng, cell, when = saved[3:]
         # A user's rows of one micro-batch; the trigger limits bound it.
-        rows = pd.concat(list(frames)).sort_values(seq, kind="stable")
-        made: dict[str, list] = {name: [] for name in outputs}
-        for row in rows.to_dict("records"):
-            t = int(row[ts])
-            if config.stay:
-                areas = list(row["areas"])
-                labels = stay_step(stays, t, areas, config.stay)
-                made["stays"].append([labels[a] for a in areas])
-            if config.device:
-                made["last_imei"].append(imei)
-                imei = row["imei"]
-            if config.movement:
-                for name, value in zip(("prev_lat", "prev_lng", "last_lac_ci", "prev_ts"), (lat, lng, cell, when)):
-                    made[name].append(value)
-                lat, lng = _nullable(row["geo_latitude"]), _nullable(row["geo_longitude"])
-                cell, when = row["lac_ci"], t
-        state.update(
-            (
-                list(stays),
-                [f for f, _ in stays.values()],
-                [x for _, x in stays.values()],
-                imei,
-                None if lat is None else float(lat),
-                None if lng is None else float(lng),
-                cell,
-                when,
-            )
-        )
-        result = rows[passed].reset_index(drop=True)
-        for name in outputs:
-            kind = {"prev_ts": "Int64", "prev_lat": "float64", "prev_lng": "float64"}.get(name, "object")
-            result[name] = pd.Series(made[name], dtype=kind)
+        rows = pd.concat(list(frames)).sort_values(seq, kind="stable").reset_index(drop=True)
+        result = rows[passed].copy()
+        if config.stay:
+            labels = []
+            for t, areas in zip(rows[ts].astype("int64").tolist(), rows["areas"], strict=True):
+                found = stay_step(stays, t, list(areas), config.stay)
+                labels.append([found[a] for a in areas])
+            result["stays"] = pd.Series(labels, dtype="object")
+        if config.device:
+            result["last_imei"] = _shifted(rows["imei"].astype("object"), imei)
+            imei = _last(rows["imei"])
+        if config.movement:
+            result["prev_lat"] = _shifted(rows["geo_latitude"].astype("float64"), lat)
+            result["prev_lng"] = _shifted(rows["geo_longitude"].astype("float64"), lng)
+            result["last_lac_ci"] = _shifted(rows["lac_ci"].astype("object"), cell)
+            result["prev_ts"] = _shifted(rows[ts].astype("Int64"), when)
+            lat, lng, cell = (_last(rows[c]) for c in ("geo_latitude", "geo_longitude", "lac_ci"))
+            when = int(rows[ts].iloc[-1])
+        number = lambda x: None if x is None or pd.isna(x) else float(x)
+        ends = list(stays.values())
+        state.update((list(stays), [f for f, _ in ends], [x for _, x in ends], imei, number(lat), number(lng), cell, when))
+        if forget_ms is not None:
+            newest = max([int(rows[ts].max()), *(x for _, x in ends)])
+            state.setTimeoutTimestamp(max(newest + forget_ms, state.getCurrentWatermarkMs() + 1))
         yield result
 
     return update
 
 
 def label_users(
-    stream: DataFrame, config: UserLabels, user: str = "imsi", ts: str = "ts_ms", seq: str = "seq"
+    stream: DataFrame, config: UserLabels, user: str = "imsi", ts: str = "ts_ms", seq: str = "seq", forget_ms: int | None = None
 ) -> DataFrame:
     """Add the configured stateful labels to a streaming frame.
 
+    ``forget_ms`` frees a user's state once the watermark, which the stream
+    must then carry, is so far past the user's newest record. Stays are the
+    same with it, as after their timeout (which it must not be shorter than) a
+    record starts afresh anyway; device and movement know no last record then.
+
     The areas come from the ``area_onsite`` map; filter the stream before this
     step where possible, since all of a user's rows of a batch meet here.
     """
+    if forget_ms is not None and config.stay and forget_ms < config.stay.timeout_ms:
+        raise ValueError("a state must not be forgotten before its stays end")
     frame = stream
     if config.stay:
         frame = frame.withColumn("areas", F.map_keys(AREA_ONSITE))
@@ -172,7 +180,8 @@ def label_users(
     passed = frame.columns
     schema = T.StructType([*frame.schema.fields, *config.outputs().fields])
     out = frame.groupBy(user).applyInPandasWithState(
-        _update(config, user, ts, seq, passed), schema, STATE, "append", GroupStateTimeout.NoTimeout
+        _update(config, user, ts, seq, passed, forget_ms), schema, STATE, "append",
+        GroupStateTimeout.NoTimeout if forget_ms is None else GroupStateTimeout.EventTimeTimeout,
     )
     out = out.withColumns({c: F.from_json(c, kind) for c, kind in maps.items()})
     if config.stay:
