@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from beaconflow.session import drop_shared
+from beaconflow.sources import shared_files as S
 
 #: Column that a written row lies in the folder of.
 BUCKET = "bucket"
@@ -70,15 +70,13 @@ class BucketedTable:
         return table
 
     def manifest(self) -> Manifest:
-        names = [n for n in self._names(f"{self.path}/manifest") if n.endswith(".json")]
-        if not names:
+        number = S.newest(self.spark, f"{self.path}/manifest")
+        if number is None:
             raise FileNotFoundError(f"{self.path} has no manifest")
-        last = max(names, key=lambda n: int(n.removesuffix(".json")))
-        stream = self._fs().open(self._path(f"{self.path}/manifest/{last}"))
-        try:
-            return Manifest.parse(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return self._parsed(number)
+
+    def _parsed(self, number: int) -> Manifest:
+        return Manifest.parse(S.read_text(self.spark, f"{self.path}/manifest/{number}.json"))
 
     def read(self, touched: list[int] | None = None, manifest: Manifest | None = None) -> DataFrame:
         """All rows, or those of some buckets."""
@@ -119,45 +117,26 @@ class BucketedTable:
 
     def vacuum(self, keep: int = 2) -> list[str]:
         """Delete the manifests before the last ``keep`` and the bucket folders that none of those names; returns these."""
-        numbers = sorted(int(n.removesuffix(".json")) for n in self._names(f"{self.path}/manifest") if n.endswith(".json"))
-        needed: set[str] = set()
-        for n in numbers[-keep:]:
-            stream = self._fs().open(self._path(f"{self.path}/manifest/{n}.json"))
-            needed |= set(Manifest.parse(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")).folders.values())
-            stream.close()
+        numbers = sorted(int(n.removesuffix(".json")) for n in S.names(self.spark, f"{self.path}/manifest") if n.endswith(".json"))
+        needed = {folder for n in numbers[-keep:] for folder in self._parsed(n).folders.values()}
         for n in numbers[:-keep]:
-            drop_shared(self.spark, f"{self.path}/manifest/{n}.json")
+            S.delete(self.spark, f"{self.path}/manifest/{n}.json")
         unused = []
-        for version in self._names(f"{self.path}/data"):
-            unused += [f"{version}/{b}" for b in self._names(f"{self.path}/data/{version}") if b.startswith(f"{BUCKET}=") and f"{version}/{b}" not in needed]
+        for version in S.names(self.spark, f"{self.path}/data"):
+            folders = S.names(self.spark, f"{self.path}/data/{version}")
+            unused += [f"{version}/{b}" for b in folders if b.startswith(f"{BUCKET}=") and f"{version}/{b}" not in needed]
         for folder in unused:
-            drop_shared(self.spark, f"{self.path}/data/{folder}")
+            S.delete(self.spark, f"{self.path}/data/{folder}")
         return unused
 
     def _written(self, rows: DataFrame, now: Manifest) -> dict[int, str]:
         version = f"{now.number + 1:012d}-{uuid.uuid4().hex}"
         placed = rows.withColumn(BUCKET, self.bucket(now)).repartition(BUCKET)
         placed.write.partitionBy(BUCKET).parquet(f"{self.path}/data/{version}")
-        names = [n for n in self._names(f"{self.path}/data/{version}") if n.startswith(f"{BUCKET}=")]
+        names = [n for n in S.names(self.spark, f"{self.path}/data/{version}") if n.startswith(f"{BUCKET}=")]
         return {int(n.removeprefix(f"{BUCKET}=")): f"{version}/{n}" for n in names}
 
     def _commit(self, manifest: Manifest) -> None:
         """The manifest appears whole under its number, or not at all if another writer was first."""
-        final = self._path(f"{self.path}/manifest/{manifest.number}.json")
-        draft = self._path(f"{self.path}/manifest/.{manifest.number}-{uuid.uuid4().hex}")
-        out = self._fs().create(draft, False)
-        out.write(bytearray(manifest.text().encode()))
-        out.close()
-        if self._fs().exists(final) or not self._fs().rename(draft, final):
-            self._fs().delete(draft, False)
+        if not S.put_new_text(self.spark, f"{self.path}/manifest/{manifest.number}.json", manifest.text()):
             raise RuntimeError(f"manifest {manifest.number} of {self.path} was written by another writer")
-
-    def _path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _fs(self):
-        return self._path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _names(self, folder: str) -> list[str]:
-        path = self._path(folder)
-        return [s.getPath().getName() for s in self._fs().listStatus(path)] if self._fs().exists(path) else []

@@ -116,14 +116,60 @@ def label_geo(
     ).drop("__cell")
 
 
-def needed_keys(records: DataFrame, keys: list[Column], dimension: DataFrame, dimension_key: str) -> DataFrame:
-    """The part of a large dimension that a batch refers to, over all key expressions."""
+#: Bits of the filter for each needed key (about one key in 30 passes by mistake), and the most bytes it may have.
+FILTER_BITS, FILTER_BYTES = 32, 256 << 20
+#: Bits of one row of a filter, as Spark's bitmap functions cut them.
+BITMAP = 32_768
+
+
+def key_filter(keys: DataFrame, key: str) -> tuple[DataFrame, int] | None:
+    """(part, bits) rows of a Bloom filter of the keys with one hash, and its size in bits; ``None`` if it would be too large.
+
+    Bits are set by the tasks and joined by parts, so the driver holds nothing
+    but an approximate number of keys, from which the size follows.
+    """
+    n = keys.agg(F.approx_count_distinct(key)).first()[0]
+    bits = max(1, -(-n * FILTER_BITS // BITMAP)) * BITMAP
+    if bits // 8 > FILTER_BYTES:
+        return None
+    place = _place(key, bits)
+    parts = keys.where(F.col(key).isNotNull()).groupBy(F.bitmap_bucket_number(place).alias("__part"))
+    return parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("__bits")), bits
+
+
+def _place(key: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(41), key), F.lit(bits)) + 1
+
+
+def passing(rows: DataFrame, found: tuple[DataFrame, int], key: str) -> DataFrame:
+    """The rows whose key the filter holds, and few others; no shuffle of the rows."""
+    parts, bits = found
+    place = _place(key, bits)
+    marked = rows.withColumns({"__part": F.bitmap_bucket_number(place), "__at": F.bitmap_bit_position(place).cast("int")})
+    joined = marked.join(F.broadcast(parts), "__part")
+    byte = F.conv(F.hex(F.substring("__bits", F.expr("cast(__at div 8 as int)") + 1, F.lit(1))), 16, 10).cast("long")
+    return joined.where(F.getbit(byte, F.col("__at") % 8) == 1).drop("__part", "__at", "__bits")
+
+
+def needed_keys(
+    records: DataFrame, keys: list[Column], dimension: DataFrame, dimension_key: str, small: bool | None = None
+) -> DataFrame:
+    """The part of a large dimension that a batch refers to, over all key expressions.
+
+    Few keys (measured unless ``small`` says so) are broadcast. Of many, a Bloom
+    filter is, which drops most of the dimension before its shuffle; keys too
+    many for that meet the whole dimension by shuffle.
+    """
     wanted = (
         records.select(F.explode(F.array(*keys)).alias(dimension_key))
         .where(F.col(dimension_key).isNotNull())
         .distinct()
     )
-    return lookup_join(dimension, wanted, dimension_key, "left_semi", skew=None)
+    if small is None:
+        small = fits_broadcast(wanted)
+    if not small and (found := key_filter(wanted, dimension_key)):
+        dimension = passing(dimension, found, dimension_key)
+    return lookup_join(dimension, wanted, dimension_key, "left_semi", small=small, skew=None)
 
 
 @dataclass(frozen=True)

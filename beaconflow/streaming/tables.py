@@ -1,52 +1,17 @@
-"""Streams that read a table and write it back: users done once, running counters."""
+"""Streams that read a table and write it back: running counters, change feeds."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 
 from beaconflow.operators.aggregates import accumulate_to_table, stored_totals
 from beaconflow.operators.bucketed import BucketedTable
-from beaconflow.operators.lookups import not_yet_processed
 from beaconflow.operators.registers import compacted, merge_registers
 from beaconflow.session import shared_table
 from beaconflow.streaming.runner import BatchHandler
 
-#: The batch number under which a table lies before the first micro-batch.
-INITIAL = -1
-
-
-def initial_table(table: DataFrame, path: str) -> None:
-    """Write the table that a stream starts from."""
-    table.write.mode("overwrite").parquet(f"{path}/batch={INITIAL}")
-
-
-def _batches(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
-
-
-def process_once(key: str, seq: str, processed: str, out: str) -> BatchHandler:
-    """Write the first row of every key that no earlier micro-batch and not the initial table had.
-
-    ``processed`` is a folder begun with :func:`initial_table` (a column
-    ``key``); each batch adds the keys that it processed. A retried batch sees
-    what was there before it and replaces its own rows and keys.
-    """
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        known = _batches(spark, batch.select(key).schema, processed).where(F.col("batch") < batch_id)
-        fresh, _ = not_yet_processed(batch, known, key, seq)
-        fresh.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        done = spark.read.schema(fresh.schema).parquet(f"{out}/batch={batch_id}")
-        done.select(key).write.mode("overwrite").parquet(f"{processed}/batch={batch_id}")
-
-    return handle
-
-
 def accumulate(key: str, seq: str, measures: list[str], totals: BucketedTable, out: str) -> BatchHandler:
     """Write each row with the counters after it, and the counters after each micro-batch.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from beaconflow.operators.bucketed import BucketedTable
@@ -15,11 +16,13 @@ from beaconflow.plans.labelling import GeoLabels, LabelPlan, ProfileLabels, Site
 from beaconflow.plans.plugins import BusinessEvent
 from beaconflow.session import new_shared_path
 from beaconflow.sources import sinks
+from beaconflow.sources.rolling import RollingArchive
 from beaconflow.sources.signals import ingest_signals
 from beaconflow.sources.streams import open_stream
 from beaconflow.streaming import events as E
 from beaconflow.streaming import runner as R
 from beaconflow.streaming.labels import UserLabels, label_users
+from beaconflow.streaming.once import once_per_key, processed_keys
 from beaconflow.streaming import tables as S
 from beaconflow.streaming.refresh import RefreshingLookup
 from queryset import ORACLES, query
@@ -28,7 +31,7 @@ from queryset.labels import MOVEMENT_SQL, STAY, _stay_sql
 from queryset.records import _PARSED, VALIDITY, _now
 from queryset.tables import RUNS, order_changes, order_feed, store_state
 from queryset.views import (
-    DAY, FILE_ROWS, HOUR, SQL_VIEWS, arriving, as_lines, cells, profiles, signal_lines, signal_stream, signals, sites, table,
+    DAY, FILE_ROWS, HOUR, SQL_VIEWS, arriving, as_lines, as_signals, cells, profiles, signal_lines, signal_stream, signals, sites, table,
 )
 
 
@@ -168,20 +171,29 @@ def label_pipeline_stream(spark, sf_dir):
 
 
 @query("refreshing_lookup", """
-SELECT seq, c_name FROM s JOIN profiles USING (imsi)""")
+SELECT seq, c_name || '#' || CAST(seq % 3 AS VARCHAR) AS c_name FROM s JOIN profiles USING (imsi)""")
 def refreshing_lookup(spark, sf_dir):
-    """Each micro-batch joins the copy of the profiles that is current then."""
+    """The profiles change between the micro-batches, one for each ``seq % 3``; the name shows which copy was joined."""
     from beaconflow.operators.skew import lookup_join
 
-    lookup = RefreshingLookup(lambda: profiles(spark, sf_dir).select("imsi", "c_name"))
-    stream = signal_stream(spark, sf_dir).select("seq", "imsi")
     path = new_shared_path(spark, "refreshing")
+    events = table(spark, sf_dir, "events")
+    files = max(1, -(-events.count() // (3 * FILE_ROWS)))
+    for i in range(3):
+        events.where(F.pmod("event_id", F.lit(3)) == i).repartition(files).write.mode("append").parquet(f"{path}/in")
+    arriving_ = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/in")
+
+    def load():
+        version = F.lit(f"#{lookup.versions}")
+        return profiles(spark, sf_dir).select("imsi", F.concat("c_name", version).alias("c_name"))
+
+    lookup = RefreshingLookup(load, ttl_seconds=0)
 
     def enrich(batch, batch_id):
         joined = lookup_join(batch, lookup.current(), "imsi", "inner").select("seq", "c_name")
         R.write_batches_to(f"{path}/out")(joined, batch_id)
 
-    R.start_batches(stream, enrich, f"{path}/checkpoint").awaitTermination()
+    R.start_batches(as_signals(arriving_).select("seq", "imsi"), enrich, f"{path}/checkpoint").awaitTermination()
     lookup.close()
     return spark.read.parquet(f"{path}/out").drop("batch")
 
@@ -339,14 +351,80 @@ def application_source(spark, sf_dir):
 
 @query("not_yet_processed_stream", _body("not_yet_processed"))
 def not_yet_processed_stream(spark, sf_dir):
-    """Users are processed once over all micro-batches; the table of those done is written back."""
-    path = new_shared_path(spark, "once")
+    """Users are processed once over all micro-batches; those done before are the state that the stream begins with."""
     stream = signal_stream(spark, sf_dir).select("seq", "imsi", "event_type", "value")
-    done = signals(spark, sf_dir).where("event_type = 'signup' and value > 150").select("imsi").distinct()
-    S.initial_table(done, f"{path}/processed")
-    handler = S.process_once("imsi", "seq", f"{path}/processed", f"{path}/out")
-    R.start_batches(stream.select("seq", "imsi"), handler, f"{path}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{path}/out").drop("batch")
+    done = signals(spark, sf_dir).where("event_type = 'signup' and value > 150").select("imsi")
+    return R.run_to_table(once_per_key(stream.select("seq", "imsi"), done, "imsi", "seq"), "once").drop("batch")
+
+
+@query("processed_users_stream", "SELECT DISTINCT own AS imsi FROM base")
+def processed_users_stream(spark, sf_dir):
+    """The users done, read back from the state of the stream that processed them."""
+    path = new_shared_path(spark, "once")
+    done = signals(spark, sf_dir).where("event_type = 'signup' and value > 150").select("imsi")
+    fresh = once_per_key(signal_stream(spark, sf_dir).select("seq", "imsi"), done, "imsi", "seq")
+    R.start_batches(fresh, R.write_batches_to(f"{path}/out"), f"{path}/checkpoint").awaitTermination()
+    return processed_keys(spark, f"{path}/checkpoint", "imsi")
+
+
+@query("delivery_ledger", """
+SELECT consumer, seq, event_type FROM s CROSS JOIN (SELECT unnest(['audit', 'billing', 'care']) AS consumer)""")
+def delivery_ledger(spark, sf_dir):
+    """Three consumers that append what they get; one fails once, the stream is started again, nobody gets a batch twice."""
+    path = new_shared_path(spark, "delivery")
+    stream = signal_stream(spark, sf_dir).select("seq", "event_type")
+    failures = [1]
+
+    def appending(name):
+        def consume(batch, batch_id):
+            if name == "billing" and batch_id == 1 and failures:
+                raise ConnectionError(f"consumer is away, {failures.pop()} time")
+            batch.withColumn("consumer", F.lit(name)).write.mode("append").parquet(f"{path}/out")
+
+        return consume
+
+    consumers = {name: appending(name) for name in ("audit", "billing", "care")}
+    handler = R.delivering(lambda batch: batch, consumers, R.Ledger(spark, f"{path}/ledger"))
+    for _ in range(2):
+        try:
+            R.start_batches(stream, handler, f"{path}/checkpoint").awaitTermination()
+        except StreamingQueryException:
+            continue
+    return spark.read.parquet(f"{path}/out").select("consumer", "seq", "event_type")
+
+
+@query("batch_counts_listener", _body("batch_counts_stream"))
+def batch_counts_listener(spark, sf_dir):
+    """Sizes of micro-batches as the running query reports them, under a timed trigger and over a stop and a restart."""
+    path = new_shared_path(spark, "batch-log")
+    lines = open_stream(spark, "hdfs", _text_parts(spark, sf_dir, 5))
+    name = path.rsplit("/", 1)[1]
+    log = R.BatchLog(spark, f"{path}/sizes", name)
+    spark.streams.addListener(log)
+    try:
+        for stop_after in (2, None):
+            writer = lines.writeStream.foreachBatch(R.write_batches_to(f"{path}/out")).option("checkpointLocation", f"{path}/checkpoint")
+            run = R.with_trigger(writer.queryName(name), 0.1).start()
+            if stop_after is None:
+                run.processAllAvailable()
+            while stop_after and sum(p.numInputRows > 0 for p in run.recentProgress) < stop_after and run.isActive:
+                run.awaitTermination(0.2)
+            run.stop()
+        sizes = log.read().select("batch", "n")
+    finally:
+        spark.streams.removeListener(log)
+    return sizes
+
+
+@query("archive_rolling", "SELECT value FROM lines")
+def archive_rolling(spark, sf_dir):
+    """Small micro-batches packed into files of a bounded size; each line once."""
+    path = new_shared_path(spark, "rolling")
+    archive = RollingArchive(spark, path, max_bytes=1 << 20)
+    lines = open_stream(spark, "hdfs", _text_parts(spark, sf_dir, 5)).select("value")
+    R.start_batches(lines, archive.take, f"{path}/checkpoint").awaitTermination()
+    archive.close()
+    return archive.read()
 
 
 @query("accumulate_stream", _body("accumulate_to_table"))

@@ -16,6 +16,7 @@ from beaconflow.streaming import events as E
 from beaconflow.streaming import runner as R
 from beaconflow.streaming import tables as S
 from beaconflow.streaming.labels import UserLabels, label_users
+from beaconflow.streaming.once import once_per_key, processed_keys
 from beaconflow.streaming.refresh import RefreshingLookup
 from tests.stay_cases import CASES, MINUTE, millis
 
@@ -263,18 +264,36 @@ def test_refreshing_lookup(spark):
     lookup.close()
 
 
-def test_a_retried_batch_processes_and_counts_nothing_twice(spark):
+def test_a_retried_batch_counts_nothing_twice(spark):
     path = new_shared_path(spark, "tables")
     rows = spark.createDataFrame([("a", 1, 5), ("b", 2, 7), ("a", 3, 1)], "u string, seq long, m long")
     later = spark.createDataFrame([("a", 4, 2), ("c", 5, 3)], "u string, seq long, m long")
-    S.initial_table(rows.limit(0).select("u"), f"{path}/done")
     totals = BucketedTable.create(spark.createDataFrame([("a", 100)], "u string, m long"), f"{path}/totals", ["u"], 4)
-    once = S.process_once("u", "seq", f"{path}/done", f"{path}/once")
     count = S.accumulate("u", "seq", ["m"], totals, f"{path}/sums")
     for batch, i in ((rows, 0), (rows, 0), (later, 1), (later, 1)):
-        once(batch, i)
         count(batch, i)
-    assert sorted(r.seq for r in spark.read.parquet(f"{path}/once").collect()) == [1, 2, 5]
     sums = {r.seq: r.total_m for r in spark.read.parquet(f"{path}/sums").collect()}
     assert sums == {1: 105, 2: 7, 3: 106, 4: 108, 5: 3}
     assert {r.u: r.m for r in totals.read().collect()} == {"a": 108, "b": 7, "c": 3}
+
+
+def test_keys_are_processed_once_from_a_large_set(spark):
+    rows = [(f"k{i % 30}" if i % 31 else None, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, seq long")
+    done = spark.createDataFrame([(f"k{i}",) for i in range(0, 30, 3)] * 2 + [("other",)], "k string")
+    path = new_shared_path(spark, "once")
+    stream = as_stream(spark, df, ["seq < 5", "seq between 5 and 90", "seq > 90"])
+    query = R.start_batches(once_per_key(stream, done, "k", "seq"), R.write_batches_to(f"{path}/out"), f"{path}/checkpoint")
+    query.awaitTermination()
+    want, seen = [], {f"k{i}" for i in range(0, 30, 3)}
+    for k, seq in rows:
+        if k not in seen:
+            seen.add(k)
+            want.append((k, seq))
+    got = spark.read.parquet(f"{path}/out")
+    assert rows_of(got.select("k", "seq")) == sorted(want, key=repr)
+    assert {r.k for r in processed_keys(spark, f"{path}/checkpoint", "k").collect()} == seen | {"other"}
+    # a batch touches the states of its own keys, not of all that are done
+    touched = [p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress if p["numInputRows"]]
+    assert touched[1] <= len(want)
+    assert R.run_to_table(once_per_key(as_stream(spark, df, ["seq < 0"]), done.limit(0), "k", "seq"), "none").count() == 0
