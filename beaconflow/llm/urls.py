@@ -17,9 +17,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Share of the labelled URLs that a mined rule must hold for, and how often it must be right.
 SUPPORT, CONFIDENCE = 0.01, 0.9
-#: Tokens of a labelled URL that take part in mining: those whose own label shares differ most from the mean.
-#: At most 2**ITEM_LIMIT / SUPPORT item sets are frequent, whatever the data.
-ITEM_LIMIT = 8
 #: Verdict where no rule matches.
 DEFAULT = "allow"
 
@@ -87,39 +84,62 @@ def url_tokens(host: Column, path: Column, url: Column) -> Column:
     return F.when(host != "", F.array_distinct(tokens)).otherwise(F.array().cast("array<string>"))
 
 
+def _expanded(rules: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rules over items as rules over tokens: one for each choice of a token from the group of every item."""
+    one = rules.select(F.monotonically_increasing_id().alias("rule"), "*")
+    one = shared_table(one, "item_rules")
+    member = one.select("rule", F.explode("items").alias("item")).join(groups, "item")
+    lists = member.groupBy("rule").agg(F.collect_list("members").alias("lists"))
+    start = F.array(F.array().cast("array<string>"))
+    add = lambda done, more: F.flatten(F.transform(done, lambda d: F.transform(more, lambda t: F.array_append(d, t))))
+    choices = one.join(lists, "rule").select("verdict", "confidence", "support", F.explode(F.aggregate("lists", start, add)).alias("tokens"))
+    return choices.select(F.array_sort("tokens").alias("tokens"), "verdict", "confidence", "support")
+
+
 def mine_rules(labelled: DataFrame) -> DataFrame:
     """(tokens, verdict, confidence, support) of the association rules of ``labelled`` (tokens array, verdict string).
 
-    FP-growth mines token combinations together with the verdicts; kept are
-    rules from tokens to a verdict with enough support and confidence that no
-    rule of one token less equals or beats. Every distinct URL counts once, so
-    one that is repeated very often proves nothing. A very long URL would have very many
-    combinations, so each takes part with its ITEM_LIMIT most telling tokens.
+    FP-growth mines combinations of all frequent tokens together with the
+    verdicts; kept are rules from tokens to a verdict with enough support and
+    confidence that no rule of one token less equals or beats. Every distinct
+    URL counts once, so one that is repeated very often proves nothing.
+
+    Two steps keep the combinations few and lose no rule. A token whose URLs all
+    have one verdict is a rule by itself, which any rule that holds it and more
+    only equals: such tokens are not mined. Tokens that are in exactly the same
+    labelled URLs are mined as one item; a rule of items stands for one rule for
+    each choice of their tokens, as more than one of an item's tokens adds nothing.
     """
+    spark = labelled.sparkSession
     rows = labelled.where("verdict is not null and size(tokens) > 0").select("verdict", F.array_distinct("tokens").alias("tokens"))
     rows = shared_table(rows.withColumn("id", F.monotonically_increasing_id()), "labelled_urls")
-    blocked = F.sum((F.col("verdict") == "block").cast("long"))
-    total = rows.agg(F.count("*").alias("n"), blocked.alias("blocked")).first()
-    if not total["n"]:
-        return labelled.sparkSession.createDataFrame([], "tokens array<string>, verdict string, confidence double, support double")
-    mean = total["blocked"] / total["n"]
+    n = rows.count()
+    if not n:
+        return spark.createDataFrame([], "tokens array<string>, verdict string, confidence double, support double")
     item = rows.select("id", "verdict", F.explode("tokens").alias("token"))
-    seen = item.groupBy("token").agg(F.count("*").alias("seen"), blocked.alias("blocked")).where(F.col("seen") >= SUPPORT * total["n"])
-    strength = F.abs(F.col("blocked") / F.col("seen") - mean) * F.sqrt("seen")
-    telling = shared_table(seen.select("token", strength.alias("strength")), "url_items")
-    best = F.slice(F.sort_array(F.collect_list(F.struct("strength", "token")), asc=False), 1, ITEM_LIMIT)["token"]
-    chosen = item.join(telling, "token").groupBy("id", "verdict").agg(best.alias("chosen"))
-    baskets = chosen.select(F.array_append("chosen", F.concat(F.lit(_LABEL), "verdict")).alias("items"))
+    # two sums of independent 64-bit hashes tell sets of URLs apart
+    marks = [F.sum(F.xxhash64(F.lit(k), "id").cast("decimal(38,0)")).alias(f"mark{k}") for k in range(2)]
+    sides = [F.min("verdict").alias("least"), F.max("verdict").alias("most")]
+    seen = shared_table(item.groupBy("token").agg(F.count("*").alias("seen"), *marks, *sides).where(F.col("seen") >= SUPPORT * n), "url_tokens_seen")
+    pure = seen.where("least = most").select(F.array("token").alias("tokens"), F.col("least").alias("verdict"), F.lit(1.0).alias("confidence"), (F.col("seen") / n).alias("support"))
+
+    groups = seen.where("least < most").groupBy("seen", "mark0", "mark1").agg(F.min("token").alias("item"), F.collect_set("token").alias("members"))
+    groups = shared_table(groups.select("item", "members"), "url_items")
+    chosen = item.join(groups.select(F.col("item").alias("token")), "token", "left_semi").groupBy("id").agg(F.collect_list("token").alias("chosen"))
+    label = F.array(F.concat(F.lit(_LABEL), "verdict"))
+    baskets = rows.select("id", "verdict").join(chosen, "id", "left")
+    baskets = baskets.select(F.concat(F.coalesce("chosen", F.array().cast("array<string>")), label).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=SUPPORT, minConfidence=CONFIDENCE).fit(baskets)
     to_verdict = F.startswith(F.col("consequent")[0], F.lit(_LABEL)) & ~F.exists("antecedent", lambda t: F.startswith(t, F.lit(_LABEL)))
     rules = model.associationRules.where(to_verdict).select(
-        F.array_sort("antecedent").alias("tokens"), F.expr(f"substring(consequent[0], {len(_LABEL) + 1})").alias("verdict"), "confidence", "support"
+        F.array_sort("antecedent").alias("items"), F.expr(f"substring(consequent[0], {len(_LABEL) + 1})").alias("verdict"), "confidence", "support"
     )
     rules = shared_table(rules, "url_rules")
-    simpler = rules.select("verdict", "tokens", F.col("confidence").alias("simpler"))
-    less = rules.select("*", F.explode("tokens").alias("__out")).select("*", F.array_remove("tokens", F.col("__out")).alias("__less"))
-    beaten = less.join(simpler.withColumnRenamed("tokens", "__less"), ["verdict", "__less"]).where("simpler >= confidence")
-    return rules.join(beaten.select("tokens", "verdict").distinct(), ["tokens", "verdict"], "left_anti")
+    simpler = rules.select("verdict", F.col("items").alias("__less"), F.col("confidence").alias("simpler"))
+    less = rules.select("*", F.explode("items").alias("__out")).select("*", F.array_remove("items", F.col("__out")).alias("__less"))
+    beaten = less.join(simpler, ["verdict", "__less"]).where("simpler >= confidence")
+    kept = rules.join(beaten.select("items", "verdict").distinct(), ["items", "verdict"], "left_anti")
+    return pure.unionByName(_expanded(kept, groups))
 
 
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:

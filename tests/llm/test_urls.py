@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 from itertools import combinations
 
@@ -53,11 +54,8 @@ def test_whole_table_matches_brute_force(spark):
     }
     decided = {u: listed(*parts(u), URL_RULES) for u in tokens}
     labelled = [(tokens[u], d[0]) for u, d in decided.items() if d]
-    seen, blocked = Counter(t for ts, _ in labelled for t in ts), Counter(t for ts, v in labelled if v == "block" for t in ts)
-    mean = sum(v == "block" for _, v in labelled) / len(labelled)
-    strength = {t: (abs(blocked[t] / k - mean) * k**0.5, t) for t, k in seen.items() if k >= urls.SUPPORT * len(labelled)}
-    chosen = [(sorted((t for t in ts if t in strength), key=strength.get)[-urls.ITEM_LIMIT :], v) for ts, v in labelled]
-    rules = mined([c for c in chosen if c[0]])
+    frequent = {t for t, k in Counter(t for ts, _ in labelled for t in ts).items() if k >= urls.SUPPORT * len(labelled)}
+    rules = mined([([t for t in ts if t in frequent], v) for ts, v in labelled])
     assert rules
     for r in out:
         u = url[r.page_id]
@@ -77,6 +75,21 @@ def test_mined_rules_are_those_of_brute_force(spark):
     assert {(tuple(r.tokens), r.verdict): (round(r.confidence, 9), round(r.support, 9)) for r in got} == want
 
 
+def test_mined_rules_of_long_baskets_with_tokens_that_come_together(spark):
+    """Whole baskets of up to eleven tokens; twins share their URLs, pure tokens decide alone."""
+    rng, baskets = random.Random(5), []
+    for _ in range(400):
+        tokens = [t for t in "abcdefg" if rng.random() < 0.45]
+        verdict = "block" if {"a", "b"} <= set(tokens) or rng.random() < 0.1 else "allow"
+        tokens += ["twin-a"] * ("a" in tokens) + ["twin-b", "third-b"] * ("b" in tokens) + ["always"]
+        tokens += ["pure"] * (verdict == "block" and rng.random() < 0.4) + ["pure2"] * (verdict == "allow" and "c" in tokens)
+        baskets.append((tokens, verdict))
+    got = mine_rules(spark.createDataFrame(baskets, "tokens array<string>, verdict string")).collect()
+    want = {k: (round(v[0], 9), round(v[1], 9)) for k, v in mined(baskets).items()}
+    assert {(tuple(r.tokens), r.verdict): (round(r.confidence, 9), round(r.support, 9)) for r in got} == want
+    assert (("pure",), "block") in want and (("third-b", "twin-a"), "block") in want and len(got) == len(want)
+
+
 @pytest.mark.parametrize(
     "url",
     ["http://EXAMPLE.org/es/x", "https://a.b.example.org/en/12?q#f", "x://org", "x://org/", "http://notexample.org/es/", "http://exampleXorg/es/", "http://a.com/fr/", "http://a.com/de", "http://a.com/de/?/fr/", "a://b://c/d", "://", "no scheme", "", None, "http://É.COM/De/", "http://a?b/c", "http://a#b://c/d", "http://com/de/\nx", "HTTP://Example.Org:80/es/"],
