@@ -52,11 +52,21 @@ def drop_shared(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
+def shared_table(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back, for several consumers.
 
-    Unlike a cached frame it survives the loss of any executor.
+    Unlike a cached frame it survives the loss of any executor. Give it to
+    :func:`drop_table` when its last reader is done.
     """
     path = new_shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer = df.write if compression is None else df.write.option("compression", compression)
+    writer.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.shared_path = path
+    return out
+
+
+def drop_table(*tables: DataFrame) -> None:
+    """Delete tables that :func:`shared_table` wrote, once nothing that is still to be computed reads them."""
+    for table in tables:
+        drop_shared(table.sparkSession, table.shared_path)
