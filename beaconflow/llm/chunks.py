@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beaconflow.llm.words import small_batches
-from beaconflow.session import new_shared_path
+from beaconflow.session import shared_table
 
 #: Bytes of text in a chunk; a longer document is a chunk of its own.
 CHUNK_BYTES = 4 << 20
@@ -53,9 +53,7 @@ def pack(documents: DataFrame, text: str = "text") -> DataFrame:
             number += 1
 
     packed = documents.mapInArrow(run, f"chunk long, n_bytes long, docs array<{rest.schema.simpleString()}>, sizes array<long>, texts binary")
-    path = new_shared_path(documents.sparkSession, "chunks")
-    packed.write.option("compression", "zstd").parquet(path)
-    return documents.sparkSession.read.schema(packed.schema).parquet(path)
+    return shared_table(packed, "chunks", "zstd")
 
 
 def shard_count(chunks: DataFrame) -> int:
