@@ -269,7 +269,13 @@ def contamination(documents: DataFrame, items: DataFrame, window: int = 13) -> D
 
 
 def drop_contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, with all columns."""
+    """The documents that are not contaminated, with all columns, also those named like the operator's own.
+
+    Null or empty text: no words, so it stays. Null doc_id: judged by its text.
+    Very long texts are judged whole. Repeated rows stay or go together; rows
+    of one doc_id with several texts are judged each by its own. No items, or
+    only empty ones: all stay. Empty table: empty result.
+    """
     judged = contamination(documents.select("doc_id", "text"), items).where("contaminated")
     bad = judged.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     same = documents["doc_id"].eqNullSafe(bad["__id"]) & (F.xxhash64(documents["text"].cast("binary")) == bad["__hash"])

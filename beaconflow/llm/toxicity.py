@@ -313,7 +313,14 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted (1 from a score of 0.3 on) of each document; a null id is not held out."""
+    """doc_id, held_out, score and predicted (1 from a score of 0.3 on) of each document.
+
+    Null or empty text: scored as one empty window. Very long texts: every
+    window is scored, the worst decides. Null doc_id: scored, not held out.
+    Ties and repeated rows: the same score each. Null labels, ids of no
+    document, or no labels at all: see :func:`train`. Empty table: empty
+    result. Other columns are left out, whatever their names.
+    """
     model = train(documents, labels.where(~held_out()))
     found = score(documents.select("doc_id", "text"), model)
     return found.select(
@@ -325,6 +332,10 @@ def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not predicted toxic, with all columns."""
+    """The documents that are not predicted toxic, with all columns, also those named like the operator's own.
+
+    Nulls, empty and very long texts and repeated rows are judged as in
+    :func:`toxicity`; each row stays or goes by itself. Empty table: empty result.
+    """
     model = train(documents, labels.where(~held_out()))
     return score(documents, model, "__toxicity").where("__toxicity < 0.3").drop("__toxicity")
