@@ -21,27 +21,47 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the network, fitted on ``labels``, rejects go."""
+    """Documents that the network, fitted on ``labels``, rejects go.
+
+    Null and empty texts are scored as empty windows, long ones whole; repeated rows and ties are judged alike, null ids
+    too. An empty table stays empty; columns of any names are kept.
+    """
     return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of smallest id stays."""
+    """Of each group of near-duplicates the document of smallest id stays.
+
+    Null and empty texts and null ids are in no group and stay; of rows that repeat a kept id and text one stays. Long texts
+    are compared whole. An empty table stays empty; columns of any names are kept.
+    """
     return drop_near_duplicates(docs)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words of passages that an earlier document has go from the later ones."""
+    """Words of passages that an earlier document has go from the later ones.
+
+    Null and empty texts and such without a repeated passage stay as they are; no row goes. Long texts are read whole,
+    repeated rows of one id count as one document. An empty table stays empty; columns of any names are kept.
+    """
     return drop_repeated_passages(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold too much of ``benchmark`` go."""
+    """Documents that hold too much of ``benchmark`` go.
+
+    Null and empty texts have no words and stay; null ids are judged by their texts, repeated rows alike, long texts whole.
+    An empty table stays empty; columns of any names are kept.
+    """
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, the tokens, their number, and digests of the ids and of the text decoded from them."""
+    """doc_id, the tokens, their number, and digests of the ids and of the text decoded from them.
+
+    Null and empty texts have no tokens; long ones are encoded whole, repeated rows and null ids each. An empty table gives
+    an empty result; other columns are left out.
+    """
     return token_digests(docs, Vocabulary(TOKENIZER))
 
 
