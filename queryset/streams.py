@@ -11,7 +11,8 @@ from beaconflow.operators.late import dwell_by_arrival
 from beaconflow.operators.lookups import label_geo, label_site
 from beaconflow.operators.registers import current
 from beaconflow.operators.rules import EventRule
-from beaconflow.plans.application import Application, SourcePlan
+from beaconflow.plans.application import Application, SourcePlan, build_application
+from beaconflow.plans.catalogue import rule_catalogue
 from beaconflow.plans.labelling import GeoLabels, LabelPlan, ProfileLabels, SiteLabels
 from beaconflow.plans.plugins import BusinessEvent
 from beaconflow.session import new_shared_path
@@ -330,6 +331,42 @@ def application(spark, sf_dir):
     return app.business_events[0].messages(fired["stay"], _sent())
 
 
+def _administration(spark):
+    """The application above as rows of the administration tables; switched-off rows must not take part."""
+    limits = ",".join(str(x) for x in STAY.ordered_limits)
+    props = [
+        ("selectExp", "imsi,time,labels['area_onsite_stay']['ASIA']"), ("delim", ","), ("outputtype", "kafka"), ("kafkakeycol", "0"),
+        ("output_topic", "out"), ("interval", str(3 * DAY)), ("userKeyIdx", "0"),
+    ]
+    rows = {
+        "EventSource": ([(1, "feed", "hdfs", ",", 17, "feed-parser", 1, -1), (2, "off", "hdfs", ",", 17, "feed-parser", 0, -1)],
+                        "id int, name string, type string, delim string, formatlength int, classname string, enabled int, validWindowsTimeMs int"),
+        "EventSourceProp": ([("path", "feed/", 1)], "name string, pvalue string, esourceid int"),
+        "LabelRules": ([(2, 1, "stay-rule", 1), (1, 1, "site-rule", 1), (3, 1, "device-rule", 0)],
+                       "id int, esourceid int, classname string, enabled int"),
+        "LabelRulesProp": ([("stay.limits", limits, 2), ("stay.timeout", str(STAY.timeout_ms), 2)], "name string, pvalue string, lrid int"),
+        "EventRules": ([(1, 1, "rule", 1, -1), (2, 1, "rule", 1, 1), (3, 1, "rule", 0, -1)],
+                       "id int, esourceid int, classname string, enabled int, parentEventRuleId int"),
+        "EventRulesProp": ([("filterExp", "labels['area_onsite']['ASIA'] = 'true'", 1),
+                            ("filterExp", "cast(labels['area_onsite_stay']['ASIA'] as bigint) > 0", 2)],
+                           "name string, pvalue string, erid int"),
+        "BusenessEvents": ([(1, "stay", 1), (2, "off", 0)], "id int, name string, enabled int"),
+        "BusenessEventsProp": ([(n, v, b) for b in (1, 2) for n, v in props], "name string, pvalue string, beid int"),
+        "BusenessEventsMapEventRules": ([(1, 2), (2, 1)], "beid int, erid int"),
+        "BusenessEventsMapEventSources": ([(1, 1), (1, 2), (2, 1)], "beid int, esid int"),
+    }
+    return {name: spark.createDataFrame(*table_) for name, table_ in rows.items()}
+
+
+@query("application_catalogue", _APPLICATION)
+def application_catalogue(spark, sf_dir):
+    """The same application, built from the rule catalogue."""
+    kinds = {"site-rule": "site", "stay-rule": "stay", "device-rule": "device"}
+    app = build_application(rule_catalogue(_administration(spark)), kinds, {"feed-parser": "signals"})
+    fired = app.fired({"1": signal_lines(spark, sf_dir)}, _lookups(spark, sf_dir))
+    return app.business_events[0].messages(fired["1"], _sent())
+
+
 @query("application_stream", _APPLICATION)
 def application_stream(spark, sf_dir):
     lines = as_lines(signal_stream(spark, sf_dir))
