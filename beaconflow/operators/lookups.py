@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from beaconflow.constants import ANONYMOUS_ID, AREA_INFO, AREA_ONSITE, USER_INFO
 from beaconflow.functions.maps import empty_map, map_union, present_entries
+from beaconflow.operators.predicates import Predicates
 from beaconflow.operators.skew import DEFAULT_SKEW, HotKeys, Skew, detect_together, fits_broadcast, lookup_join
 
 
@@ -223,17 +224,22 @@ def data_driven_filter(
 ) -> DataFrame:
     """Keep a row if the predicate stored for its key in ``rules`` holds.
 
-    The distinct predicate texts become the branches of CASE expressions of
-    ``branches`` each, so one such table of rules is one pass over the joined
-    rows; any number of predicates is evaluated, one pass for every so many.
-    Keys without a rule, like rules that are not true, keep nothing.
+    Comparisons with stored values (see :class:`Predicates`) are parsed by the
+    tasks and meet the rows as data, so their number is that of a join's rows.
+    The distinct texts of all other predicates become the branches of CASE
+    expressions of ``branches`` each, one pass for every so many. Keys without
+    a rule, like rules that are not true, keep nothing.
     """
-    distinct = rules.select(condition).where(F.col(condition).isNotNull()).distinct()
-    texts = sorted(r[0] for r in distinct.toLocalIterator())
-    if not texts:
-        return rows.limit(0)
-    joined = lookup_join(rows, rules.select(on, F.col(condition).alias("__rule")), on, "inner")
-    parts = []
+    stored = Predicates(rows)
+    known = rules.select(on, F.col(condition).alias("__rule")).where(F.col("__rule").isNotNull())
+    known = known.withColumn("__parts", stored.parsed(F.col("__rule")))
+    plain = known.where(F.col("__parts").isNotNull()).drop("__rule")
+    other = known.where(F.col("__parts").isNull()).drop("__parts")
+    texts = sorted(r[0] for r in other.select("__rule").distinct().toLocalIterator())
+    met = lookup_join(rows, plain, on, "inner")
+    parts = [met.where(stored.holds(F.col("__parts"))).drop("__parts")]
+    if texts:
+        joined = lookup_join(rows, other, on, "inner")
     for i in range(0, len(texts), branches):
         some = texts[i : i + branches]
         verdict = F.when(F.lit(False), F.lit(False))

@@ -122,6 +122,17 @@ def data_driven_filter(spark, sf_dir):
     return J.data_driven_filter(s, rules, "event_type", "condition").drop("value")
 
 
+@query("data_driven_filter_by_user", """
+, own AS (SELECT imsi, CAST(floor(avg(cents)) AS BIGINT) AS middle, max(event_type) AS last_type FROM s GROUP BY imsi)
+SELECT s.seq, s.imsi, s.cents FROM s JOIN own ON s.imsi = own.imsi
+WHERE (s.cents BETWEEN own.middle AND own.middle + 5000 AND s.event_type <> own.last_type) OR s.event_type IN ('signup', own.last_type)""")
+def data_driven_filter_by_user(spark, sf_dir):
+    s = signals(spark, sf_dir).select("seq", "imsi", "event_type", "cents")
+    own = s.groupBy("imsi").agg(F.floor(F.avg("cents")).alias("middle"), F.max("event_type").alias("last"))
+    text = "format_string('cents between %d and %d and event_type <> ''%s'' or event_type in (''signup'', ''%s'')', middle, middle + 5000, last, last)"
+    return J.data_driven_filter(s, own.selectExpr("imsi", f"{text} as condition"), "imsi", "condition").drop("event_type")
+
+
 def visits(spark, sf_dir):
     labelled = J.label_site(
         signals(spark, sf_dir).select("seq", "imsi", "ts_ms", "lac", "ci"), sites(spark, sf_dir)
