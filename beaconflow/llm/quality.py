@@ -24,6 +24,8 @@ STATISTICS = (
 TO_POOLED, TO_ROUND = 0.2, 0.05
 #: Smallest probability of a score; a discriminant is too sure far from both classes.
 FLOOR = 1e-4
+#: Cases that a share counts as at most: a share in a long text is not surer than one of so many words. All words are counted.
+EVIDENCE = 400
 
 _UPPER, _LOWER, _DIGIT = (np.isin(np.arange(256), list(x)) for x in (range(65, 91), range(97, 123), range(48, 58)))
 _BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
@@ -45,7 +47,7 @@ def statistics(text: bytes | None) -> list[float]:
     ink = int(letters[~_BLANK].sum())
     length = np.fromiter(map(len, words), np.int64, n)
     counts = Counter(words)
-    share = lambda hit, of: _logit(hit / of if of else 0.0, min(of, 400))
+    share = lambda hit, of: _logit(hit / of if of else 0.0, min(of, EVIDENCE))
     capital, letter = int(letters[_UPPER].sum()), int(letters[_UPPER | _LOWER].sum())
     repeated = sum(map(eq, words, words[1:]))
     lines = 1 + int(letters[10])
@@ -104,14 +106,16 @@ class Discriminant:
         weight = TO_POOLED + (1 - TO_POOLED) * size / (size + n)
         self.factor = [np.linalg.cholesky((1 - w) * own[k] / n[k] + w * pooled + 1e-9 * np.eye(size)) for k, w in enumerate(weight)]
         self.log_det = [2 * np.log(np.diag(f)).sum() for f in self.factor]
+        # inverted once, so that a batch costs one product
+        self.whiten = [np.linalg.inv(f) for f in self.factor]
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         """Probability of class 1 of each row, from the difference of the two log-densities."""
         if not self.known or not len(x):
             return np.full(len(x), 1 / (1 + np.exp(-self.prior)))
         log_density = []
-        for mean, factor, log_det in zip(self.mean, self.factor, self.log_det, strict=True):
-            z = np.linalg.solve(factor, (x - mean).T)
+        for mean, whiten, log_det in zip(self.mean, self.whiten, self.log_det, strict=True):
+            z = whiten @ (x - mean).T
             log_density.append(-0.5 * ((z * z).sum(axis=0) + log_det))
         difference = np.clip(log_density[1] - log_density[0] + self.prior, -40, 40)
         return np.clip(1 / (1 + np.exp(-difference)), FLOOR, 1 - FLOOR)
