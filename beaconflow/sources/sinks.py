@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -11,12 +13,12 @@ from beaconflow.functions.times import ARCHIVE_TIME, SIGNAL_TIME
 
 
 def event_messages(
-    df: DataFrame, columns: list[str], key: str, delim: str = ",", sent_at: Column | None = None
+    df: DataFrame, columns: list[str], key: str, delim: str = ",", sent_at: Column | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """``key`` and ``value`` of each event; the send time follows after a comma."""
+    """``key`` and ``value`` of each event, and the columns ``keep`` (such as topic); the send time follows after a comma."""
     moment = F.date_format(F.current_timestamp() if sent_at is None else sent_at, SIGNAL_TIME)
     body = joined_message([F.col(c) for c in columns], delim)
-    return df.select(F.col(key).cast("string").alias("key"), F.concat(body, F.lit(","), moment).alias("value"))
+    return df.select(F.col(key).cast("string").alias("key"), F.concat(body, F.lit(","), moment).alias("value"), *keep)
 
 
 def check_output_type(output_type: str) -> None:
@@ -48,6 +50,30 @@ def publish_events(messages: DataFrame, output_type: str, topic: str | None, bro
     return None
 
 
+def publish_to_files(messages: DataFrame, path: str, topic: str | None = None, checkpoint: str | None = None) -> DataStreamWriter | None:
+    """Messages as Parquet, one folder for each topic: for consumers that read files, and to test what would be sent.
+
+    A batch frame is appended at once; a stream's unstarted writer, which needs
+    a ``checkpoint``, writes every message once. ``topic`` is for messages
+    without a topic of their own; one that has none at all is an error, as with
+    the broker. Tasks write their own files, so no topic is gathered in one.
+    """
+    own = F.col("topic") if "topic" in messages.columns else F.lit(None)
+    rows = messages.select("key", "value", F.coalesce(own.cast("string"), F.lit(topic)).alias("topic"))
+    rows = rows.withColumn("topic", F.coalesce("topic", F.raise_error(F.lit("message without a topic")).cast("string")))
+    if rows.isStreaming:
+        if not checkpoint:
+            raise ValueError("a stream needs a checkpoint")
+        return rows.writeStream.format("parquet").partitionBy("topic").option("path", path).option("checkpointLocation", checkpoint)
+    rows.write.mode("append").partitionBy("topic").parquet(path)
+    return None
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """key, value and topic of the messages below ``path``; topics stay texts."""
+    return spark.read.schema("key string, value string, topic string").parquet(path)
+
+
 def archive_name(prefix: str, suffix: str, moment: Column) -> Column:
     return F.concat(F.lit(prefix), F.date_format(moment, ARCHIVE_TIME), F.lit(suffix))
 

@@ -430,6 +430,20 @@ def delivery_ledger(spark, sf_dir):
     return spark.read.parquet(f"{path}/out").select("consumer", "seq", "event_type")
 
 
+@query("publish_events_files", _body("publish_events").replace(" AS value FROM s", " AS value, event_type AS topic FROM s"))
+def publish_events_files(spark, sf_dir):
+    """Messages of a stream, each sent to the topic of its kind, as a consumer of all topics reads them."""
+    path = new_shared_path(spark, "published")
+    rows = signal_stream(spark, sf_dir).selectExpr(
+        "imsi", "date_format(ts, 'yyyyMMdd HH:mm:ss.SSS') as time", "nullif(event_type, 'error') as kind", "event_type as topic"
+    )
+    sent = F.to_timestamp(F.lit("2024-02-01 00:00:00"))
+    messages = sinks.event_messages(rows, ["imsi", "time", "kind"], "imsi", "|", sent, keep=["topic"])
+    writer = sinks.publish_to_files(messages, f"{path}/out", checkpoint=f"{path}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return sinks.read_published(spark, f"{path}/out")
+
+
 @query("batch_counts_listener", _body("batch_counts_stream"))
 def batch_counts_listener(spark, sf_dir):
     """Sizes of micro-batches as the running query reports them, under a timed trigger and over a stop and a restart."""

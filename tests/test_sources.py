@@ -111,3 +111,16 @@ def test_the_last_of_many_values_of_a_field_counts(spark, tmp_path):
     line = "k:" + ":".join(f"f{i % 50},{i}" for i in range(5000))
     got = read_lookup_text(spark, write(tmp_path, "m", line + "\nl:a,1:a,2:bad:b,3\n"), "map").collect()
     assert {r.key: r.entries for r in got} == {"k": {f"f{i}": str(4950 + i) for i in range(50)}, "l": {"a": "2", "b": "3"}}
+
+
+def test_messages_as_files_by_topic(spark, tmp_path):
+    messages = spark.createDataFrame([("a", "1", "007"), ("b", "2", "x/y"), ("c", None, None)], "key string, value string, topic string")
+    path = str(tmp_path / "out")
+    sinks.publish_to_files(messages, path, "rest")
+    sinks.publish_to_files(messages.drop("topic").limit(1), path, "rest")
+    got = sorted(tuple(r) for r in sinks.read_published(spark, path).select("topic", "key", "value").collect())
+    assert len(got) == 4 and {t for t, _, _ in got} == {"007", "x/y", "rest"} and ("rest", "c", None) in got
+    with pytest.raises(Exception, match="message without a topic"):
+        sinks.publish_to_files(messages, str(tmp_path / "other"))
+    with pytest.raises(ValueError):
+        sinks.publish_to_files(spark.readStream.schema(messages.schema).parquet(path), str(tmp_path / "third"), "t")
