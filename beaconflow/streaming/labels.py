@@ -2,7 +2,8 @@
 
 Records arrive in any order and are taken in arrival order (``seq``) within a
 micro-batch, as the state must see them one after the other. One stateful
-operator per user holds everything the label rules remember.
+operator holds everything the label rules remember of a user; a call of Python
+does a bucket of users.
 """
 
 from __future__ import annotations
@@ -10,15 +11,18 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
 
 from beaconflow.constants import AREA_ONSITE, AREA_ONSITE_STAY
 from beaconflow.functions.geo import haversine_km
 from beaconflow.operators.stay import StayConfig
+from beaconflow.streaming.buckets import BucketProcessor, runs_of, stateful_by_bucket
 
 Stays = dict[str, tuple[int, int]]
 
@@ -104,51 +108,96 @@ class UserLabels:
         return out
 
 
-def _shifted(values: pd.Series, first) -> pd.Series:
-    """Each record's value before it; ``first`` before the first."""
+def _shifted(values: pd.Series, starts: np.ndarray, first: list) -> pd.Series:
+    """Each record's value before it; of each user's first record the one in ``first``."""
     out = values.shift()
-    out.iloc[0] = first
+    out.iloc[starts] = first
     return out
 
 
-def _last(values: pd.Series):
-    value = values.iloc[-1]
+def _last(value):
     return None if pd.isna(value) else value
 
 
-def _update(config: UserLabels, user: str, ts: str, seq: str, passed: list[str], forget_ms: int | None) -> Callable:
+_NEW = ([], [], [], "", None, None, None, None)
+
+
+def label_runs(
+    rows: pd.DataFrame, bounds: np.ndarray, saved: list[tuple], config: UserLabels, ts: str, passed: list[str]
+) -> tuple[pd.DataFrame, list[tuple]]:
+    """Labels of the records of several users, and what is remembered of each afterwards.
+
+    The records of user ``i``, in their order, lie from ``bounds[i]`` to
+    ``bounds[i + 1]``; ``saved[i]`` is what was remembered before.
+    """
+    starts, ends = bounds[:-1], bounds[1:] - 1
+    result = rows[passed].copy()
+    before = [list(column) for column in zip(*saved)]
+    stays = [{a: (int(f), int(x)) for a, f, x in zip(*entry[:3])} for entry in saved]
+    if config.stay:
+        labels = []
+        times, areas = rows[ts].astype("int64").tolist(), rows["areas"].tolist()
+        for own, begin, end in zip(stays, starts.tolist(), bounds[1:].tolist(), strict=True):
+            for t, names in zip(times[begin:end], areas[begin:end], strict=True):
+                names = list(names)
+                found = stay_step(own, t, names, config.stay)
+                labels.append([found[a] for a in names])
+        result["stays"] = pd.Series(labels, dtype="object")
+    after = before[3:]
+    if config.device:
+        result["last_imei"] = _shifted(rows["imei"].astype("object"), starts, before[3])
+        after[0] = [_last(x) for x in rows["imei"].iloc[ends]]
+    if config.movement:
+        number = lambda x: None if pd.isna(x) else float(x)
+        result["prev_lat"] = _shifted(rows["geo_latitude"].astype("float64"), starts, before[4])
+        result["prev_lng"] = _shifted(rows["geo_longitude"].astype("float64"), starts, before[5])
+        result["last_lac_ci"] = _shifted(rows["lac_ci"].astype("object"), starts, before[6])
+        result["prev_ts"] = _shifted(rows[ts].astype("Int64"), starts, [pd.NA if x is None else int(x) for x in before[7]])
+        after[1:] = [
+            [number(x) for x in rows["geo_latitude"].iloc[ends]],
+            [number(x) for x in rows["geo_longitude"].iloc[ends]],
+            [_last(x) for x in rows["lac_ci"].iloc[ends]],
+            [int(x) for x in rows[ts].iloc[ends]],
+        ]
+    remembered = [
+        (list(own), [f for f, _ in own.values()], [x for _, x in own.values()], *rest) for own, *rest in zip(stays, *after)
+    ]
+    return result, remembered
+
+
+class _LabelProcessor(BucketProcessor):
+    """Labels of a bucket of users, with a state for each."""
+
+    def __init__(self, config: UserLabels, user: T.StructField, ts: str, seq: str, passed: list[str]) -> None:
+        self._config, self._user, self._ts, self._seq, self._passed = config, user, ts, seq, passed
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._known = handle.getMapState("users", T.StructType([self._user]), STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        # The users' rows of one micro-batch; the trigger limits bound them.
+        run, bounds, users = runs_of(self.frames(rows), [self._user.name], [self._seq])
+        saved = [self._known.getValue(u) or _NEW for u in users]
+        result, remembered = label_runs(run, bounds, saved, self._config, self._ts, self._passed)
+        for u, old, value in zip(users, saved, remembered, strict=True):
+            if old is _NEW or tuple(old) != value:
+                self._known.updateValue(u, value)
+        yield result
+
+
+def _forgetting(config: UserLabels, ts: str, seq: str, passed: list[str], forget_ms: int) -> Callable:
+    """The same for one user, whose state a timer frees."""
+
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        saved = state.get if state.exists else ([], [], [], "", None, None, None, None)
-        stays: Stays = {a: (int(f), int(x)) for a, f, x in zip(saved[0], saved[1], saved[2])}
-        imei, lat, lng, cell, when = saved[3:]
-        # A user's rows of one micro-batch; the trigger limits bound it.
         rows = pd.concat(list(frames)).sort_values(seq, kind="stable").reset_index(drop=True)
-        result = rows[passed].copy()
-        if config.stay:
-            labels = []
-            for t, areas in zip(rows[ts].astype("int64").tolist(), rows["areas"], strict=True):
-                found = stay_step(stays, t, list(areas), config.stay)
-                labels.append([found[a] for a in areas])
-            result["stays"] = pd.Series(labels, dtype="object")
-        if config.device:
-            result["last_imei"] = _shifted(rows["imei"].astype("object"), imei)
-            imei = _last(rows["imei"])
-        if config.movement:
-            result["prev_lat"] = _shifted(rows["geo_latitude"].astype("float64"), lat)
-            result["prev_lng"] = _shifted(rows["geo_longitude"].astype("float64"), lng)
-            result["last_lac_ci"] = _shifted(rows["lac_ci"].astype("object"), cell)
-            result["prev_ts"] = _shifted(rows[ts].astype("Int64"), when)
-            lat, lng, cell = (_last(rows[c]) for c in ("geo_latitude", "geo_longitude", "lac_ci"))
-            when = int(rows[ts].iloc[-1])
-        number = lambda x: None if x is None or pd.isna(x) else float(x)
-        ends = list(stays.values())
-        state.update((list(stays), [f for f, _ in ends], [x for _, x in ends], imei, number(lat), number(lng), cell, when))
-        if forget_ms is not None:
-            newest = max([int(rows[ts].max()), *(x for _, x in ends)])
-            state.setTimeoutTimestamp(max(newest + forget_ms, state.getCurrentWatermarkMs() + 1))
+        saved = state.get if state.exists else _NEW
+        result, (remembered,) = label_runs(rows, np.array([0, len(rows)]), [saved], config, ts, passed)
+        state.update(remembered)
+        newest = max([int(rows[ts].max()), *remembered[2]])
+        state.setTimeoutTimestamp(max(newest + forget_ms, state.getCurrentWatermarkMs() + 1))
         yield result
 
     return update
@@ -179,10 +228,13 @@ def label_users(
     frame = frame.withColumns({c: F.to_json(c) for c in maps})
     passed = frame.columns
     schema = T.StructType([*frame.schema.fields, *config.outputs().fields])
-    out = frame.groupBy(user).applyInPandasWithState(
-        _update(config, user, ts, seq, passed, forget_ms), schema, STATE, "append",
-        GroupStateTimeout.NoTimeout if forget_ms is None else GroupStateTimeout.EventTimeTimeout,
-    )
+    if forget_ms is None:
+        processor = _LabelProcessor(config, frame.schema[user], ts, seq, passed)
+        out = stateful_by_bucket(frame, [user], processor, schema, [ts, seq])
+    else:
+        out = frame.groupBy(user).applyInPandasWithState(
+            _forgetting(config, ts, seq, passed, forget_ms), schema, STATE, "append", GroupStateTimeout.EventTimeTimeout
+        )
     out = out.withColumns({c: F.from_json(c, kind) for c, kind in maps.items()})
     if config.stay:
         entries = F.arrays_zip("areas", "stays")
