@@ -28,6 +28,9 @@ SLICE = "__slice"
 HOT = "__hot"
 CARRY = "__carry"
 
+#: Wide rows that a task sorts at once.
+PART_ROWS = 50_000
+
 _QUANTILES = 1000
 _BLOCK = 32
 
@@ -78,19 +81,26 @@ class HotKeys:
         self._df, self._key, self._skew = df, key, skew
 
     @cached_property
-    def pieces(self) -> dict[object, int]:
-        """Hot key -> number of pieces: at most ``skew.share`` entries."""
+    def _counted(self) -> tuple[int, list]:
+        """The number of rows, and the keys that may be hot with theirs: one narrow pass."""
         skew = self._skew
-        top = self._df.agg(
+        row = self._df.agg(
             F.expr(f"approx_top_k(`{self._key}`, {skew.share}, {10 * skew.share})").alias("top"),
             F.count(F.lit(1)).alias("total"),
-        ).select("total", F.inline("top"))
-        threshold = F.greatest(F.col("total") / skew.share, F.lit(skew.min_rows))
-        piece = F.greatest(F.col("total") / (10 * skew.share), F.lit(skew.min_rows))
-        rows = top.where((F.col("count") > threshold) & F.col("item").isNotNull()).select(
-            "item", F.least(F.lit(_QUANTILES), F.ceil(F.col("count") / piece)).cast("int").alias("pieces")
-        )
-        return {r["item"]: r["pieces"] for r in rows.collect()}
+        ).first()
+        return row["total"], row["top"] or []
+
+    @cached_property
+    def total(self) -> int:
+        return self._counted[0]
+
+    @cached_property
+    def pieces(self) -> dict[object, int]:
+        """Hot key -> number of pieces: at most ``skew.share`` entries."""
+        skew, (total, top) = self._skew, self._counted
+        threshold, piece = max(total / skew.share, skew.min_rows), max(total / (10 * skew.share), skew.min_rows)
+        hot = [e for e in top if e["item"] is not None and e["count"] > threshold]
+        return {e["item"]: min(_QUANTILES, math.ceil(e["count"] / piece)) for e in hot}
 
     def cuts(self, order: Column) -> Cuts:
         """The hot keys cut at quantiles of ``order``."""
@@ -130,6 +140,20 @@ def detect_together(df: DataFrame, keys: list[str], skew: Skew = DEFAULT_SKEW) -
     return found
 
 
+def in_parts(df: DataFrame, key: str, skew: HotKeys) -> DataFrame:
+    """Deal ``df`` by ``key`` in parts of about ``PART_ROWS`` rows, for windows by ``key`` over wide rows.
+
+    Spark joins shuffled partitions by their compressed bytes, from which wide
+    rows with repeated texts swell twentyfold, so that their sorts spill. A
+    number of parts from the rows counted anyway holds a task's memory where it
+    is at any size. Few rows, and those of hot keys, which are cut, stay as they are.
+    """
+    parts = -(-skew.total // PART_ROWS)
+    if parts < 2 or any(n > 1 for n in skew.pieces.values()):
+        return df
+    return df.repartition(max(parts, df.sparkSession.sparkContext.defaultParallelism), key)
+
+
 def find_cuts(df: DataFrame, key: str, order: Column, skew: Skew | HotKeys | None = DEFAULT_SKEW) -> Cuts:
     """Cuts of the hot keys of ``df``, or of those already known; ``None`` leaves every key whole."""
     if skew is None or df.isStreaming:

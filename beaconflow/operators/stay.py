@@ -144,14 +144,16 @@ def label_stay(
         HOT,
         ts,
         F.struct(*payload).alias("__row"),
-        F.explode_outer(F.map_keys(AREA_ONSITE)).alias("area"),
+        F.posexplode_outer(F.map_keys(AREA_ONSITE)).alias("__at", "area"),
     )
+    # One of a record's visits carries the record.
+    visits = visits.withColumn("__row", F.when(F.coalesce("__at", F.lit(0)) == 0, F.col("__row"))).drop("__at")
     # Only the visits themselves take part in the carry computation.
     labelled = _dwell_sliced(visits, config, user, ts, _NUMBER, cuts)
     entry = F.when(F.col("area").isNotNull(), F.struct("area", F.col("stay").cast("string")))
     return (
         labelled.groupBy(user, SLICE, _NUMBER)
-        .agg(F.first("__row").alias("__row"), F.map_from_entries(F.collect_list(entry)).alias(AREA_ONSITE_STAY))
+        .agg(F.first("__row", ignorenulls=True).alias("__row"), F.map_from_entries(F.collect_list(entry)).alias(AREA_ONSITE_STAY))
         .select(user, "__row.*", AREA_ONSITE_STAY)
         .select(user, seq, *[c for c in payload if c != seq], AREA_ONSITE_STAY)
     )

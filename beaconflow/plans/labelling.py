@@ -12,7 +12,7 @@ from beaconflow.constants import (
 )
 from beaconflow.functions.maps import present_entries
 from beaconflow.operators.lookups import label_geo, label_profile, label_site
-from beaconflow.operators.skew import DEFAULT_SKEW, HotKeys, Skew
+from beaconflow.operators.skew import DEFAULT_SKEW, HotKeys, Skew, in_parts
 from beaconflow.operators.stay import StayConfig, label_stay
 from beaconflow.operators.track import last_device, movement, track
 from beaconflow.plans.plugins import LabelRule, Lookups
@@ -76,6 +76,8 @@ class LabelPlan:
         if isinstance(skew, Skew):
             skew = HotKeys(records, "imsi", skew)
         out = self.stateless(records, lookups)
+        if skew is not None and (self.device or self.movement or self.stay):
+            out = in_parts(out, "imsi", skew)
         if self.device and self.movement:
             out = track(out, skew=skew)
         elif self.device:
