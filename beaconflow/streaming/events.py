@@ -14,9 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from beaconflow.constants import COOLDOWN_MS, CORRELATION_DELAY_MS
-
-# Fixed value: the state store that stateful processors need.
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from beaconflow.streaming.buckets import BUCKET, ROCKSDB, BucketProcessor, runs_of, stateful_by_bucket
 
 STATE = T.StructType(
     [
@@ -86,30 +84,63 @@ class EventTerms:
     require_all: bool = False
 
 
-def _update(term: EventTerms, ts: str, seq: str, source: str | None, expire: bool) -> Callable:
+def _locked(saved: tuple | None) -> EventLock:
+    lock, sources, seen = saved or (None, [], [])
+    return EventLock(None if pd.isna(lock) else int(lock), dict(zip(sources, map(int, seen))))
+
+
+def _saved(lock: EventLock) -> tuple:
+    return lock.lock, list(lock.seen), list(lock.seen.values())
+
+
+class _BucketEvents(BucketProcessor):
+    """Which rows of a bucket of keys fire, with a lock for each. A key begins with the event, if there are several."""
+
+    def __init__(self, terms: dict[str, EventTerms] | EventTerms, keys: list[T.StructField], ts: str, seq: str, source: str | None) -> None:
+        self._terms, self._keys, self._ts, self._seq, self._source = terms, keys, ts, seq, source
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._locks = handle.getMapState("locks", T.StructType(self._keys), STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        run, bounds, keys = runs_of(self.frames(rows), [k.name for k in self._keys], [self._ts, self._seq])
+        fired = np.zeros(len(run), bool)
+        for name, begin, end in zip(keys, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            before = self._locks.getValue(name)
+            lock = _locked(before)
+            term = self._terms if isinstance(self._terms, EventTerms) else self._terms[name[0]]
+            fired[begin:end] = fired_rows(lock, run.iloc[begin:end], term, self._ts, self._source)
+            after = _saved(lock)
+            if before is None or tuple(before) != after:
+                self._locks.updateValue(name, after)
+        yield run[fired].drop(columns=BUCKET)
+
+
+def _expiring(term: EventTerms, ts: str, seq: str, source: str | None) -> Callable:
+    """The same for one user, whose lock a timer frees."""
     rest = max(term.interval_ms, term.delay_ms)
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        saved = state.get if state.exists else (None, [], [])
-        lock = EventLock(None if pd.isna(saved[0]) else int(saved[0]), dict(zip(saved[1], map(int, saved[2]))))
+        lock = _locked(state.get if state.exists else None)
         rows = pd.concat(list(frames)).sort_values([ts, seq], kind="stable")
         fired = fired_rows(lock, rows, term, ts, source)
-        state.update((lock.lock, list(lock.seen), list(lock.seen.values())))
-        if expire:
-            # Past this time the state can no longer suppress or complete anything.
-            end = max([*lock.seen.values(), lock.lock or 0]) + rest
-            state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
+        state.update(_saved(lock))
+        # Past this time the state can no longer suppress or complete anything.
+        end = max([*lock.seen.values(), lock.lock or 0]) + rest
+        state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
         yield rows[fired]
 
     return update
 
 
-def _stateful(rows: DataFrame, update: Callable, user: str, expire: bool) -> DataFrame:
-    timeout = GroupStateTimeout.EventTimeTimeout if expire else GroupStateTimeout.NoTimeout
-    return rows.groupBy(user).applyInPandasWithState(update, rows.schema, STATE, "append", timeout)
+def _stateful(rows: DataFrame, term: EventTerms, user: str, ts: str, seq: str, source: str | None, expire: bool) -> DataFrame:
+    if expire:
+        update = _expiring(term, ts, seq, source)
+        return rows.groupBy(user).applyInPandasWithState(update, rows.schema, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return stateful_by_bucket(rows, [user], _BucketEvents(term, [rows.schema[user]], ts, seq, source), rows.schema, [ts, seq])
 
 
 def cooldown_stream(
@@ -126,7 +157,7 @@ def cooldown_stream(
     then carry, has passed the end of the rest.
     """
     term = EventTerms(("-",), interval_ms, 0)
-    return _stateful(rows, _update(term, ts, seq, None, expire), user, expire)
+    return _stateful(rows, term, user, ts, seq, None, expire)
 
 
 def correlate_stream(
@@ -149,20 +180,20 @@ def correlate_stream(
     activities: the user is new after that, and must be complete anew.
     """
     term = EventTerms(tuple(sources), interval_ms, delay_ms, require_all)
-    return _stateful(rows, _update(term, ts, seq, source, expire), user, expire)
+    return _stateful(rows, term, user, ts, seq, source, expire)
 
 
 class _EventProcessor(StatefulProcessor):
-    """State of one (event, user); unlike the functions above it may follow other stateful steps."""
+    """State of one (event, user), which a timer frees; unlike the functions above it may follow other stateful steps."""
 
-    def __init__(self, terms: dict[str, EventTerms], ts: str, seq: str, source: str, expire: bool) -> None:
-        self._terms, self._ts, self._seq, self._source, self._expire = terms, ts, seq, source, expire
+    def __init__(self, terms: dict[str, EventTerms], ts: str, seq: str, source: str) -> None:
+        self._terms, self._ts, self._seq, self._source = terms, ts, seq, source
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._lock = handle.getValueState("lock", "lock long")
         self._seen = handle.getMapState("seen", "source string", "ts long")
         self._handle = handle
-        self._until = handle.getValueState("until", "at long") if self._expire else None
+        self._until = handle.getValueState("until", "at long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         term = self._terms[key[0]]
@@ -178,15 +209,14 @@ class _EventProcessor(StatefulProcessor):
                 self._seen.updateValue((name,), (t,))
         for name in before.keys() - lock.seen.keys():
             self._seen.removeKey((name,))
-        if self._expire:
-            end = max([*lock.seen.values(), lock.lock or 0]) + max(term.interval_ms, term.delay_ms)
-            at = max(end, timerValues.getCurrentWatermarkInMs() + 1)
-            old = self._until.get()[0] if self._until.exists() else None
-            if old != at:
-                if old is not None:
-                    self._handle.deleteTimer(old)
-                self._handle.registerTimer(at)
-                self._until.update((at,))
+        end = max([*lock.seen.values(), lock.lock or 0]) + max(term.interval_ms, term.delay_ms)
+        at = max(end, timerValues.getCurrentWatermarkInMs() + 1)
+        old = self._until.get()[0] if self._until.exists() else None
+        if old != at:
+            if old is not None:
+                self._handle.deleteTimer(old)
+            self._handle.registerTimer(at)
+            self._until.update((at,))
         yield batch[fired]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -214,9 +244,12 @@ def business_events_stream(
     ``expire`` frees a state by a timer at the end of its rest and delays, see
     :func:`correlate_stream`; the stream must carry a watermark then.
     """
+    if not expire:
+        keys = [rows.schema[event], rows.schema[user]]
+        return stateful_by_bucket(rows, [event, user], _BucketEvents(dict(terms), keys, ts, seq, source), rows.schema, [ts, seq])
     rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    processor = _EventProcessor(dict(terms), ts, seq, source, expire)
-    return rows.groupBy(event, user).transformWithStateInPandas(processor, rows.schema, "Append", "EventTime" if expire else "None")
+    processor = _EventProcessor(dict(terms), ts, seq, source)
+    return rows.groupBy(event, user).transformWithStateInPandas(processor, rows.schema, "Append", "EventTime")
 
 
 def last_active_stream(
