@@ -4,41 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
 
-from beaconflow.streaming.events import ROCKSDB
+from beaconflow.streaming.buckets import BUCKET, BucketProcessor, plain, stateful_by_bucket
 
 #: The name of the state, by which it is read back.
 DONE = "done"
 
 
-class _Once(StatefulProcessor):
-    """Gives out the first row of a key that has no state, and makes one."""
+class _Once(BucketProcessor):
+    """Gives out the first row of every key of a bucket that has no state, and makes one."""
 
-    def __init__(self, seq: str) -> None:
-        self._seq = seq
+    def __init__(self, key: T.StructField, seq: str) -> None:
+        self._key, self._seq = key, seq
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._done = handle.getValueState(DONE, "done boolean")
+        self._done = handle.getMapState(DONE, T.StructType([self._key]), "done boolean")
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        self._done.update((True,))
+        for value in initialState.set_axis(self.known_columns, axis=1)[self._key.name]:
+            self._done.updateValue((plain(value),), (True,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self._done.exists():
-            return
         first = None
-        for frame in rows:  # one row is kept, however many of the key there are
+        for frame in self.frames(rows):  # one row of a key is kept, however many there are
             frame = frame if first is None else pd.concat([first, frame])
-            first = frame.sort_values(self._seq, kind="stable").head(1)
-        self._done.update((True,))
-        yield first
-
-    def close(self) -> None:
-        pass
+            first = frame.sort_values(self._seq, kind="stable").drop_duplicates(self._key.name)
+        keys = [(plain(value),) for value in first[self._key.name]]
+        fresh = np.array([not self._done.containsKey(k) for k in keys], bool)
+        for k, new in zip(keys, fresh, strict=True):
+            if new:
+                self._done.updateValue(k, (True,))
+        yield first[fresh].drop(columns=BUCKET)
 
 
 def once_per_key(rows: DataFrame, processed: DataFrame, key: str, seq: str) -> DataFrame:
@@ -48,12 +50,11 @@ def once_per_key(rows: DataFrame, processed: DataFrame, key: str, seq: str) -> D
     stream begins with; a micro-batch then reads and writes the states of its
     own keys only, however many keys are done. Null keys are one key.
     """
-    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     known = processed.select(F.col(key).cast(rows.schema[key].dataType).alias(key)).distinct()
-    return rows.groupBy(key).transformWithStateInPandas(_Once(seq), rows.schema, "Append", "None", initialState=known.groupBy(key))
+    return stateful_by_bucket(rows, [key], _Once(rows.schema[key], seq), rows.schema, [seq], known)
 
 
 def processed_keys(spark: SparkSession, checkpoint: str, key: str) -> DataFrame:
     """The keys done so far, read back from the state of a stream that has stopped (or of its last batch)."""
     state = spark.read.format("statestore").option("stateVarName", DONE).load(checkpoint)
-    return state.select(F.col(f"key.{key}").alias(key))
+    return state.select(F.col(f"user_map_key.{key}").alias(key))
