@@ -135,7 +135,9 @@ class Application:
         for source in self.sources:
             subscribers = [b for b in self.business_events if source.id in b.rules]
             if source.id in lines and subscribers:
-                frames.append(source.event_rows(lines[source.id], lookups, subscribers, now))
+                # A micro-batch may come in one file: its lines are parsed and labelled by all tasks, not by the one that reads it.
+                spread = lines[source.id].repartition(lines[source.id].sparkSession.sparkContext.defaultParallelism, "seq")
+                frames.append(source.event_rows(spread, lookups, subscribers, now))
         rows = reduce(DataFrame.unionByName, frames)
         terms = {
             b.id: EventTerms(tuple(b.rules), b.interval_ms, b.delay_ms, b.require_all) for b in self.business_events
