@@ -11,16 +11,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beaconflow.llm.words import plain_words, small_batches
-from beaconflow.session import new_shared_path
+from beaconflow.session import arrow_batches, new_shared_path, shared_table
 
 #: Bytes of text in a segment of the index; a longer document is a segment of its own.
 SEGMENT_BYTES = 4 << 20
+#: Bytes after which the index begins another row group, as a reader holds a whole one.
+GROUP_BYTES = 8 << 20
+#: Bytes of texts or segments that a task gets at once.
+BATCH_BYTES = 16 << 20
 #: Words of test items that are searched for in one go.
 QUERY_WORDS = 1_000_000
 #: Free positions between two documents, so no match can span them.
 GAP = 64
 
-_INDEX = "segment long, docs array<{row}>, n_words array<int>, begins array<int>, terms array<binary>, ends array<int>, places array<int>"
+_INDEX = "segment long, docs array<{row}>, n_words binary, begins binary, terms binary, ends binary, places binary"
 
 
 def build_index(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -30,8 +34,10 @@ def build_index(documents: DataFrame, text: str = "text") -> DataFrame:
     words and first position of each, its distinct terms in the order of first
     use, and for each term the rising positions (posting list); ``ends`` says
     where in ``places`` a term's list ends. Positions count words (letters and
-    digits, A-Z folded) with a gap between documents. Segments come
-    from single tasks, so nothing is shuffled and no term is ever hot.
+    digits, A-Z folded) with a gap between documents. Numbers are packed as
+    int32 and terms joined by blanks, as Spark's reader takes three ints for
+    one of an array. Segments come from single tasks, so nothing is shuffled
+    and no term is ever hot; a few are a row group, however much a task reads.
     """
     rest = [c for c in documents.columns if c != text]
     rows = documents.select(*rest, F.col(text).cast("binary").alias("__text"))
@@ -39,10 +45,9 @@ def build_index(documents: DataFrame, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in small_batches(batches, "__text", SEGMENT_BYTES):
-            each = [plain_words(t) for t in batch.column("__text").to_pylist()]
             numbers: dict[bytes, int] = {}
-            code = [numbers.setdefault(w, len(numbers)) for words in each for w in words]
-            codes = np.fromiter(code, np.int32, len(code))
+            each = [_codes(t.as_py(), numbers) for t in batch.column("__text")]
+            codes = np.concatenate(each)
             counts = np.fromiter(map(len, each), np.int32, len(each))
             begins = (np.cumsum(counts + GAP) - counts - GAP).astype(np.int32)
             places = (np.arange(len(codes)) + np.repeat(np.arange(len(each)) * GAP, counts)).astype(np.int32)
@@ -50,20 +55,29 @@ def build_index(documents: DataFrame, text: str = "text") -> DataFrame:
             ends = np.cumsum(np.bincount(codes, minlength=len(numbers))).astype(np.int32)
             columns = [batch.column(n) for n in rest]
             docs = pa.StructArray.from_arrays(columns, rest)
-            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-            arrays = [docs, *map(pa.array, (counts, begins)), pa.array(list(numbers), pa.binary()), *map(pa.array, (ends, places[order]))]
+            packed = [counts.tobytes(), begins.tobytes(), b" ".join(numbers), ends.tobytes(), places[order].tobytes()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number]), *map(one, arrays)], ["segment", "docs", "n_words", "begins", "terms", "ends", "places"]
+                [pa.array([number]), pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs), *(pa.array([x], pa.binary()) for x in packed)],
+                ["segment", "docs", "n_words", "begins", "terms", "ends", "places"],
             )
             number += 1
 
     schema = _INDEX.format(row=documents.select(*rest).schema.simpleString())
     index = rows.mapInArrow(run, schema)
     path = new_shared_path(documents.sparkSession, "positions")
-    index.write.option("compression", "zstd").parquet(path)
+    # by default the first hundred segments of a task would be one row group
+    groups = {"parquet.block.size": GROUP_BYTES, "parquet.page.size.row.check.min": 1}
+    with arrow_batches(documents.sparkSession, BATCH_BYTES):
+        index.write.options(compression="zstd", **groups).parquet(path)
     return documents.sparkSession.read.schema(index.schema).parquet(path)
 
 
+def _codes(text: bytes | None, numbers: dict[bytes, int]) -> np.ndarray:
+    """Each word's number; new words get the next."""
+    words = plain_words(text)
+    return np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words))
+
+
 class Segment:
     """One segment in memory: posting lists by term."""
 
@@ -137,8 +151,8 @@ def _segments(batch: pa.RecordBatch) -> Iterator[Segment]:
     for i in range(batch.num_rows):
         row: dict = {"segment": batch.column("segment")[i].as_py(), "docs": batch.column("docs")[i].values}
         for name in ("n_words", "begins", "ends", "places"):
-            row[name] = batch.column(name)[i].values.to_numpy(zero_copy_only=False)
-        row["terms"] = batch.column("terms")[i].values.to_pylist()
+            row[name] = np.frombuffer(batch.column(name)[i].as_buffer(), np.int32)
+        row["terms"] = batch.column("terms")[i].as_py().split()
         yield Segment(row)
 
 
@@ -171,6 +185,7 @@ def _near(within: int):
 
 
 def _search(index: DataFrame, items: DataFrame, find, window: int | None, item_id: str, text: str) -> DataFrame:
+    """What is found, written to the shared folder, as a task's memory depends on a setting while it runs."""
     context = index.sparkSession.sparkContext
     doc = index.schema["docs"].dataType.elementType.simpleString()
     schema = f"segment long, row int, doc {doc}, n_words long, spans array<struct<begin:int,end:int>>, items array<string>"
@@ -207,17 +222,18 @@ def _search(index: DataFrame, items: DataFrame, find, window: int | None, item_i
         return index.mapInArrow(run, schema)
 
     parts = [searched(Queries(block, window)) for block in _blocks(items, item_id, text)] or [searched(Queries([], window))]
-    if len(parts) == 1:
-        return parts[0]
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
-    return every.groupBy("segment", "row").agg(
-        F.first("doc").alias("doc"),
-        F.first("n_words").alias("n_words"),
-        F.flatten(F.collect_list("spans")).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-    )
+    if len(parts) > 1:
+        every = every.groupBy("segment", "row").agg(
+            F.first("doc").alias("doc"),
+            F.first("n_words").alias("n_words"),
+            F.flatten(F.collect_list("spans")).alias("spans"),
+            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+        )
+    with arrow_batches(index.sparkSession, BATCH_BYTES):
+        return shared_table(every, "found", "zstd")
 
 
 def find_phrases(index: DataFrame, items: DataFrame, window: int | None = 13, item_id: str = "item_id", text: str = "text") -> DataFrame:

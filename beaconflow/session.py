@@ -3,10 +3,18 @@
 from __future__ import annotations
 
 import os
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_lock = threading.Lock()
+#: By session: how many are within arrow_batches, and the setting to return to.
+_within: dict[int, tuple[int, str | None]] = {}
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "beaconflow") -> SparkSession:
     """A single-machine session for tests and the benchmark; clusters bring their own."""
@@ -70,3 +78,31 @@ def drop_table(*tables: DataFrame) -> None:
     """Delete tables that :func:`shared_table` wrote, once nothing that is still to be computed reads them."""
     for table in tables:
         drop_shared(table.sparkSession, table.shared_path)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, most: int) -> Iterator[None]:
+    """Actions in here give Python tasks batches of about ``most`` bytes, one row at least.
+
+    A task holds a batch up to four times outside the heap (vectors and their
+    copy for the worker, both grown by doubling) and once or twice in Python.
+    A smaller setting of the session stays; threads may be in here together.
+    """
+    key = spark._jsparkSession.hashCode()
+    with _lock:
+        now = spark.conf.get(_ARROW_BYTES, None)
+        inside, old = _within.get(key) or (0, now)
+        _within[key] = inside + 1, old
+        if now is None or not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now) <= most:
+            spark.conf.set(_ARROW_BYTES, f"{most}b")
+    try:
+        yield
+    finally:
+        with _lock:
+            inside, old = _within.pop(key)
+            if inside > 1:
+                _within[key] = inside - 1, old
+            elif old is None:
+                spark.conf.unset(_ARROW_BYTES)
+            else:
+                spark.conf.set(_ARROW_BYTES, old)

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +59,17 @@ def test_phrase_and_proximity_search(spark):
     assert found(find_phrases(index, items)) == {1: ([(6, 9)], ["1"])}
     assert found(find_near(index, spark.createDataFrame([(7, "fox dog")], ITEMS), within=5)) == {1: ([(3, 4)], ["7"]), 2: ([(3, 4)], ["7"])}
     assert found(find_near(index, spark.createDataFrame([(7, "fox dog")], ITEMS), within=2)) == {2: ([(3, 4)], ["7"])}
+
+
+@pytest.mark.parametrize(("segment", "batch"), [(20_000, 1 << 20), (1 << 20, 20_000)])
+def test_what_a_task_holds_does_not_grow_with_its_input(spark, monkeypatch, segment, batch):
+    for name, value in (("SEGMENT_BYTES", segment), ("GROUP_BYTES", 40_000), ("BATCH_BYTES", batch)):
+        monkeypatch.setattr(positions, name, value, raising=False)
+    rng = random.Random(3)
+    docs = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(1000))) for i in range(80)]
+    index = build_index(spark.createDataFrame(docs, DOCS).coalesce(1))
+    groups = [m.row_group(g).num_rows for f in index.inputFiles() for m in [pq.ParquetFile(f.removeprefix("file://")).metadata] for g in range(m.num_row_groups)]
+    assert sum(groups) >= 20  # segments
+    assert max(groups) <= 3
+    found = find_phrases(index, spark.createDataFrame([(1, docs[7][1])], ITEMS))
+    assert {r.doc.doc_id: len(r.spans) for r in found.collect() if r.spans} == {7: 988}
