@@ -1,5 +1,6 @@
 import random
 
+import corpus_pipeline
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -73,3 +74,19 @@ def test_what_a_task_holds_does_not_grow_with_its_input(spark, monkeypatch, segm
     assert max(groups) <= 3
     found = find_phrases(index, spark.createDataFrame([(1, docs[7][1])], ITEMS))
     assert {r.doc.doc_id: len(r.spans) for r in found.collect() if r.spans} == {7: 988}
+
+
+def test_the_stage_of_the_pipeline_has_a_bounded_index(spark, monkeypatch, tmp_path):
+    built = []
+    monkeypatch.setattr(positions, "build_index", lambda docs: built.append(build_index(docs)) or built[0])
+    for name, value in (("SEGMENT_BYTES", 2_000), ("GROUP_BYTES", 4_000)):
+        monkeypatch.setattr(positions, name, value, raising=False)
+    rng = random.Random(4)
+    docs = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(100))) for i in range(90)]
+    spark.createDataFrame([(1, docs[5][1]), (2, docs[70][1])], ITEMS).write.parquet(f"{tmp_path}/benchmark.parquet")
+    stage = dict(corpus_pipeline.STAGES)["decontamination"]
+    kept = stage(spark, spark.createDataFrame(docs, DOCS).coalesce(1), str(tmp_path))
+    assert sorted(map(tuple, kept.collect())) == [d for d in docs if d[0] not in (5, 70)]
+    groups = [m.row_group(g).num_rows for f in built[0].inputFiles() for m in [pq.ParquetFile(f.removeprefix("file://")).metadata] for g in range(m.num_row_groups)]
+    assert sum(groups) > 20
+    assert max(groups) <= 4
